@@ -29,18 +29,17 @@ def na_to_null(c: Column) -> Column:
 
 
 def parse_number(c: Column) -> Column:
-    """Text to double; NULL for anything that is not a finite plain number.
+    """Text to double; NULL for anything that is not a plain number.
 
-    The pattern keeps out 'NaN', 'inf' and the type suffixes Spark's cast takes ('1d'); a number too
-    large for a double becomes NULL as well.
+    The pattern keeps out 'NaN', 'inf' and the type suffixes Spark's cast takes ('1d'). Digits too
+    many for a double give infinity, which ``to_money`` refuses.
     """
-    value = F.when(c.rlike(NUMBER_PATTERN), c).try_cast("double")
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    return F.when(c.rlike(NUMBER_PATTERN), c).try_cast("double")
 
 
 def finite(c: Column) -> Column:
     """A double column with NaN and infinities as NULL: in Spark ``NaN > 0`` is true."""
-    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
+    return F.when(~F.isnan(c) & ~c.isin(float("inf"), float("-inf")), c)
 
 
 def parse_id(c: Column) -> Column:

@@ -71,8 +71,8 @@ def split_chunks(
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted rows, and the other rows with the reason they were rejected for.
 
-    ``unit='row'`` judges each row alone. A caller that uses both results can compute
-    ``rejected_chunks`` once and pass it in.
+    ``unit='row'`` judges each row alone. A job can compute ``rejected_chunks`` once, write them down
+    and pass them in: the join then rests on their true size, and falls away if there are none.
     """
     missing = _missing(clean, required)
     if missing:
@@ -84,7 +84,11 @@ def split_chunks(
             clean.where(~_any_null(required)),
             clean.where(_any_null(required)).withColumn("reason", F.concat(F.lit("null values in "), nulls)),
         )
-    return _split(clean, rejected_chunks(clean, required, chunk) if rejected is None else rejected, chunk)
+    if rejected is None:
+        return _split(clean, rejected_chunks(clean, required, chunk), chunk)
+    if rejected.isEmpty():
+        return clean, clean.where(F.lit(False)).withColumn("reason", F.lit(None).cast("string"))
+    return _split(clean, rejected, chunk)
 
 
 def validate_chunks(clean: DataFrame, **options) -> DataFrame:

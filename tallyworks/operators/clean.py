@@ -79,9 +79,8 @@ def amount_to_money(df: DataFrame) -> DataFrame:
 
 def parse_transactions(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     """All typing rules and no filter."""
-    for rule in (map_missing_values, parse_ids, lambda d: parse_dates(d, formats), parse_amount, normalize_status):
-        df = df.transform(rule)
-    return df
+    df = df.transform(map_missing_values).transform(parse_ids).transform(parse_dates, formats)
+    return df.transform(parse_amount).transform(normalize_status)
 
 
 def transform_transactions(

@@ -23,26 +23,37 @@ def _flag(keys: DataFrame, name: str) -> DataFrame:
     return keys.withColumn(name, F.lit(True))
 
 
-def with_violations(
+def offending_keys(
     fact: DataFrame, dim_users: DataFrame, dim_date: DataFrame, target: DataFrame | None = None
-) -> DataFrame:
-    """Add ``violations``, the names of all broken constraints; empty for a good row."""
+) -> dict[str, DataFrame]:
+    """Per key-based rule the keys that break it, each once; the column of a frame is the key."""
     key = "transaction_id"
-    repeated = duplicate_keys(fact.where(F.col(key).isNotNull()), key).select(key)
-    sets = [
-        (key, _flag(repeated, "_duplicate"), "duplicate transaction_id"),
-        ("user_id", _flag(joins.missing_parents(fact, dim_users, "user_id"), "_no_user"), "unknown user_id"),
-        ("date_id", _flag(joins.missing_parents(fact, dim_date, "date_id"), "_no_date"), "unknown date_id"),
-    ]
+    sets = {"duplicate transaction_id": duplicate_keys(fact.where(F.col(key).isNotNull()), key).select(key)}
     if target is not None:
-        held = _flag(joins.existing_keys(fact, target, key), "_held")
-        sets.insert(1, (key, held, "transaction_id already loaded"))
-    flagged, names = fact, []
-    for column, keys, text in sets:
-        flagged = flagged.join(keys, column, "left")
-        names.append(F.when(F.col(keys.columns[-1]), F.lit(text)))
-    nulls = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in FACT_TRANSACTIONS.required]
-    return flagged.select(*fact.columns, F.array_compact(F.array(*nulls, *names)).alias("violations"))
+        sets["transaction_id already loaded"] = joins.existing_keys(fact, target, key)
+    sets["unknown user_id"] = joins.missing_parents(fact, dim_users, "user_id")
+    sets["unknown date_id"] = joins.missing_parents(fact, dim_date, "date_id")
+    return sets
+
+
+def flag_violations(fact: DataFrame, offending: dict[str, DataFrame]) -> DataFrame:
+    """Add ``violations``, the names of all broken constraints; empty for a good row.
+
+    A rule that no key breaks may be left out of ``offending``; it then costs no join.
+    """
+    flagged = fact
+    names = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in FACT_TRANSACTIONS.required]
+    for i, (text, keys) in enumerate(offending.items()):
+        flagged = flagged.join(_flag(keys, f"_broken{i}"), keys.columns[0], "left")
+        names.append(F.when(F.col(f"_broken{i}"), F.lit(text)))
+    return flagged.select(*fact.columns, F.array_compact(F.array(*names)).alias("violations"))
+
+
+def with_violations(
+    fact: DataFrame, dim_users: DataFrame, dim_date: DataFrame, target: DataFrame | None = None
+) -> DataFrame:
+    """Fact rows with all their violations, as one lazy plan."""
+    return flag_violations(fact, offending_keys(fact, dim_users, dim_date, target))
 
 
 def violating(flagged: DataFrame) -> DataFrame:

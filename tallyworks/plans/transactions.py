@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.functions.aggregates import watermark
 from tallyworks.functions.dates import date_key
 from tallyworks.operators import chunks, clean, integrity, quality
-from tallyworks.schemas import FACT_TRANSACTIONS, RAW_TRANSACTIONS
-from tallyworks.session import materialize
+from tallyworks.schemas import FACT_TRANSACTIONS, RAW_TRANSACTIONS, TRANSACTIONS_CSV
+from tallyworks.session import materialize, shared_dir
 from tallyworks.sinks import tables
 from tallyworks.sources.transactions_csv import read_transactions
 
@@ -42,25 +44,28 @@ def ingest_raw(
     chunk_rows: int = chunks.CHUNK_ROWS,
     unit: str = "chunk",
     quarantine_table: str | None = None,
+    schema: T.StructType | None = TRANSACTIONS_CSV,
 ) -> None:
     """Scan, clean, validate and store transactions under the batch of this run.
 
     The batch identifies the run: repeating a run replaces its own rows. Two runs that start in the
     same second need batch ids of their own.
     """
-    source = read_transactions(spark, input_path, ordinal=ordinal, chunk_rows=chunk_rows)
+    batch_id = batch_id or clean.batch_name(run_ts)
+    source = read_transactions(spark, input_path, schema, ordinal, chunk_rows)
     accepted, rejected = accept(source, run_ts, batch_id, unit)
-    tables.overwrite_partitions(accepted.drop(chunks.CHUNK_COLUMN), table)
+    tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN), table, batch_id)
     if quarantine_table:
-        _write_quarantine(rejected.withColumn(chunks.CHUNK_COLUMN, F.col(chunks.CHUNK_COLUMN).cast("string")), quarantine_table)
+        _write_quarantine(rejected, quarantine_table, batch_id)
 
 
-def _write_quarantine(rows: DataFrame, table: str) -> None:
+def _write_quarantine(rows: DataFrame, table: str, batch_id: str) -> None:
     spark = rows.sparkSession
+    rows = rows.withColumn(chunks.CHUNK_COLUMN, F.col(chunks.CHUNK_COLUMN).cast("string"))
     if not spark.catalog.tableExists(table):
         layout = [c for c in rows.columns if c != "batch_id"] + ["batch_id"]
         rows.select(*layout).limit(0).write.format("parquet").partitionBy("batch_id").saveAsTable(table)
-    tables.overwrite_partitions(rows, table)
+    tables.overwrite_batch(rows, table, batch_id)
 
 
 def to_fact(raw: DataFrame, load_ts: datetime, created_at_source: str = "load") -> DataFrame:
@@ -90,6 +95,23 @@ def new_raw_rows(raw: DataFrame, fact: DataFrame, prune_batches: bool = False) -
     return rows.where(F.col("batch_id") >= clean.batch_name(latest)) if prune_batches else rows
 
 
+def _write_keys(spark: SparkSession, sets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Compute all key sets in one job, a folder each, and read back those that are not empty."""
+    path = shared_dir(spark, "offending-keys")
+    tagged = [
+        keys.select(F.col(keys.columns[0]).cast("bigint").alias("key"), F.lit(i).alias("rule"))
+        for i, keys in enumerate(sets.values())
+    ]
+    functools.reduce(DataFrame.unionByName, tagged).write.partitionBy("rule").parquet(path)
+    written = spark.read.schema("key bigint, rule int").parquet(path)
+    found = {r["rule"] for r in written.select("rule").distinct().collect()}
+    return {
+        text: spark.read.schema("key bigint").parquet(f"{path}/rule={i}").select(F.col("key").alias(keys.columns[0]))
+        for i, (text, keys) in enumerate(sets.items())
+        if i in found
+    }
+
+
 def load_fact_incremental(
     spark: SparkSession,
     raw_table: str,
@@ -101,25 +123,28 @@ def load_fact_incremental(
     on_violation: str = "fail",
     quarantine_table: str | None = None,
     prune_batches: bool = False,
-) -> None:
-    """Load new raw rows into the fact table.
+) -> int:
+    """Load new raw rows into the fact table; returns how many were loaded.
 
     ``on_violation='fail'`` loads nothing if any row breaks a constraint; ``'quarantine'`` loads the
     others. Ids the fact already has count as broken, so repeating a load adds nothing.
+
+    The offending keys are written down first. Rules nothing breaks then need no join, and the other
+    joins are planned with the true, as a rule tiny, size of the key set, without shuffling the rows.
     """
+    if on_violation not in ("fail", "quarantine"):
+        raise ValueError(f"unknown mode: {on_violation}")
     fact = spark.table(fact_table)
     new = to_fact(new_raw_rows(spark.table(raw_table), fact, prune_batches), load_ts, created_at_source)
-    # Used twice below, and written once: the increment, not the table.
-    flagged = materialize(integrity.with_violations(new, dim_users, dim_date, fact), "fact-load")
+    offending = _write_keys(spark, integrity.offending_keys(new, dim_users, dim_date, fact))
+    flagged = integrity.flag_violations(new, offending)
     if on_violation == "fail":
         counts = {r["violation"]: r["row_count"] for r in integrity.violation_counts(flagged).collect()}
         if counts:
             raise integrity.IntegrityError(f"nothing loaded into {fact_table}: {counts}")
-    elif on_violation != "quarantine":
-        raise ValueError(f"unknown mode: {on_violation}")
-    tables.append(integrity.passing(flagged), fact_table, cluster_by="date_id")
-    if quarantine_table and on_violation == "quarantine":
+    elif quarantine_table:
         tables.save(integrity.violating(flagged), quarantine_table)
+    return tables.append(integrity.passing(flagged), fact_table, cluster_by="date_id")
 
 
 def run_all(
@@ -133,11 +158,19 @@ def run_all(
     load_ts: datetime | None = None,
     on_violation: str = "fail",
     created_at_source: str = "load",
+    gate_batch_only: bool = False,
     **ingest_options,
 ) -> None:
-    """Ingest, gate, load; an error in one step keeps the later ones from running."""
+    """Ingest, gate, load; an error in one step keeps the later ones from running.
+
+    The gate judges the whole raw table. ``gate_batch_only`` restricts it to this run's folder, for
+    tables too large to be read on every run; ids are still checked against the fact by the load.
+    """
     ingest_raw(spark, input_path, raw_table, run_ts, **ingest_options)
-    quality.gate(spark.table(raw_table), RAW_TRANSACTIONS.name)
+    raw = spark.table(raw_table)
+    if gate_batch_only:
+        raw = raw.where(F.col("batch_id") == (ingest_options.get("batch_id") or clean.batch_name(run_ts)))
+    quality.gate(raw, RAW_TRANSACTIONS.name)
     load_fact_incremental(
         spark, raw_table, fact_table, dim_users, dim_date, load_ts or run_ts,
         created_at_source=created_at_source, on_violation=on_violation,

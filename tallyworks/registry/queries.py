@@ -20,7 +20,7 @@ from tallyworks.session import configure, shared_dir
 from tallyworks.sinks import files, tables
 from tallyworks.sources import logs_json
 from tallyworks.sources.tables import run_query, table_exists
-from tallyworks.sources.transactions_csv import read_transactions
+from tallyworks.sources.transactions_csv import read_values
 from tallyworks.streaming import logs as log_streams
 from tallyworks.streaming import transactions as transaction_streams
 
@@ -118,7 +118,7 @@ def _error_row_columns(df: DataFrame) -> DataFrame:
 
 @query
 def src_csv_transactions(spark, sf):
-    return read_transactions(spark, _csv_of_raw(spark, sf)).drop(chunks.CHUNK_COLUMN)
+    return read_values(spark, _csv_of_raw(spark, sf)).drop(chunks.CHUNK_COLUMN)
 
 
 @query
@@ -549,7 +549,7 @@ def load_fact_incremental(spark, sf):
     users, days = a.dim_users(spark, sf), a.dim_date(spark)
 
     def load(part: DataFrame, run_ts: datetime, times: int) -> None:
-        tables.overwrite_partitions(clean.stamp_batch(part, run_ts), raw)
+        tables.overwrite_batch(clean.stamp_batch(part, run_ts), raw, clean.batch_name(run_ts))
         for _ in range(times):
             transactions.load_fact_incremental(
                 spark, raw, fact, users, days, run_ts + timedelta(hours=1), on_violation="quarantine",

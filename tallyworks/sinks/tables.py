@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallyworks.operators import integrity
 from tallyworks.schemas import TableSpec
 
+logger = logging.getLogger(__name__)
+
 JDBC_BATCH_ROWS = 1000  # fixed value: rows per INSERT
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def align_to_table(df: DataFrame, table: str) -> DataFrame:
@@ -31,7 +36,16 @@ def align_to_table(df: DataFrame, table: str) -> DataFrame:
     return df.select(*columns)
 
 
-def append(df: DataFrame, table: str, cluster_by: str | None = None) -> None:
+def _insert(rows: DataFrame, table: str, mode: str) -> int:
+    """Write and return the number of rows, which the write itself counts."""
+    counted = Observation()
+    rows.observe(counted, F.count("*").alias("n")).write.mode(mode).insertInto(table)
+    n = counted.get["n"]
+    logger.info("wrote %d rows to %s", n, table)
+    return n
+
+
+def append(df: DataFrame, table: str, cluster_by: str | None = None) -> int:
     """Append rows. ``cluster_by`` gathers the rows of a partition value into few files.
 
     The rebalance hint lets AQE split a value that holds much of the data over several tasks.
@@ -39,13 +53,27 @@ def append(df: DataFrame, table: str, cluster_by: str | None = None) -> None:
     rows = align_to_table(df, table)
     if cluster_by:
         rows = rows.hint("rebalance", F.col(cluster_by))
-    rows.write.mode("append").insertInto(table)
+    return _insert(rows, table, "append")
 
 
-def overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Replace the partitions that occur in ``df``; a repeated run leaves the same rows."""
-    rows = align_to_table(df, table)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
+    """Replace one batch of a table partitioned by ``batch_id``; ``df`` holds rows of that batch only.
+
+    The overwrite is dynamic, so other batches stay, and the old rows of this one stay until the new
+    ones are complete. The mode of a catalog table can only be set on the session, hence for the
+    moment of the write. A run that yields no rows removes the batch.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(OVERWRITE_MODE)
+    conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        n = _insert(align_to_table(df, table), table, "overwrite")
+    finally:
+        conf.set(OVERWRITE_MODE, before)
+    if n == 0:
+        escaped = batch_id.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = '{escaped}')")
+    return n
 
 
 def save(df: DataFrame, table: str, if_exists: str = "append") -> None:

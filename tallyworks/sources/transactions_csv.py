@@ -14,14 +14,22 @@ CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "escape": '"'}
 def read_transactions(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType = TRANSACTIONS_CSV,
+    schema: T.StructType | None = TRANSACTIONS_CSV,
     ordinal: str | None = None,
     chunk_rows: int = chunks.CHUNK_ROWS,
 ) -> DataFrame:
-    """Rows with missing-value spellings as NULL and the chunk each row came in.
+    """Rows as text with the chunk each row came in.
 
     ``enforceSchema`` off makes a file whose header differs from the schema fail instead of shifting
-    columns. Plain CSV is split by size, so one large file is read by many tasks.
+    columns; ``schema=None`` takes the column names from the header, so that files may lack columns
+    or have them in another order. Plain CSV is split by size, so one large file is read by many tasks.
     """
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    return clean.map_missing_values(chunks.with_chunk(rows, ordinal, chunk_rows))
+    reader = spark.read.options(**CSV_OPTIONS)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return chunks.with_chunk(reader.csv(path), ordinal, chunk_rows)
+
+
+def read_values(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """The same rows with every missing-value spelling as NULL."""
+    return clean.map_missing_values(read_transactions(spark, path, **options))

@@ -38,7 +38,7 @@ def land_files(
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Clean the rows of all new files and land them, with their file as the chunk. No shuffle."""
-    source = clean.map_missing_values(chunks.with_chunk(_files(spark, input_path, max_files)))
+    source = chunks.with_chunk(_files(spark, input_path, max_files))
     return _to_parquet(clean.transform_transactions(source, run_ts), landing_path, checkpoint, "batch_id")
 
 
@@ -49,13 +49,13 @@ def promote(spark: SparkSession, landing_path: str, table: str) -> list[str]:
     promotion that was cut off can simply be repeated.
     """
     landed = spark.read.parquet(landing_path)
-    done = spark.table(table).select("batch_id").distinct()
-    pending = [r["batch_id"] for r in landed.select("batch_id").distinct().join(done, "batch_id", "left_anti").collect()]
-    if pending:
-        rows = landed.where(F.col("batch_id").isin(*pending))
+    done = {r["partition"].removeprefix("batch_id=") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    pending = [b for (b,) in landed.select("batch_id").distinct().collect() if b not in done]
+    for batch_id in sorted(pending):  # as a rule one: the run that just ended
+        rows = landed.where(F.col("batch_id") == batch_id)
         rejected = materialize(chunks.rejected_chunks(rows), "rejected")
         accepted = chunks.validate_chunks(rows, rejected=rejected)
-        tables.overwrite_partitions(accepted.drop(chunks.CHUNK_COLUMN), table)
+        tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN), table, batch_id)
     return sorted(pending)
 
 

@@ -43,9 +43,19 @@ def error_log_summary(spark: SparkSession, input_path: str, output_path: str, by
 
 
 def error_log_rows(
-    spark: SparkSession, input_path: str, output_path: str, rows_per_file: int = files.ROWS_PER_FILE
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    rows_per_file: int = files.ROWS_PER_FILE,
+    bad_lines_path: str | None = None,
 ) -> DataFrame:
-    """Tolerant scan to error rows to parquet in pieces; returns what was written."""
-    rows = error_rows(logs_json.read_logs_tolerant(spark, input_path))
+    """Tolerant scan to error rows to parquet in pieces; returns what was written.
+
+    Lines that are no records are left out, or kept with their file under ``bad_lines_path``.
+    """
+    good, bad = logs_json.split_lines(spark, input_path)
+    rows = error_rows(good)
     files.write_chunks(rows, output_path, rows_per_file=rows_per_file)
+    if bad_lines_path:
+        bad.write.mode("overwrite").parquet(bad_lines_path)
     return spark.read.schema(rows.schema).parquet(output_path)

@@ -370,7 +370,7 @@ ORACLE: dict[str, str] = {
     ),
     "error_log_summary": _with("errors", SUMMARY),
     "error_log_rows": _with("errors", ERROR_ROWS),
-    "run_transactions_pipeline": _with(
+    "run_transactions": _with(
         "fact",
         "select transaction_id, user_id, date_id, cast(amount as double) as amount, currency, status, "
         f"{LOAD} as processed_at from fact f where not exists (select 1 from fact b "

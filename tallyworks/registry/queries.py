@@ -612,7 +612,7 @@ def error_log_rows(spark, sf):
 
 
 @query
-def run_transactions_pipeline(spark, sf):
+def run_transactions(spark, sf):
     database = _database(spark)
     warehouse.create_star_schema(spark, database)
     fact = f"{database}.fact_transactions"

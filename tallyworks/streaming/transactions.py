@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators import chunks, clean
@@ -42,13 +43,19 @@ def land_files(
     return _to_parquet(clean.transform_transactions(source, run_ts), landing_path, checkpoint, "batch_id")
 
 
+def _landing_schema(spark: SparkSession) -> T.StructType:
+    """Schema of the landed rows, known before the first of them is there."""
+    source = spark.createDataFrame([], TRANSACTIONS_CSV).withColumn(chunks.CHUNK_COLUMN, F.lit(""))
+    return clean.transform_transactions(source, datetime(2000, 1, 1)).schema
+
+
 def promote(spark: SparkSession, landing_path: str, table: str) -> list[str]:
     """Validate landed batches by file and move the accepted rows to the raw table.
 
     Only batches the table lacks are read (a folder each), and each is replaced as a whole, so a
     promotion that was cut off can simply be repeated.
     """
-    landed = spark.read.parquet(landing_path)
+    landed = spark.read.schema(_landing_schema(spark)).parquet(landing_path)
     done = {r["partition"].removeprefix("batch_id=") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     pending = [b for (b,) in landed.select("batch_id").distinct().collect() if b not in done]
     for batch_id in sorted(pending):  # as a rule one: the run that just ended

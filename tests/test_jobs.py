@@ -192,6 +192,13 @@ def test_tolerant_scan_sorts_lines_out(spark, folder, lines):
     assert good.select("endpoint").collect().__len__() == len(fine)
 
 
+def test_error_rows_keep_bad_lines_apart(spark, folder, lines):
+    lines(f"{folder}/in", [GOOD, "bad line", GOOD.replace("500", "404")])
+    rows = logs.error_log_rows(spark, f"{folder}/in", f"{folder}/out", bad_lines_path=f"{folder}/bad")
+    assert [(r.hour, r.endpoint) for r in rows.collect()] == [(datetime(2024, 1, 1, 10), "/a")]
+    assert [r.value for r in spark.read.parquet(f"{folder}/bad").collect()] == ["bad line"]
+
+
 def test_strict_scan_stops(spark, folder, lines):
     lines(folder, [GOOD, "bad line"])
     with pytest.raises(Exception, match="(?i)malformed"):

@@ -76,6 +76,14 @@ def test_files_are_ingested_once(spark, folder, lines, database):
     assert spark.table(table).count() == 2
 
 
+def test_a_run_without_files_does_nothing(spark, folder, database):
+    spark.createDataFrame([], "value string").write.text(f"{folder}/in")
+    done = transaction_streams.ingest_new_files(
+        spark, f"{folder}/in", f"{folder}/landing", f"{folder}/checkpoint", f"{database}.raw_transactions", datetime(2024, 2, 1)
+    )
+    assert done == []
+
+
 def test_a_cut_off_promotion_is_made_up_for(spark, folder, lines, database):
     table = f"{database}.raw_transactions"
     lines(f"{folder}/in", [HEADER, "1,7,10,USD,2024-01-01,failed"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyworks.schemas import NA_VALUES
 
 # Patterns and formats that decide which text is accepted.
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER_PATTERN = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 ENDPOINT_PATTERN = r"(/[a-zA-Z0-9_\-./]+)"
 LOG_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 USER_AGENT_LENGTH = 100
@@ -32,9 +32,10 @@ def parse_number(c: Column) -> Column:
     """Text to double; NULL for anything that is not a plain number.
 
     The pattern keeps out 'NaN', 'inf' and the type suffixes Spark's cast takes ('1d'). Digits too
-    many for a double give infinity, which ``to_money`` refuses.
+    many for a double give infinity, which ``to_money`` refuses. Extracting the number, instead of
+    testing for one, names the column once, so a computed column is not computed twice.
     """
-    return F.when(c.rlike(NUMBER_PATTERN), c).try_cast("double")
+    return F.regexp_extract(c, NUMBER_PATTERN, 1).try_cast("double")
 
 
 def finite(c: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyworks.functions import parsing
 from tallyworks.operators import filters
-from tallyworks.schemas import DATE_COLUMNS, TableSpec
+from tallyworks.schemas import DATE_COLUMNS, ID_COLUMNS, TableSpec
 
 
 def timestamp_literal(value: datetime):
@@ -23,10 +23,13 @@ def _is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
-def map_missing_values(df: DataFrame) -> DataFrame:
-    """NULL for the missing-value spellings in every text column."""
+def map_missing_values(df: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
+    """NULL for the missing-value spellings in every text column not in ``skip``."""
     return df.select(
-        *[parsing.na_to_null(F.col(c)).alias(c) if _is_text(df, c) else F.col(c) for c in df.columns]
+        *[
+            parsing.na_to_null(F.col(c)).alias(c) if _is_text(df, c) and c not in skip else F.col(c)
+            for c in df.columns
+        ]
     )
 
 
@@ -49,7 +52,7 @@ def parse_amount(df: DataFrame) -> DataFrame:
 
 def parse_ids(df: DataFrame) -> DataFrame:
     """Text keys to bigint."""
-    keys = [c for c in ("transaction_id", "user_id") if c in df.columns and _is_text(df, c)]
+    keys = [c for c in ID_COLUMNS if c in df.columns and _is_text(df, c)]
     return df.withColumns({c: parsing.parse_id(F.col(c)) for c in keys})
 
 
@@ -78,8 +81,11 @@ def amount_to_money(df: DataFrame) -> DataFrame:
 
 
 def parse_transactions(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
-    """All typing rules and no filter."""
-    df = df.transform(map_missing_values).transform(parse_ids).transform(parse_dates, formats)
+    """All typing rules and no filter.
+
+    Columns that are parsed need no mapping of missing values: none of the spellings parses.
+    """
+    df = df.transform(map_missing_values, [*ID_COLUMNS, *DATE_COLUMNS, "amount"]).transform(parse_ids).transform(parse_dates, formats)
     return df.transform(parse_amount).transform(normalize_status)
 
 

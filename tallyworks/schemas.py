@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 # Column names, types, defaults and accepted statuses of the warehouse.
 VALID_STATUSES = ("completed", "failed", "pending", "cancelled")
 REQUIRED_COLUMNS = ("user_id", "amount", "transaction_date")
+ID_COLUMNS = ("transaction_id", "user_id")
 DATE_COLUMNS = ("transaction_date", "created_at")
 CSV_COLUMNS = ("transaction_id", "user_id", "amount", "currency", "transaction_date", "status")
 # Spellings the CSV reader treats as missing (the documented pandas defaults).

@@ -10,7 +10,7 @@ from tallyworks.functions import aggregates as fa
 from tallyworks.functions import dates, parsing
 from tallyworks.operators import chunks, clean, filters
 from tallyworks.plans import warehouse
-from tallyworks.schemas import DIM_USERS, FACT_TRANSACTIONS, VALID_STATUSES
+from tallyworks.schemas import DIM_USERS, FACT_TRANSACTIONS, NA_VALUES, VALID_STATUSES
 
 RUN = datetime(2024, 5, 6, 7, 8, 9)
 
@@ -69,6 +69,11 @@ def test_missing_value_spellings(spark):
     ]
 
 
+def test_no_missing_value_spelling_parses(spark):
+    for parse in (parsing.parse_number, parsing.parse_id, parsing.parse_timestamp):
+        assert one(spark, parse, *NA_VALUES) == [None] * len(NA_VALUES)
+
+
 def test_dates(spark):
     got = one(spark, parsing.parse_timestamp, "2023-01-01", "2023-01-02 03:04:05.123456789", "2023-02-30", "01/02/2023", "x")
     assert got == [datetime(2023, 1, 1), datetime(2023, 1, 2, 3, 4, 5, 123456), None, None, None]

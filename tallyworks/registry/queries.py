@@ -650,7 +650,10 @@ def stream_error_summary(spark, sf):
     last = a.table(spark, sf, "events").agg(F.max("ts").alias("last")).first()["last"]
 
     def run() -> None:
-        log_streams.summarize_new_files(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+        log_streams.summarize_new_files(
+            spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
 
     run()
     log_streams.heartbeat(spark, f"{base}/in", last + timedelta(hours=3))
@@ -664,7 +667,8 @@ def stream_dedup_transactions(spark, sf):
     rows = a.raw_source(spark, sf)
     _write_csv(rows.unionByName(rows.where(F.col("status") == "Completed")), f"{base}/in")
     transaction_streams.dedup_files(
-        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", delay="31 days"
+        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", delay="31 days",
+        state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out").select(
         "transaction_id", "user_id", _dbl("amount"), "transaction_date", "status"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str | int | None) -> Iterator[None]:
+    """Change a session setting for the moment of one call that takes it from nowhere else.
+
+    A streaming query keeps the settings it was started with. ``None`` changes nothing.
+    """
+    before = spark.conf.get(key)
+    if value is not None:
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators import integrity
 from tallyworks.schemas import TableSpec
+from tallyworks.session import setting
 
 logger = logging.getLogger(__name__)
 
@@ -63,13 +64,8 @@ def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
     ones are complete. The mode of a catalog table can only be set on the session, hence for the
     moment of the write. A run that yields no rows removes the batch.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(OVERWRITE_MODE)
-    conf.set(OVERWRITE_MODE, "dynamic")
-    try:
+    with setting(df.sparkSession, OVERWRITE_MODE, "dynamic"):
         n = _insert(align_to_table(df, table), table, "overwrite")
-    finally:
-        conf.set(OVERWRITE_MODE, before)
     if n == 0:
         escaped = batch_id.replace("\\", "\\\\").replace("'", "\\'")
         df.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = '{escaped}')")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyworks.functions import parsing
 from tallyworks.operators.filters import SERVER_ERROR
 from tallyworks.schemas import LOG_RECORD
+from tallyworks.session import setting
 from tallyworks.sources.logs_json import parse_lines
 
 
@@ -63,11 +64,18 @@ def summarize_new_files(
     checkpoint: str,
     delay: str = "1 hour",
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Process the files that arrived and append the hours that are complete."""
+    """Process the files that arrived and append the hours that are complete.
+
+    ``state_partitions`` is fixed by the first run on a checkpoint; choose it for the volume to come.
+    The session's number of shuffle partitions applies otherwise.
+    """
     summary = hourly_errors(read_log_stream(spark, input_path, max_files), delay)
     writer = summary.writeStream.format("parquet").option("path", output_path)
-    return writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    writer = writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+        return writer.start()
 
 
 def heartbeat(spark: SparkSession, input_path: str, at: datetime) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.operators import chunks, clean
 from tallyworks.schemas import TRANSACTIONS_CSV
-from tallyworks.session import materialize
+from tallyworks.session import materialize, setting
 from tallyworks.sinks import tables
 from tallyworks.sources.transactions_csv import CSV_OPTIONS
 
@@ -110,10 +110,15 @@ def dedup_files(
     delay: str = "1 day",
     salts: int = 16,
     max_files: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Typed rows of new files without re-delivered transactions."""
+    """Typed rows of new files without re-delivered transactions.
+
+    ``state_partitions`` is fixed by the first run on a checkpoint, as in the error summary.
+    """
     read = _files(spark, input_path, max_files).select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
     )
     typed = clean.amount_to_money(clean.parse_transactions(read))
-    return _to_parquet(without_redeliveries(typed, delay, salts), output_path, checkpoint)
+    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+        return _to_parquet(without_redeliveries(typed, delay, salts), output_path, checkpoint)

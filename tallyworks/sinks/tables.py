@@ -38,10 +38,10 @@ def align_to_table(df: DataFrame, table: str) -> DataFrame:
 
 
 def _insert(rows: DataFrame, table: str, mode: str) -> int:
-    """Write and return the number of rows, which the write itself counts."""
+    """Write and return the number of rows, which the write itself counts (-1 should it not have)."""
     counted = Observation()
     rows.observe(counted, F.count("*").alias("n")).write.mode(mode).insertInto(table)
-    n = counted.get["n"]
+    n = counted.get.get("n", -1)
     logger.info("wrote %d rows to %s", n, table)
     return n
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import documents
 
 SPACE = "[ \\t-\\r]+"
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 #: Rule, and when it fails, over the measurements. The position is the bit; append only.
 RULES: list[tuple[str, str]] = [
@@ -36,53 +35,56 @@ POLICIES: dict[str, int] = {
 }
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside a three-word window that the text holds twice or more.
+def _repeat_words() -> Column:
+    """Words inside a three-word window that the text holds twice or more, from ``words``.
 
-    Windows are sorted by a 64-bit hash, so equal ones are neighbours; the positions of the repeated ones, sorted,
-    then cover three words each, less what the next one covers too. Everything stays inside the document's row.
+    A window's key is its hash with its position in the low bits, so sorting the keys, plain numbers, brings equal
+    windows together in the order of the text. The positions of the repeated ones, sorted, then cover three words
+    each, less what the next one covers too. Everything stays inside the document's row.
     """
-    windows = F.transform(
+    words, bits = F.col("words"), F.col("bits")
+    keys = F.transform(
         F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.struct(
-            F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")
-        ),
+        lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits)
+        .bitwiseOR(i.cast("long")),
     )
 
     def covered(rows: Column) -> Column:
+        hash_of = lambda x: F.call_function("shiftright", x, bits)
         repeated = F.filter(
             rows,
-            lambda x, i: (F.get(rows, i - 1)["h"] == x["h"]).eqNullSafe(F.lit(True))
-            | (F.get(rows, i + 1)["h"] == x["h"]).eqNullSafe(F.lit(True)),
+            lambda x, i: F.coalesce(hash_of(F.get(rows, i - 1)) == hash_of(x), F.lit(False))
+            | F.coalesce(hash_of(F.get(rows, i + 1)) == hash_of(x), F.lit(False)),
         )
-        at = F.array_sort(F.transform(repeated, lambda x: x["i"]))
+        at = F.array_sort(F.transform(repeated, lambda x: x - F.call_function("shiftleft", hash_of(x), bits)))
         return F.aggregate(
             at,
-            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
-            lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n"), i.alias("last")),
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")),
+            lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3).cast("long"), i - acc["last"])).alias("n"), i.alias("last")),
             lambda acc: acc["n"],
         )
 
     # A lambda's argument is evaluated once, a repeated column expression would be each time.
     return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(
-        F.get(F.transform(F.array(F.array_sort(windows)), covered), F.lit(0))
+        F.get(F.transform(F.array(F.sort_array(keys)), covered), F.lit(0))
     )
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the measurements of every whole text, each computed once."""
     base = documents(docs).select(
-        "doc_id", "text", F.filter(F.split("text", SPACE), lambda w: w != "").alias("words"),
-        F.filter(F.split("text", "\n"), lambda x: F.translate(x, SPACES, "") != "").alias("lines"),
+        "doc_id", "text", F.array_remove(F.split("text", SPACE), "").alias("words"),
+        F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"),
     )
+    base = base.withColumn("bits", F.ceil(F.log2(F.size("words") + 1.0)).cast("int"))
     return base.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col("words")).alias("n_repeat_words"),
+        _repeat_words().alias("n_repeat_words"),
     )
 
 

@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe_replay, packing, quality_rules, token_counts, toxicity
+from tallyworks.llm import bpe_replay, ngram_join, packing, pivots, quality_rules, token_counts, toxicity
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_replay.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -30,10 +34,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_bpe_replay, op4_token_counts, op6_packing, op7_toxicity, op10_quality_rules)
+    f.__name__: f for f in (
+        op1_pivot_index, op3_bpe_replay, op4_token_counts, op6_packing, op7_toxicity, op9_ngram_join, op10_quality_rules,
+    )
 }

@@ -2,4 +2,79 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from tallyworks.llm.quality_rules import BIT, POLICIES, RULES
+
+_REACH = """
+edges as (select a as x, b as y from links union select b, a from links),
+reach(root, node) as (select distinct x, x from edges union select r.root, e.y from reach r join edges e on e.x = r.node),
+parts as (select node, min(root) as component from reach group by node)
+"""
+
+#: Plain cosine of every pair of one label.
+PIVOT_INDEX = f"""
+with recursive vectors as (
+  select cast(vec_id as bigint) as vec_id, label, cast(embedding as double[]) as v from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+  select p.vec_id as a, q.vec_id as b from vectors p join vectors q
+  on p.label = q.label and p.vec_id < q.vec_id and len(p.v) = len(q.v) and list_cosine_similarity(p.v, q.v) >= 0.98
+),
+{_REACH},
+counts as (select x, count(*) as n from edges group by x)
+select e.vec_id, coalesce(c.n, 0) as n_links, coalesce(p.component, e.vec_id) as component_id,
+  coalesce(p.component, e.vec_id) = e.vec_id as kept
+from embeddings e left join counts c on c.x = e.vec_id left join parts p on p.node = e.vec_id
+"""
+
+#: Counts of shared shingles per pair. ASCII letters alone change case, and only the six given characters separate.
+_WORDS = "list_filter(regexp_split_to_array({}, '[ \\t-\\r]+'), lambda x: x <> '')"
+NGRAM_JOIN = f"""
+with recursive words as (
+  select doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w
+  from documents
+),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [w]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i : i + 3])) end as s from words
+),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+  select x.doc_id as a, y.doc_id as b from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id
+  group by x.doc_id, y.doc_id, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))
+),
+{_REACH}
+select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(p.component, s.doc_id) as component_id
+from sets s left join parts p on p.node = s.doc_id
+"""
+
+_BITS = " | ".join(f"(case when {condition} then {BIT[name]} else 0 end)" for name, condition in RULES)
+QUALITY_RULES = f"""
+with words as (
+  select doc_id, coalesce(text, '') as text, {_WORDS.format("coalesce(text, '')")} as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t-\\r]')) as l from documents
+),
+windows as (
+  select doc_id, i, count(*) over (partition by doc_id, w[i : i + 2]) as n
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from words where len(w) > 2)
+),
+covered as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest([i, i + 1, i + 2]) as p from windows where n > 1) group by doc_id
+),
+measures as (
+  select d.doc_id, cast(len(w) as bigint) as n_words, cast(length(list_aggregate(w, 'string_agg', '')) as bigint) as c,
+    cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    cast(len(l) as bigint) as n_lines, cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines,
+    cast(coalesce(c.n, 0) as bigint) as n_repeat_words
+  from words d left join covered c on c.doc_id = d.doc_id
+),
+ledger as (select *, cast({_BITS} as integer) as failed from (select * exclude (c), coalesce(c, 0) as word_chars from measures))
+select *, failed & {POLICIES["base"]} <> 0 as base_failed, failed & {POLICIES["base"] | POLICIES["v1"]} = 0 as kept from ledger
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_pivot_index": PIVOT_INDEX,
+    "op9_ngram_join": NGRAM_JOIN,
+    "op10_quality_rules": QUALITY_RULES,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import bpe_replay, ngram_join, packing, pivots, quality_rules, token_counts, toxicity
+from tallyworks.llm import bpe_replay, ngram_join, packing, pivots, quality_rules, suffix_dedup, token_counts, toxicity
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_pivot_index, op3_bpe_replay, op4_token_counts, op6_packing, op7_toxicity, op9_ngram_join, op10_quality_rules,
+        op1_pivot_index, op3_bpe_replay, op4_token_counts, op6_packing, op7_toxicity, op8_suffix_dedup, op9_ngram_join,
+        op10_quality_rules,
     )
 }

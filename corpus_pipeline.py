@@ -1,4 +1,8 @@
-"""The corpus pipeline: toxic documents go, repeats go, the rest is packed; each stage reads what the one before kept."""
+"""The corpus pipeline: toxic documents go, repeats go, the rest is packed; each stage reads what the one before kept.
+
+Rejected as toxic: a document goes. Repeated runs of lines: they are deleted, and a document of nothing else goes. Near
+copies (five words, similarity 0.8): the smallest id of each group stays. Repeated strings of 50 bytes: they are deleted.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import packing, toxicity
+from tallyworks.llm import line_winnow, ngram_join, packing, suffix_dedup, toxicity
 from tallyworks.llm.common import materialize, table
 
 
@@ -16,12 +20,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_winnow.without_repeats(docs)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one(docs, words=5, percent=80)
+
+
+def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", keep_one_of_near_copies),
+    ("suffix_array_dedup", drop_repeated_strings),
     ("best_fit_packing", pack),
 ]
 

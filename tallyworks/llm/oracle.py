@@ -73,8 +73,45 @@ ledger as (select *, cast({_BITS} as integer) as failed from (select * exclude (
 select *, failed & {POLICIES["base"]} <> 0 as base_failed, failed & {POLICIES["base"] | POLICIES["v1"]} = 0 as kept from ledger
 """
 
+#: Stretches of lines with ten words; those that also start earlier are deleted.
+LINE_WINNOW = """
+with lines as (
+  select doc_id, generate_subscripts(l, 1) - 1 as pos, unnest(l) as line
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents)
+),
+units as (
+  select doc_id, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line,
+    len(list_filter(regexp_split_to_array(line, '[ \\t-\\r]+'), lambda x: x <> '')) as words,
+    row_number() over (partition by doc_id order by pos) as k
+  from lines where regexp_matches(line, '[^ \\t-\\r]')
+),
+sums as (select *, sum(words) over (partition by doc_id order by k) as upto from units),
+stops as (
+  select a.doc_id, a.k, a.pos, min(b.k) as stop_k, min(b.pos) as stop from sums a join sums b
+  on a.doc_id = b.doc_id and b.k between a.k and a.k + 9 and b.upto - a.upto + a.words >= 10 group by 1, 2, 3
+),
+windows as (
+  select s.doc_id, s.pos, s.stop, string_agg(u.line, chr(10) order by u.k) as content
+  from stops s join units u on u.doc_id = s.doc_id and u.k between s.k and s.stop_k group by 1, 2, 3
+),
+later as (select *, row_number() over (partition by content order by doc_id, pos) as n from windows qualify n > 1),
+gone as (select distinct doc_id, unnest(range(pos, stop + 1)) as pos from later),
+runs as (
+  select doc_id, count(*) as n_removed, count_if(pos - coalesce(before, -2) > 1) as n_runs
+  from (select doc_id, pos, lag(pos) over (partition by doc_id order by pos) as before from gone) group by doc_id
+),
+kept as (
+  select l.doc_id, count(*) as n_lines, string_agg(l.line, chr(10) order by l.pos) filter (where g.pos is null) as text
+  from lines l left join gone g on g.doc_id = l.doc_id and g.pos = l.pos group by l.doc_id
+)
+select k.doc_id, k.n_lines, cast(coalesce(r.n_removed, 0) as bigint) as n_removed, cast(coalesce(r.n_runs, 0) as bigint) as n_runs,
+  sha256(coalesce(k.text, '')) as kept_sha256
+from kept k left join runs r on r.doc_id = k.doc_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_pivot_index": PIVOT_INDEX,
+    "op5_line_winnow": LINE_WINNOW,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_quality_rules": QUALITY_RULES,
 }

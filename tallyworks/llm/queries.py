@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe_replay, ngram_join, packing, pivots, quality_rules, suffix_dedup, token_counts, toxicity
+from tallyworks.llm import bpe_replay, html_cut, line_winnow, ngram_join, packing, pivots, quality_rules, suffix_dedup, token_counts, toxicity
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,10 @@ def op1_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op2_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe_replay.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -26,6 +31,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_line_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_winnow.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,7 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_pivot_index, op3_bpe_replay, op4_token_counts, op6_packing, op7_toxicity, op8_suffix_dedup, op9_ngram_join,
-        op10_quality_rules,
+        op1_pivot_index, op2_html_cut, op3_bpe_replay, op4_token_counts, op5_line_winnow, op6_packing, op7_toxicity,
+        op8_suffix_dedup, op9_ngram_join, op10_quality_rules,
     )
 }

@@ -18,7 +18,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import documents, materialize
@@ -272,7 +272,7 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
         for _, blobs in _by_bucket(batches):
             rows, ranges = _origins(np.concatenate([_unpacked(b, _ROW) for b in blobs]), length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges[0], pa.int64()), pa.array([False] * len(ranges[0])), pa.array(ranges[1], pa.binary())],
+                [pa.array(ranges[0], pa.int64()), pa.array([False] * len(ranges[0]), pa.bool_()), pa.array(ranges[1], pa.binary())],
                 names=["doc_id", "asked", "data"],
             )
             if not len(rows):
@@ -288,7 +288,7 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
             for name in _ASK.names:
                 asks[name] = rows[name]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[cuts], pa.int64()), pa.array([True] * len(cuts)),
+                [pa.array(doc[cuts], pa.int64()), pa.array([True] * len(cuts), pa.bool_()),
                  pa.array([asks[a:b].tobytes() for a, b in pairwise([*cuts, len(doc)])] if cuts else [], pa.binary())],
                 names=["doc_id", "asked", "data"],
             )
@@ -392,12 +392,12 @@ def _sort(fetched: DataFrame, length: int) -> DataFrame:
     return fetched.mapInArrow(run, "doc_id long, data binary")
 
 
-def _cut(rows: DataFrame) -> DataFrame:
+def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"doc_id": batch["doc_id"].to_pylist(), "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
+            out: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
             for text, parts in zip(batch["text"].to_pylist(), batch["parts"].to_pylist(), strict=True):
                 data = text.encode()
                 pairs = np.frombuffer(b"".join(parts or ()), "<i8").reshape(-1, 2)
@@ -410,25 +410,28 @@ def _cut(rows: DataFrame) -> DataFrame:
                 out["n_spans"].append(len(spans))
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 out["kept"].append(kept)
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            made = [pa.array(v, pa.string() if k == "kept_sha256" else pa.binary() if k == "kept" else pa.int64()) for k, v in out.items()]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", *carried)), *made], names=["doc_id", *carried, *out])
 
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-        ("kept_sha256", pa.string()), ("kept", pa.binary()),
-    ])
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    fields = "".join(f"`{name}` {rows.schema[name].dataType.simpleString()}, " for name in carried)
+    return rows.mapInArrow(run, f"doc_id long, {fields}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] | None = None) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``kept`` (the remaining bytes).
 
     Every byte that a string of ``length`` bytes covers which also starts in a document of a smaller ``doc_id`` goes;
     strings are judged on the input. A NULL text is the empty one. A row without ``doc_id`` loses nothing and repeats
     nothing. Rows that repeat an id are not earlier than each other; ranges are found per id, so such rows should
-    repeat the text, too. Other columns are not read; an empty table gives an empty result.
+    repeat the text, too. Other columns are not read, but for those that ``carry`` takes along under new names; an
+    empty table gives an empty result.
     """
     if length < GRAM:
         raise ValueError(f"strings shorter than {GRAM} bytes have no anchor")
+    carry = carry or {}
+    whole = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[c.alias(n) for n, c in carry.items()]
+    )
     docs = documents(docs)
     known = docs.where("doc_id is not null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -442,4 +445,28 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         .unionByName(compared.where("not asked").select("doc_id", "data")).unionByName(_sort(fetched, length))
     )
     ranges = ranges.groupBy("doc_id").agg(F.collect_list("data").alias("parts"))  # ranges within one document
-    return _cut(docs.join(ranges, "doc_id", "left").select("doc_id", "text", "parts"))
+    return _cut(whole.join(ranges, "doc_id", "left"), list(carry))
+
+
+def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+    """``docs`` with repeated byte strings removed from ``text``; halves of cut characters go as well.
+
+    Texts that repeat nothing stay as they are, NULL among them; all rows and columns are kept.
+    """
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
+    cut = remove_repeats(docs, length, {n: F.col(c) for c, n in names.items()})
+
+    def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [x.decode(errors="ignore") for x in batch["kept"].to_pylist()]
+            yield batch.append_column("_text", pa.array(texts, pa.string()))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
+    cut = cut.mapInArrow(readable, f"{fields}, _text string")
+    changed = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return cut.select(*[
+        F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(names[c])).alias(c) if c in changed else F.col(names[c]).alias(c)
+        for c in docs.columns
+    ])

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -149,12 +152,57 @@ def pack(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
     return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> tuple:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
+#: White space of the vocabulary, and control characters that str.split takes for it, too.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_CONTROL = re.compile("[\x1c-\x1f]")
+#: A word with marks behind it, which the vocabulary takes apart; neither an ending like 's nor a special token.
+_MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{-~]+)")
+
+
+class Encoder:
+    """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them."""
+
+    HELD = 500_000
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer, self.words, self.stretches = Tokenizer.from_file(path), {}, {}
+
+    @classmethod
+    @functools.lru_cache(maxsize=2)
+    def load(cls, path: str) -> Encoder:
+        return cls(path)
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        return [x for x in _WHITE.split(text) if x] if _CONTROL.search(text) else text.split()
+
+    def learn(self, stretches: set[str]) -> None:
+        """Encode what is not known yet."""
+        if len(self.words) > self.HELD:
+            self.words = {}
+        if len(self.stretches) > self.HELD:
+            self.stretches = {}
+        new = stretches - self.stretches.keys()
+        parts = {}
+        for x in new:
+            low = x.lower() if x.isascii() else x
+            marked = _MARKED.fullmatch(low)
+            # A few letters turn into one with an accent of its own, which would go with the marks.
+            apart = marked and (x.isascii() or unicodedata.normalize("NFC", marked[1]).lower().isalpha())
+            parts[x] = marked.groups() if apart else (low,)
+        words = self.words
+        todo = [w for w in set().union(*parts.values()) if w not in words]
+        for at in range(0, len(todo), 10_000):
+            some = todo[at : at + 10_000]
+            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            words.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encoded, strict=True))
+        self.stretches.update((x, words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]) for x, p in parts.items())
 
-    return Tokenizer.from_file(path), {}
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.stretches.__getitem__, self.cut(text)))
 
 
 def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:
@@ -163,30 +211,14 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
     ``length`` ids from ``start`` of the document on, and their checksum (``with_ids``: the ids as well). White space
     only separates words in this vocabulary, so the distinct stretches without any are encoded once per block.
     """
-    import re
-
-    white = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-    control = re.compile("[\x1c-\x1f]")  # str.split takes these for white space, the vocabulary does not
-    end = np.array([END_ID], "<u4").tobytes()
-
-    def stretches(text: str) -> list[str]:
-        return [x for x in white.split(text) if x] if control.search(text) else text.split()
+    end = array("I", [END_ID]).tobytes()
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        encoder, known = _encoder(vocabulary_path)
-        if len(known) > 400_000:
-            known.clear()
-        wanted: set[str] = set()
-        for text in batch["text"]:
-            wanted.update(stretches(text))
-        todo = [*(wanted - known.keys())]
-        for at in range(0, len(todo), 10_000):
-            part = todo[at : at + 10_000]
-            for stretch, found in zip(part, encoder.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[stretch] = np.array(found.ids, "<u4").tobytes()
+        encoder = Encoder.load(vocabulary_path)
+        encoder.learn(set().union(*map(encoder.cut, batch["text"])))
         out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids)}
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            data = b"".join(map(known.__getitem__, stretches(text))) + end
+            data = encoder.encode(text) + end
             for piece, at in enumerate(range(0, len(data), 4 * size)):
                 cut = data[at : at + 4 * size]
                 out["doc_id"].append(doc_id)

@@ -21,6 +21,8 @@ from tallyworks.llm.common import components, materialize
 
 #: Pivots per square root of the number of vectors, and their bounds: the sample is never larger than the last.
 PIVOTS_PER_ROOT, FEWEST, MOST = 4, 64, 16384
+#: Largest cosine of two pivots. Inside one tight group, chance alone would decide which of several pivots is nearer.
+APART = 0.8
 #: Pivots that describe a vector, and those a candidate pair shares at least.
 PREFIX, SHARED = 8, 2
 #: Vectors of one inverted list that one task compares with as many others.
@@ -41,6 +43,17 @@ def _unit(vectors: list) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def spread(vectors: np.ndarray) -> np.ndarray:
+    """Of vectors in order those that are ``APART`` from all before them."""
+    chosen = np.empty_like(vectors)
+    n = 0
+    for v in vectors:
+        if not n or (chosen[:n] @ v).max() <= APART:
+            chosen[n] = v
+            n += 1
+    return chosen[:n]
+
+
 def describe(classes: DataFrame, dims: dict[int, np.ndarray]) -> DataFrame:
     """Add ``pivots``: positions of the nearest pivots, nearest first."""
     shared = classes.sparkSession.sparkContext.broadcast(dims)  # at most MOST vectors
@@ -136,7 +149,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> DataFrame
     for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect():  # a row per length of vector
         m = min(MOST, max(FEWEST, math.ceil(PIVOTS_PER_ROOT * math.sqrt(r["n"]))))
         picked = classes.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("rep"), "rep", "label").limit(m).select("embedding").collect()
-        dims[r["dim"]] = _unit([p[0] for p in picked])
+        dims[r["dim"]] = spread(_unit([p[0] for p in picked]))
     found = materialize(link(describe(classes, dims), threshold), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("rep").alias("a"), F.col("to").alias("b")), "vector-components")

@@ -18,6 +18,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +26,9 @@ from tallyworks.llm.common import documents, materialize
 
 GRAM = 16
 #: Bytes of text hashed at a time; positions in it fit into the low bits of a gram's rank.
-SEGMENT, LOW = 1 << 19, np.uint64((1 << 20) - 1)
-#: Text bytes whose anchors one bucket holds, about.
-BUCKET_BYTES = 8 << 20
+SEGMENT, LOW = 1 << 17, np.uint64((1 << 20) - 1)
+#: Text bytes whose anchors one bucket holds, about, and those that a task takes at a time.
+BUCKET_BYTES, TAKEN = 8 << 20, 4 << 20
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 
@@ -96,7 +97,7 @@ def suffix_array(text: list[int]) -> list[int]:
 @functools.lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse modulo 2 to the 64."""
-    size = 1 << 21
+    size = 1 << 19
     up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up), np.cumprod(down)
@@ -188,66 +189,113 @@ def _origins(rows: np.ndarray, length: int) -> tuple[np.ndarray, tuple[list[int]
 
 
 def _doc_ranges(decided: tuple[list[int], list[bytes]]) -> pa.RecordBatch:
-    n = len(decided[0])
+    """Ranges on their way past the comparison: in negative buckets, many of them."""
     return pa.RecordBatch.from_arrays(
-        [pa.array([None] * n, pa.int64()), pa.array(decided[0], pa.int64()), pa.array(decided[1], pa.binary())],
+        [pa.array([-1 - d % 1024 for d in decided[0]], pa.int64()), pa.array(decided[0], pa.int64()), pa.array(decided[1], pa.binary())],
         names=["bucket", "doc_id", "data"],
     )
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows by portions of about ``TAKEN`` bytes of text, so that a task's memory does not follow the batch size."""
+    for batch in batches:
+        upto = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + TAKEN)))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Per task and bucket the anchors as packed rows; ranges already known to repeat go with their document."""
+    """Per portion and bucket the anchors as packed rows; ranges already known to repeat go with their document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 5000):
-                batch = whole.slice(at, 5000)
-                ids, texts = batch["doc_id"].to_numpy(), [t.encode() for t in batch["text"].to_pylist()]
-                parts = []
-                for segment in _segments([len(t) for t in texts], length):
-                    data = np.frombuffer(b"".join([texts[t][a:b] for t, a, b in segment]), np.uint8)
-                    ends = np.cumsum([b - a for _, a, b in segment])
-                    found = anchors(data, ends, length)
-                    inner = found["text"]
-                    shift = np.array([a for _, a, _ in segment]) - np.concatenate([[0], ends[:-1]])
-                    rows = np.empty(len(inner), _ROW)
-                    rows["gram"], rows["around"] = found["gram"], found["around"]
-                    rows["doc"] = ids[np.array([t for t, _, _ in segment])[inner]]
-                    rows["at"] = found["at"] + shift[inner]
-                    rows["lo"], rows["hi"] = found["at"] - found["lo"], found["at"] - found["hi"]
-                    parts.append(rows)
-                if not parts:
-                    continue
-                rows, ranges = _origins(np.concatenate(parts), length)
-                yield _doc_ranges(ranges)
-                bucket = (rows["gram"] % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                rows, bucket = rows[order], bucket[order]
-                cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
-                full = [(b, rows[x:y]) for b, (x, y) in enumerate(pairwise(cuts)) if x < y]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b for b, _ in full], pa.int64()), pa.array([None] * len(full), pa.int64()),
-                     pa.array([_packed(r) for _, r in full], pa.binary())], names=["bucket", "doc_id", "data"],
-                )
+        for batch in _portions(batches):
+            ids, texts = batch["doc_id"].to_numpy(), [t.encode() for t in batch["text"].to_pylist()]
+            parts = []
+            for segment in _segments([len(t) for t in texts], length):
+                data = np.frombuffer(b"".join([texts[t][a:b] for t, a, b in segment]), np.uint8)
+                ends = np.cumsum([b - a for _, a, b in segment])
+                found = anchors(data, ends, length)
+                inner = found["text"]
+                shift = np.array([a for _, a, _ in segment]) - np.concatenate([[0], ends[:-1]])
+                rows = np.empty(len(inner), _ROW)
+                rows["gram"], rows["around"] = found["gram"], found["around"]
+                rows["doc"] = ids[np.array([t for t, _, _ in segment])[inner]]
+                rows["at"] = found["at"] + shift[inner]
+                rows["lo"], rows["hi"] = found["at"] - found["lo"], found["at"] - found["hi"]
+                parts.append(rows)
+            if not parts:
+                continue
+            rows, ranges = _origins(np.concatenate(parts), length)
+            yield _doc_ranges(ranges)
+            bucket = (rows["gram"] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            rows, bucket = rows[order], bucket[order]
+            cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
+            full = [(b, rows[x:y]) for b, (x, y) in enumerate(pairwise(cuts)) if x < y]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in full], pa.int64()), pa.array([None] * len(full), pa.int64()),
+                 pa.array([_packed(r) for _, r in full], pa.binary())], names=["bucket", "doc_id", "data"],
+            )
 
     return docs.mapInArrow(run, "bucket long, doc_id long, data binary")
 
 
 def _packed(rows: np.ndarray) -> bytes:
-    """Columns one after the other, which compresses better than rows."""
-    return np.int64(len(rows)).tobytes() + b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names)
+    """Columns one after the other in the order of the texts, where most differences are small.
 
+    48 bits of each hash are kept. Grams that agree in them by chance are told apart by their bytes later on.
+    """
+    rows = rows[np.lexsort((rows["at"], rows["doc"]))]
+    columns = [
+        rows["gram"].astype("<u4"), (rows["gram"] >> np.uint64(32)).astype("<u2"), rows["around"].astype("<u4"),
+        (rows["around"] >> np.uint64(32)).astype("<u2"), np.diff(rows["doc"], prepend=0), np.diff(rows["at"], prepend=0),
+        rows["lo"], rows["hi"],
+    ]
+    return _squeeze(np.int64(len(rows)).tobytes() + b"".join(c.tobytes() for c in columns))
 
-def _unpacked(data: bytes, kind: np.dtype) -> np.ndarray:
+
+def _unpacked(data: bytes) -> np.ndarray:
+    data = _loosen(data)
     n = int(np.frombuffer(data[:8], "<i8")[0])
-    rows, at = np.empty(n, kind), 8
-    for name in kind.names:
-        size = kind[name].itemsize * n
-        rows[name] = np.frombuffer(data[at : at + size], kind[name])
+    columns, at = [], 8
+    for kind in ("<u4", "<u2", "<u4", "<u2", "<i8", "<i8", "<u2", "<u2"):
+        size = np.dtype(kind).itemsize * n
+        columns.append(np.frombuffer(data[at : at + size], kind))
         at += size
+    rows = np.empty(n, _ROW)
+    rows["gram"] = columns[0].astype(np.uint64) | columns[1].astype(np.uint64) << np.uint64(32)
+    rows["around"] = columns[2].astype(np.uint64) | columns[3].astype(np.uint64) << np.uint64(32)
+    rows["doc"], rows["at"], rows["lo"], rows["hi"] = np.cumsum(columns[4]), np.cumsum(columns[5]), columns[6], columns[7]
     return rows
 
 
+def _squeeze(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _loosen(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _squeezed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``text`` as compressed bytes, for a shuffle of whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = pa.array([_squeeze(t.encode()) for t in batch["text"].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([data if n == "text" else batch[n] for n in batch.schema.names], names=batch.schema.names)
+
+    fields = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, fields)
+
+
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
     """The blobs of each bucket of a partition that is sorted by bucket."""
     now, held = None, []
@@ -269,8 +317,19 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
     """Per bucket: ranges that repeat an equal surrounding (``asked`` false), and the anchors whose surroundings differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blobs in _by_bucket(batches):
-            rows, ranges = _origins(np.concatenate([_unpacked(b, _ROW) for b in blobs]), length)
+        def anchors_only() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                decided = pc.less(batch["bucket"], 0)
+                past = batch.filter(decided)
+                past = [past["doc_id"], pa.array([False] * past.num_rows, pa.bool_()), past["data"]]
+                passing.append(pa.RecordBatch.from_arrays(past, names=["doc_id", "asked", "data"]))
+                yield batch.filter(pc.invert(decided))
+
+        passing: list[pa.RecordBatch] = []
+        for _, blobs in _by_bucket(anchors_only()):
+            yield from passing
+            passing.clear()
+            rows, ranges = _origins(np.concatenate([_unpacked(b) for b in blobs]), length)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ranges[0], pa.int64()), pa.array([False] * len(ranges[0]), pa.bool_()), pa.array(ranges[1], pa.binary())],
                 names=["doc_id", "asked", "data"],
@@ -292,6 +351,7 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
                  pa.array([asks[a:b].tobytes() for a, b in pairwise([*cuts, len(doc)])] if cuts else [], pa.binary())],
                 names=["doc_id", "asked", "data"],
             )
+        yield from passing
 
     return found.mapInArrow(run, "doc_id long, asked boolean, data binary")
 
@@ -310,11 +370,11 @@ def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> Data
     rows = asked.groupBy("doc_id").agg(F.collect_list("data").alias("asks"))  # a document's own anchors at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             parts = []
             for doc, text, asks in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "asks")), strict=True):
                 ask = np.frombuffer(b"".join(asks), _ASK)
-                data = np.frombuffer(bytes(side) + text.encode() + bytes(length), np.uint8)
+                data = np.frombuffer(bytes(side) + _loosen(text) + bytes(length), np.uint8)
                 ask = ask[ask["at"] + GRAM <= len(data) - side - length]
                 out = np.empty(len(ask), kind)
                 for name in _ASK.names:
@@ -336,7 +396,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> Data
                     names=["bucket", "data"],
                 )
 
-    return docs.join(rows, "doc_id").mapInArrow(run, "bucket long, data binary")
+    return _squeezed(docs).join(rows, "doc_id").mapInArrow(run, "bucket long, data binary")
 
 
 def repeated(rows: np.ndarray, length: int) -> np.ndarray:
@@ -396,10 +456,10 @@ def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             out: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")}
             for text, parts in zip(batch["text"].to_pylist(), batch["parts"].to_pylist(), strict=True):
-                data = text.encode()
+                data = _loosen(text)
                 pairs = np.frombuffer(b"".join(parts or ()), "<i8").reshape(-1, 2)
                 _, ranges = _merged(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
                 spans = np.frombuffer(b"".join(ranges), "<i8").reshape(-1, 2).tolist()
@@ -436,16 +496,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] |
     known = docs.where("doc_id is not null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
-    found = materialize(_find(known, length, buckets), "anchors")
-    dealt = found.where("bucket is not null").select("bucket", "data").repartition("bucket").sortWithinPartitions("bucket")
-    compared = materialize(_compare(dealt, length), "compared")
+    found = _find(known, length, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    compared = materialize(_compare(found, length), "compared")
     fetched = _fetch(known, compared.where("asked"), length, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    ranges = (
-        found.where("bucket is null").select("doc_id", "data")
-        .unionByName(compared.where("not asked").select("doc_id", "data")).unionByName(_sort(fetched, length))
-    )
+    ranges = compared.where("not asked").select("doc_id", "data").unionByName(_sort(fetched, length))
     ranges = ranges.groupBy("doc_id").agg(F.collect_list("data").alias("parts"))  # ranges within one document
-    return _cut(whole.join(ranges, "doc_id", "left"), list(carry))
+    return _cut(_squeezed(whole).join(ranges, "doc_id", "left"), list(carry))
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:

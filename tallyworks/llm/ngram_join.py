@@ -15,12 +15,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import Memo, arrow_map, components, documents, materialize
 
+#: Documents of a longer column are compared in blocks of this size, inside tasks; shorter ones give pairs of rows.
+LONG, BLOCK = 64, 2048
+
 #: N-grams whose frequency is used for the order, at most; it decides only how fast candidates are found.
 FREQUENT = 200_000
 
@@ -53,6 +57,36 @@ class Shingler:
         return np.unique(mixed ^ (mixed >> np.uint64(29)))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parity bitmap of a set: a bit flips with every n-gram that falls on it.
+
+    Two sets differ in at least as many n-grams as their bitmaps in bits. The length, a power of two, follows the
+    size; halves of a longer one fold into a shorter one.
+    """
+    bits = 1 << min(16, max(8, (3 * len(shingles)).bit_length()))
+    counts = np.bincount((shingles >> np.uint64(40)).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(data: bytes, size: int) -> np.ndarray:
+    words = np.frombuffer(data, np.uint64)
+    while len(words) > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def differ_little(left: list[bytes], n: np.ndarray, right: list[bytes], m: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs (rows by columns) may be similar enough, by sizes and bitmaps; never false for one that is."""
+    size = min(map(len, [*left, *right])) // 8
+    a, b = (np.array([_folded(x, size) for x in side]) for side in (left, right))
+    total = n[:, None] + m[None, :]
+    allowed = total - 2 * (-(-percent * total // (100 + percent)))
+    out = np.zeros(total.shape, bool)
+    for i in range(len(a)):
+        out[i] = np.bitwise_count(a[i] ^ b).sum(1, dtype=np.int64) <= allowed[i]
+    return out & (100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :]))
+
+
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     """Two rows, the most frequent n-grams in order and their frequency's logarithm; estimated from above a few per block."""
 
@@ -71,12 +105,12 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document: ``n``, ``key`` (a hash of the whole set) and ``columns``, its first columns in order."""
+    """One row per document: ``n``, ``key`` (a hash of the whole set), ``sketch``, and ``columns``, its first ones in order."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         shingles, (often, level) = Shingler(words), shared.value
-        out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "key": [], "columns": []}
+        out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "key": [], "sketch": [], "columns": []}
         seen: set[int] = set()
         for text in batch["text"]:
             s = shingles(text)
@@ -85,8 +119,10 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             out["key"].append(key)
             if not len(s) or key in seen:  # copies in a block need no columns of their own
                 out["columns"].append([])
+                out["sketch"].append(None)
                 continue
             seen.add(key)
+            out["sketch"].append(sketch(s))
             last = np.zeros(len(s), np.uint64)
             if len(often):
                 at = np.minimum(np.searchsorted(often, s), len(often) - 1)
@@ -95,7 +131,7 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             out["columns"].append(s[first].view(np.int64))
         return out
 
-    return arrow_map(docs, rows, "doc_id long, n int, key long, columns array<long>", step=5000)
+    return arrow_map(docs, rows, "doc_id long, n int, key long, sketch binary, columns array<long>", step=5000)
 
 
 def _possible(a: str, b: str, percent: int) -> str:
@@ -105,6 +141,46 @@ def _possible(a: str, b: str, percent: int) -> str:
     return f"{sizes} and {100 + percent} * cast({most} as bigint) >= {percent} * (cast({a}.n as bigint) + {b}.n)"
 
 
+def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps allow the overlap they need; only bitmaps move for the others."""
+    side = lambda x: sketches.select(F.col("head").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+
+    def rows(batch: dict[str, list]) -> dict[str, list]:
+        keep = [
+            i for i in range(len(batch["a"]))
+            if differ_little([batch["sketch_a"][i]], np.array([batch["n_a"][i]]), [batch["sketch_b"][i]], np.array([batch["n_b"][i]]), percent)[0, 0]
+        ]
+        return {"a": [batch["a"][i] for i in keep], "b": [batch["b"][i] for i in keep]}
+
+    return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), rows, "a long, b long")
+
+
+def _close_in_long(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Close pairs of different components that share a long column.
+
+    A column's documents are dealt to blocks by a hash, and every pair of blocks is a group of its own, whose bitmaps
+    are compared inside the task: neither a whole column nor all its pairs ever come together.
+    """
+    sizes = rows.groupBy("h").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.select("h", "head", "component").join(sizes, "h").join(sketches, "head")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("head"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
+        left, right = group[group["own"] == lo], group[group["own"] == hi]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        near = differ_little(left["sketch"].tolist(), left["n"].to_numpy(np.int64), right["sketch"].tolist(), right["n"].to_numpy(np.int64), percent)
+        near &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
+        i, j = np.nonzero(near)
+        a, b = left["head"].to_numpy()[i], right["head"].to_numpy()[j]
+        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+
+    return dealt.groupBy("h", "lo", "hi").applyInPandas(compare, "a long, b long")
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) whose full overlap suffices.
 
@@ -162,22 +238,28 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     scaled = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))).cast("int")
     shared = materialize(shared.select("h", "n", "pos", "head", scaled.alias("size")), "ngram-columns")
 
+    sketches = known.where("sketch is not null").join(heads, ["key", "n"]).groupBy("head", "n").agg(F.min("sketch").alias("sketch"))
+    sketches = materialize(sketches.join(shared.select("head").distinct(), "head", "left_semi"), "ngram-sketches")
+
     least = shared.groupBy("h", "size").agg(F.min(F.struct("n", "head", "pos")).alias("hub")).select("h", "size", "hub.*")
     near = least.unionByName(least.withColumn("size", F.col("size") + 1))
     pairs = shared.alias("x").join(near.alias("y"), ["h", "size"]).where("x.head <> y.head").where(_possible("x", "y", percent))
-    pairs = materialize(pairs.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct(), "ngram-pairs")
+    pairs = pairs.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct()
+    pairs = materialize(_close(pairs, sketches, percent), "ngram-pairs")
     links = materialize(_verify(pairs, _texts(docs, pairs), words, percent), "ngram-links")
 
     groups = components(links, "ngram-components")
     placed = shared.join(groups.withColumnRenamed("node", "head"), "head", "left").select(
         "h", "n", "pos", "head", F.coalesce("component", "head").alias("component")
     )
-    mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("h")
-    mixed = materialize(placed.join(mixed, "h"), "ngram-mixed")
-    rest = mixed.alias("x").join(mixed.alias("y"), "h").where("x.component < y.component").where(_possible("x", "y", percent))
-    rest = rest.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct()
-    done = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = materialize(rest.join(done, ["a", "b"], "left_anti"), "ngram-pairs")
+    mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
+    mixed = materialize(placed.join(mixed.where("lo < hi").select("h", "rows"), "h"), "ngram-mixed")
+    short = mixed.where(F.col("rows") <= LONG)
+    rest = short.alias("x").join(short.alias("y"), "h").where("x.component < y.component").where(_possible("x", "y", percent))
+    rest = rest.select(F.greatest("x.head", "y.head").alias("a"), F.least("x.head", "y.head").alias("b")).distinct()
+    rest = _close(rest, sketches, percent).unionByName(_close_in_long(mixed.where(F.col("rows") > LONG), sketches, percent))
+    done = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    rest = materialize(rest.distinct().join(done, ["a", "b"], "left_anti"), "ngram-pairs")
     more = _verify(rest, _texts(docs, rest), words, percent)
 
     groups = components(links.unionByName(more), "ngram-components").withColumnRenamed("node", "head")

@@ -20,7 +20,9 @@ CHUNK_COLUMN = "chunk_id"
 
 def chunk_of(ordinal: Column, chunk_rows: int = CHUNK_ROWS) -> Column:
     """Chunk number of an input position, counted before any filter."""
-    return F.floor(ordinal / chunk_rows).cast("bigint")
+    number = ordinal.cast("bigint")
+    size = F.lit(chunk_rows).cast("bigint")
+    return F.call_function("div", number - F.pmod(number, size), size)  # whole numbers only; rounds down below zero, too
 
 
 def with_chunk(df: DataFrame, ordinal: str | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +15,9 @@ from tallyworks.schemas import DATE_COLUMNS, ID_COLUMNS, TableSpec
 
 
 def timestamp_literal(value: datetime):
-    """A literal without a zone; F.lit of a datetime would carry the session's."""
+    """A literal without a zone; F.lit of a datetime would carry the session's. An aware datetime is taken in UTC."""
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc)
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
@@ -89,6 +91,16 @@ def parse_transactions(df: DataFrame, formats: Sequence[str] = ()) -> DataFrame:
     return df.transform(parse_amount).transform(normalize_status)
 
 
+def kept_by_rules(df: DataFrame) -> Column:
+    """Whether the cleaning rules keep a parsed row; a rule applies if its column is there."""
+    kept = F.lit(True)
+    if "amount" in df.columns:
+        kept = kept & filters.is_positive(F.col("amount"))
+    if "status" in df.columns:
+        kept = kept & filters.is_valid(F.col("status"))
+    return F.coalesce(kept, F.lit(False))
+
+
 def transform_transactions(
     df: DataFrame, run_ts: datetime, batch_id: str | None = None, formats: Sequence[str] = ()
 ) -> DataFrame:

@@ -13,14 +13,22 @@ from tallyworks.schemas import VALID_STATUSES
 SERVER_ERROR = 500  # fixed value: lowest status code that counts as a server error
 
 
+def is_positive(amount: Column) -> Column:
+    return amount > 0
+
+
+def is_valid(status: Column) -> Column:
+    return status.isin(*VALID_STATUSES)
+
+
 def positive_amount(df: DataFrame) -> DataFrame:
     """Cleaning rule: zero, negative and unparsed amounts go."""
-    return df.where(F.col("amount") > 0)
+    return df.where(is_positive(F.col("amount")))
 
 
 def valid_status(df: DataFrame) -> DataFrame:
     """Cleaning rule: only the accepted statuses stay; NULL goes."""
-    return df.where(F.col("status").isin(*VALID_STATUSES))
+    return df.where(is_valid(F.col("status")))
 
 
 def server_errors(df: DataFrame) -> DataFrame:

@@ -16,6 +16,11 @@ def users_with_failures(dim_users: DataFrame, failures: DataFrame) -> DataFrame:
     return dim_users.join(failures, "user_id")
 
 
+def missing_keys(new: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``new`` the target does not have: a hash aggregate over the key alone, then an anti join."""
+    return new.select(key).distinct().join(target.select(key), key, "left_anti")
+
+
 def insert_missing(new: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """New rows, one per key, whose key the target does not have yet."""
     return new.dropDuplicates([key]).join(target.select(key), key, "left_anti")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions import parsing
 from tallyworks.functions.dates import hour_floor
 from tallyworks.operators import aggregates, filters
+from tallyworks.session import scratch, written
 from tallyworks.sinks import files
 from tallyworks.sources import logs_json
 
+logger = logging.getLogger(__name__)
+
 
 def clean_logs(df: DataFrame, strict: bool = True) -> DataFrame:
     """Parsed timestamp, endpoint path and shortened user agent."""
@@ -46,16 +51,26 @@ def error_log_rows(
     spark: SparkSession,
     input_path: str,
     output_path: str,
-    rows_per_file: int = files.ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     bad_lines_path: str | None = None,
 ) -> DataFrame:
-    """Tolerant scan to error rows to parquet in pieces; returns what was written.
+    """Tolerant scan to error rows to parquet; returns what was written.
 
-    Lines that are no records are left out, or kept with their file under ``bad_lines_path``.
+    Lines that are no records are kept with their file under ``bad_lines_path``, by default ``output_path`` with
+    ``-bad-lines``, and counted in a warning. The text is read and parsed once: error rows and bad lines are landed
+    together in the shared folder and told apart there.
     """
-    good, bad = logs_json.split_lines(spark, input_path)
-    rows = error_rows(good)
-    files.write_chunks(rows, output_path, rows_per_file=rows_per_file)
-    if bad_lines_path:
-        bad.write.mode("overwrite").parquet(bad_lines_path)
+    seen = Observation()
+    lines = spark.read.text(input_path).select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = logs_json.parse_lines(lines).observe(seen, F.count("*").alias("lines"), F.count_if("is_bad").alias("bad"))
+    status = F.col("record.status_code")
+    wanted = parsed.where(F.col("is_bad") | (status >= filters.SERVER_ERROR))
+    flat = wanted.select("is_bad", F.when(F.col("is_bad"), F.struct("file", "value")).alias("bad"), "record.*").drop(logs_json.CORRUPT)
+    with scratch(spark, "log-rows") as folder:
+        landed = written(flat, folder)
+        rows = error_rows(landed.where(~F.col("is_bad")).drop("is_bad", "bad"))
+        files.write_chunks(rows, output_path, rows_per_file=rows_per_file)
+        landed.where("is_bad").select("bad.*").write.mode("overwrite").parquet(bad_lines_path or f"{output_path.rstrip('/')}-bad-lines")
+    if seen.get["bad"]:
+        logger.warning("%d of %d lines of %s are no records", seen.get["bad"], seen.get["lines"], input_path)
     return spark.read.schema(rows.schema).parquet(output_path)

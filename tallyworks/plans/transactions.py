@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import functools
+import logging
+import urllib.parse
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,25 +16,11 @@ from tallyworks.functions.aggregates import watermark
 from tallyworks.functions.dates import date_key
 from tallyworks.operators import chunks, clean, integrity, quality
 from tallyworks.schemas import FACT_TRANSACTIONS, RAW_TRANSACTIONS, TRANSACTIONS_CSV
-from tallyworks.session import materialize, shared_dir
+from tallyworks.session import scratch, written
 from tallyworks.sinks import tables
-from tallyworks.sources.transactions_csv import read_transactions
+from tallyworks.sources.transactions_csv import SURPLUS, scan_transactions
 
-
-def accept(
-    source: DataFrame, run_ts: datetime, batch_id: str | None = None, unit: str = "chunk", **options
-) -> tuple[DataFrame, DataFrame]:
-    """Clean rows that carry a chunk, and split them into accepted and quarantined ones.
-
-    The rejected chunks are computed once and written down, a handful of rows, so that both results
-    join a frame of known size.
-    """
-    cleaned = clean.transform_transactions(source, run_ts, batch_id, **options)
-    whole_input = any(c not in cleaned.columns for c in chunks.REQUIRED_COLUMNS)
-    rejected = None
-    if unit == "chunk" and not whole_input:
-        rejected = materialize(chunks.rejected_chunks(cleaned), "rejected")
-    return chunks.split_chunks(cleaned, unit=unit, rejected=rejected)
+logger = logging.getLogger(__name__)
 
 
 def ingest_raw(
@@ -45,30 +34,63 @@ def ingest_raw(
     unit: str = "chunk",
     quarantine_table: str | None = None,
     schema: T.StructType | None = TRANSACTIONS_CSV,
-) -> None:
-    """Scan, clean, validate and store transactions under the batch of this run.
+    multi_line: bool = False,
+) -> dict[str, int]:
+    """Scan, clean, validate and store transactions under the batch of this run; returns and logs what was counted.
 
-    The batch identifies the run: repeating a run replaces its own rows. Two runs that start in the
-    same second need batch ids of their own.
+    The text is read once: typed rows are landed in the shared folder, and acceptance, rejected chunks and counts come
+    from there. Rejected rows and lines with surplus fields go to the quarantine, by default the table's name with
+    ``_quarantine``, under the same batch. The batch identifies the run: repeating a run replaces its own rows. Two
+    runs that start in the same second need batch ids of their own.
     """
     batch_id = batch_id or clean.batch_name(run_ts)
-    source = read_transactions(spark, input_path, schema, ordinal, chunk_rows)
-    accepted, rejected = accept(source, run_ts, batch_id, unit)
-    tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN), table, batch_id)
-    if quarantine_table:
-        _write_quarantine(rejected, quarantine_table, batch_id)
+    read = Observation()
+    source = scan_transactions(spark, input_path, schema=schema, ordinal=ordinal, chunk_rows=chunk_rows, multi_line=multi_line)
+    source = source.observe(read, F.count("*").alias("rows"), F.count(SURPLUS).alias("surplus"))
+    line = F.col(SURPLUS)
+    parsed = clean.parse_transactions(source.withColumn("_line", line).drop(SURPLUS))
+    parsed = parsed.where(F.col("_line").isNotNull() | clean.kept_by_rules(parsed))
+    with scratch(spark, "ingest") as folder:
+        landed = written(clean.stamp_batch(clean.amount_to_money(parsed), run_ts, batch_id), f"{folder}/rows")
+        counted = store_landed(landed, table, batch_id, quarantine_table or f"{table}_quarantine", f"{folder}/rejected", unit)
+    counts = {"rows_read": read.get["rows"], "surplus_lines": read.get["surplus"], **counted}
+    log = logger.warning if counts["quarantined"] else logger.info
+    log("batch %s of %s: %s", batch_id, table, counts)
+    return counts
+
+
+def store_landed(
+    landed: DataFrame, table: str, batch_id: str, quarantine_table: str, rejected_path: str, unit: str = "chunk"
+) -> dict[str, int]:
+    """Split the landed rows of one batch, which may carry a surplus line in ``_line``, and store both parts.
+
+    The rejected chunks are written down first, a handful of rows, so that both results join a frame of known size.
+    """
+    lines = landed.where(F.col("_line").isNotNull()).withColumn("reason", F.lit("more fields than columns"))
+    fitting = landed.where(F.col("_line").isNull())
+    whole_input = any(c not in landed.columns for c in chunks.REQUIRED_COLUMNS)
+    rejected = None
+    if unit == "chunk" and not whole_input:
+        rejected = written(chunks.rejected_chunks(fitting), rejected_path)
+    accepted, refused = chunks.split_chunks(fitting, unit=unit, rejected=rejected)
+    n_accepted = tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN, "_line"), table, batch_id)
+    n_refused = _write_quarantine(refused.unionByName(lines).withColumnRenamed("_line", "line"), quarantine_table, batch_id)
+    return {
+        "accepted": n_accepted, "quarantined": n_refused, "rejected_chunks": rejected.count() if rejected is not None else 0,
+    }
 
 
-def _write_quarantine(rows: DataFrame, table: str, batch_id: str) -> None:
+def _write_quarantine(rows: DataFrame, table: str, batch_id: str) -> int:
     spark = rows.sparkSession
-    rows = rows.withColumn(chunks.CHUNK_COLUMN, F.col(chunks.CHUNK_COLUMN).cast("string"))
+    if chunks.CHUNK_COLUMN in rows.columns:
+        rows = rows.withColumn(chunks.CHUNK_COLUMN, F.col(chunks.CHUNK_COLUMN).cast("string"))
     if not spark.catalog.tableExists(table):
         layout = [c for c in rows.columns if c != "batch_id"] + ["batch_id"]
         rows.select(*layout).limit(0).write.format("parquet").partitionBy("batch_id").saveAsTable(table)
-    tables.overwrite_batch(rows, table, batch_id)
+    return tables.overwrite_batch(rows, table, batch_id)
 
 
-def to_fact(raw: DataFrame, load_ts: datetime, created_at_source: str = "load") -> DataFrame:
+def to_fact(raw: DataFrame, load_ts: datetime, created_at_source: str = "load", keep: Sequence[str] = ()) -> DataFrame:
     """Fact rows of raw rows; the columns a load does not fill get their defaults.
 
     ``created_at`` is the load time by default; ``'event'`` takes the time of the transaction.
@@ -76,35 +98,65 @@ def to_fact(raw: DataFrame, load_ts: datetime, created_at_source: str = "load")
     now = clean.timestamp_literal(load_ts)
     picked = raw.select(
         "transaction_id", "user_id", date_key(F.col("transaction_date")).alias("date_id"), "amount", "status",
-        F.col("transaction_date").alias("_event_time"),
+        F.col("transaction_date").alias("_event_time"), *keep,
     )
     created = F.col("_event_time") if created_at_source == "event" else now
     filled = clean.column_defaults(picked, FACT_TRANSACTIONS, created_at=created, processed_at=now)
-    return filled.select(*[c for c, _ in FACT_TRANSACTIONS.columns])
+    return filled.select(*[c for c, _ in FACT_TRANSACTIONS.columns], *keep)
+
 
+# What was loaded: a row when the load of a batch starts and one when it is complete, and the ids with their batch.
 
-def new_raw_rows(raw: DataFrame, fact: DataFrame, prune_batches: bool = False) -> DataFrame:
-    """Raw rows stamped at or after the fact's latest load.
+STARTED, LOADED = "started", "loaded"
 
-    The watermark is one value and is fetched first, so the filter reaches the scan as a constant.
-    ``prune_batches`` also skips the folders of older batches, for tables whose batch ids are made
-    from the run time.
+
+def _batch_ledger(spark: SparkSession, fact_table: str) -> str:
+    name = f"{fact_table}_batches"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id STRING, state STRING, at TIMESTAMP_NTZ, loaded_rows BIGINT) USING parquet")
+    return name
+
+
+def _note(spark: SparkSession, ledger: str, batches: list[str], state: str, at: datetime, loaded: int | None = None) -> None:
+    rows = spark.createDataFrame([(b, state, loaded) for b in batches], "batch_id string, state string, loaded_rows bigint")
+    rows.withColumn("at", clean.timestamp_literal(at)).coalesce(1).select("batch_id", "state", "at", "loaded_rows").write.insertInto(ledger)
+
+
+def _id_ledger(spark: SparkSession, fact_table: str) -> str:
+    """Ids of the fact with their batch, bucketed by id, so that a look-up moves only the new ids.
+
+    Made from the fact where it is missing; ids loaded before that have no batch.
+    """
+    name = f"{fact_table}_ids"
+    if not spark.catalog.tableExists(name):
+        ids = spark.table(fact_table).select("transaction_id", F.lit(None).cast("string").alias("batch_id"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ids.write.format("parquet").bucketBy(buckets, "transaction_id").saveAsTable(name)
+    return name
+
+
+def _stored_batches(spark: SparkSession, raw_table: str) -> list[str]:
+    """Batch folders of the raw table, one per run, from the catalog."""
+    names = (r["partition"] for r in spark.sql(f"SHOW PARTITIONS {raw_table}").collect())
+    return [urllib.parse.unquote(n.removeprefix("batch_id=")) for n in names]
+
+
+def new_raw_rows(raw: DataFrame, fact: DataFrame) -> DataFrame:
+    """Raw rows stamped at or after the fact's latest load, the reference's choice of what is new.
+
+    A batch stamped before the last load but stored after it is never chosen; loading by batch has no such hole.
     """
     latest = fact.agg(watermark(F.col("processed_at")).alias("w")).first()["w"]
-    rows = raw.where(F.col("processed_at") >= clean.timestamp_literal(latest))
-    return rows.where(F.col("batch_id") >= clean.batch_name(latest)) if prune_batches else rows
+    return raw.where(F.col("processed_at") >= clean.timestamp_literal(latest))
 
 
-def _write_keys(spark: SparkSession, sets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _write_keys(spark: SparkSession, sets: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
     """Compute all key sets in one job, a folder each, and read back those that are not empty."""
-    path = shared_dir(spark, "offending-keys")
     tagged = [
         keys.select(F.col(keys.columns[0]).cast("bigint").alias("key"), F.lit(i).alias("rule"))
         for i, keys in enumerate(sets.values())
     ]
     functools.reduce(DataFrame.unionByName, tagged).write.partitionBy("rule").parquet(path)
-    written = spark.read.schema("key bigint, rule int").parquet(path)
-    found = {r["rule"] for r in written.select("rule").distinct().collect()}
+    found = {r["rule"] for r in spark.read.schema("key bigint, rule int").parquet(path).select("rule").distinct().collect()}
     return {
         text: spark.read.schema("key bigint").parquet(f"{path}/rule={i}").select(F.col("key").alias(keys.columns[0]))
         for i, (text, keys) in enumerate(sets.items())
@@ -122,29 +174,63 @@ def load_fact_incremental(
     created_at_source: str = "load",
     on_violation: str = "fail",
     quarantine_table: str | None = None,
-    prune_batches: bool = False,
+    choose: str = "batch",
 ) -> int:
-    """Load new raw rows into the fact table; returns how many were loaded.
+    """Load the batches of the raw table that are not recorded as loaded; returns how many rows were loaded.
 
-    ``on_violation='fail'`` loads nothing if any row breaks a constraint; ``'quarantine'`` loads the
-    others. Ids the fact already has count as broken, so repeating a load adds nothing.
+    ``on_violation='fail'`` loads nothing if any row breaks a constraint; ``'quarantine'`` loads the others, and the
+    violating rows of a batch replace what an earlier load of it set aside. An id that another batch has loaded is a
+    violation. A load that was cut off is made up for: rows of a started batch that the fact holds already are left out.
+    ``choose='watermark'`` takes only rows stamped at or after the latest load, and refuses a load time that is not
+    after the rows' own, for those would be chosen again.
 
-    The offending keys are written down first. Rules nothing breaks then need no join, and the other
-    joins are planned with the true, as a rule tiny, size of the key set, without shuffling the rows.
+    New rows and offending keys are written down first: the raw folders are read once, rules nothing breaks need no
+    join, and the other joins are planned with true sizes. Known ids are looked up in a ledger bucketed by id.
     """
-    if on_violation not in ("fail", "quarantine"):
-        raise ValueError(f"unknown mode: {on_violation}")
-    fact = spark.table(fact_table)
-    new = to_fact(new_raw_rows(spark.table(raw_table), fact, prune_batches), load_ts, created_at_source)
-    offending = _write_keys(spark, integrity.offending_keys(new, dim_users, dim_date, fact))
-    flagged = integrity.flag_violations(new, offending)
-    if on_violation == "fail":
-        counts = {r["violation"]: r["row_count"] for r in integrity.violation_counts(flagged).collect()}
-        if counts:
-            raise integrity.IntegrityError(f"nothing loaded into {fact_table}: {counts}")
-    elif quarantine_table:
-        tables.save(integrity.violating(flagged), quarantine_table)
-    return tables.append(integrity.passing(flagged), fact_table, cluster_by="date_id")
+    if on_violation not in ("fail", "quarantine") or choose not in ("batch", "watermark"):
+        raise ValueError(f"unknown mode: {on_violation}, {choose}")
+    fact, raw = spark.table(fact_table), spark.table(raw_table)
+    ledger, ids = _batch_ledger(spark, fact_table), _id_ledger(spark, fact_table)
+    states: dict[str, set[str]] = {}
+    for r in spark.table(ledger).select("batch_id", "state").collect():  # two rows per run
+        states.setdefault(r["batch_id"], set()).add(r["state"])
+    pending = sorted(b for b in _stored_batches(spark, raw_table) if LOADED not in states.get(b, ()))
+    if not pending:
+        return 0
+    rows = raw.where(F.col("batch_id").isin(*pending))
+    if choose == "watermark":
+        rows = new_raw_rows(rows, fact)
+        if not rows.where(F.col("processed_at") >= clean.timestamp_literal(load_ts)).isEmpty():
+            raise ValueError("by watermark, the load must be later than the run that stored the rows")
+    with scratch(spark, "load") as folder:
+        new = written(to_fact(rows, load_ts, created_at_source, keep=["batch_id"]), f"{folder}/new")
+        if cut_off := [b for b in pending if STARTED in states.get(b, ())]:
+            held = fact.select("transaction_id").join(
+                new.where(F.col("batch_id").isin(*cut_off)).select("transaction_id").distinct(), "transaction_id", "left_semi"
+            )
+            own = spark.table(ids).where(F.col("batch_id").isin(*cut_off)).select("transaction_id", "batch_id")
+            done = held.join(own, "transaction_id").distinct()
+            new = written(new.join(done, ["transaction_id", "batch_id"], "left_anti"), f"{folder}/left")
+        others = spark.table(ids).where(~F.coalesce(F.col("batch_id").isin(*pending), F.lit(False))).select("transaction_id")
+        sets = integrity.offending_keys(new.drop("batch_id"), dim_users, dim_date)
+        known = new.select("transaction_id").distinct().join(others, "transaction_id", "left_semi")
+        first, *rest = sets.items()
+        offending = _write_keys(spark, dict([first, ("transaction_id already loaded", known), *rest]), f"{folder}/keys")
+        flagged = integrity.flag_violations(new, offending)
+        if on_violation == "fail":
+            counts = {r["violation"]: r["row_count"] for r in integrity.violation_counts(flagged).collect()}
+            if counts:
+                raise integrity.IntegrityError(f"nothing loaded into {fact_table}: {counts}")
+        elif quarantine_table:
+            violating = written(integrity.violating(flagged), f"{folder}/violating")
+            for batch in pending:  # as a rule one: the run that just ended
+                _write_quarantine(violating.where(F.col("batch_id") == batch), quarantine_table, batch)
+        passing = integrity.passing(flagged)
+        _note(spark, ledger, pending, STARTED, load_ts)
+        passing.select("transaction_id", "batch_id").write.insertInto(ids)
+        n = tables.append(passing.drop("batch_id"), fact_table, cluster_by="date_id", checked=True)
+        _note(spark, ledger, pending, LOADED, load_ts, n)
+    return n
 
 
 def run_all(
@@ -158,20 +244,15 @@ def run_all(
     load_ts: datetime | None = None,
     on_violation: str = "fail",
     created_at_source: str = "load",
-    gate_batch_only: bool = False,
     **ingest_options,
-) -> None:
-    """Ingest, gate, load; an error in one step keeps the later ones from running.
+) -> int:
+    """Ingest, gate, load; an error in one step keeps the later ones from running. Returns how many rows were loaded.
 
-    The gate judges the whole raw table. ``gate_batch_only`` restricts it to this run's folder, for
-    tables too large to be read on every run; ids are still checked against the fact by the load.
+    The gate judges the whole raw table on every run.
     """
     ingest_raw(spark, input_path, raw_table, run_ts, **ingest_options)
-    raw = spark.table(raw_table)
-    if gate_batch_only:
-        raw = raw.where(F.col("batch_id") == (ingest_options.get("batch_id") or clean.batch_name(run_ts)))
-    quality.gate(raw, RAW_TRANSACTIONS.name)
-    load_fact_incremental(
+    quality.gate(spark.table(raw_table), RAW_TRANSACTIONS.name)
+    return load_fact_incremental(
         spark, raw_table, fact_table, dim_users, dim_date, load_ts or run_ts,
         created_at_source=created_at_source, on_violation=on_violation,
     )

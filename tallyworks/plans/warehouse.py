@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,12 +48,8 @@ def default_date_dimension(spark: SparkSession) -> DataFrame:
 
 def load_dim_date(spark: SparkSession, table: str, days: DataFrame | None = None) -> None:
     """Insert the days the table does not have yet."""
-    new = date_dimension(date_series(spark) if days is None else days)
-    tables.append(joins.insert_missing(new, spark.table(table), "date_id"), table)
-
-
-def span_of_days(start: date, end: date) -> int:
-    return (end - start) // timedelta(days=1) + 1
+    days = date_series(spark) if days is None else days
+    tables.append(date_dimension(joins.missing_keys(days, spark.table(table), "full_date")), table, checked=True)
 
 
 def create_daily_view(

@@ -134,7 +134,7 @@ def src_jsonl_tolerant(spark, sf):
 @query
 def src_sql_query(spark, sf):
     text = (
-        "select user_id, count(*) as n_rows, cast(sum(amount) as double) as total from tw_fact "
+        "select user_id, count(*) as n_rows, cast(sum(amount) as double) as total from {tw_fact} "
         "where status = :status and created_at >= cast(:since as timestamp_ntz) group by user_id"
     )
     return run_query(spark, text, {"status": "completed", "since": "2024-01-10"}, {"tw_fact": a.fact(spark, sf)})
@@ -384,13 +384,9 @@ def join_correlated_count(spark, sf):
 
 @query
 def join_anti_existing(spark, sf):
-    new = warehouse.date_dimension(
-        a.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("date").alias("full_date"))
-    )
-    held = warehouse.date_dimension(
-        a.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("full_date")).distinct()
-    )
-    return joins.insert_missing(new, held, "date_id")
+    days = lambda name, column: a.table(spark, sf, name).select(F.col(column).cast("date").alias("full_date"))
+    new = joins.missing_keys(days("lineitem", "l_shipdate"), days("orders", "o_orderdate").distinct(), "full_date")
+    return warehouse.date_dimension(new.where("full_date is not null"))
 
 
 @query
@@ -553,7 +549,7 @@ def load_fact_incremental(spark, sf):
         for _ in range(times):
             transactions.load_fact_incremental(
                 spark, raw, fact, users, days, run_ts + timedelta(hours=1), on_violation="quarantine",
-                quarantine_table=f"{database}.fact_quarantine", prune_batches=True,
+                quarantine_table=f"{database}.fact_quarantine",
             )
 
     load(rows.where(~late), a.RUN_TS, times=1)
@@ -613,13 +609,18 @@ def error_log_rows(spark, sf):
 
 @query
 def run_transactions(spark, sf):
+    """Two runs an hour apart, each over half of the chunks."""
     database = _database(spark)
     warehouse.create_star_schema(spark, database)
-    fact = f"{database}.fact_transactions"
-    transactions.run_all(
-        spark, _csv_of_raw(spark, sf), f"{database}.raw_transactions", fact, a.dim_users(spark, sf),
-        a.dim_date(spark), a.RUN_TS, a.LOAD_TS, ordinal="transaction_id", chunk_rows=a.SMALL_CHUNK_ROWS,
-    )
+    fact, path = f"{database}.fact_transactions", shared_dir(spark, "csv")
+    users, days, rows = a.dim_users(spark, sf), a.dim_date(spark), a.raw_source(spark, sf)
+    odd = chunks.chunk_of(F.col("transaction_id"), a.SMALL_CHUNK_ROWS) % 2
+    for i in range(2):
+        _write_csv(rows.where(odd == i), f"{path}/{i}")
+        transactions.run_all(
+            spark, f"{path}/{i}", f"{database}.raw_transactions", fact, users, days, a.RUN_TS + timedelta(hours=i),
+            a.LOAD_TS + timedelta(hours=i), ordinal="transaction_id", chunk_rows=a.SMALL_CHUNK_ROWS,
+        )
     return _fact_columns(spark.table(fact))
 
 
@@ -650,10 +651,10 @@ def stream_error_summary(spark, sf):
     last = a.table(spark, sf, "events").agg(F.max("ts").alias("last")).first()["last"]
 
     def run() -> None:
-        log_streams.summarize_new_files(
+        log_streams.finish(log_streams.summarize_new_files(
             spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint",
             state_partitions=spark.sparkContext.defaultParallelism,
-        ).awaitTermination()
+        ))
 
     run()
     log_streams.heartbeat(spark, f"{base}/in", last + timedelta(hours=3))
@@ -666,10 +667,7 @@ def stream_dedup_transactions(spark, sf):
     base = shared_dir(spark, "redelivered")
     rows = a.raw_source(spark, sf)
     _write_csv(rows.unionByName(rows.where(F.col("status") == "Completed")), f"{base}/in")
-    transaction_streams.dedup_files(
-        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", delay="31 days",
-        state_partitions=spark.sparkContext.defaultParallelism,
-    ).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(
+    transaction_streams.dedup_files(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return transaction_streams.deduplicated(spark, f"{base}/out").select(
         "transaction_id", "user_id", _dbl("amount"), "transaction_date", "status"
     )

@@ -18,7 +18,8 @@ NA_VALUES = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null",
 )
 EPOCH_WATERMARK = "1900-01-01"
-# End of fixed values.
+
+KEY_PROPERTY, REQUIRED_PROPERTY = "tallyworks.key", "tallyworks.required"
 
 TRANSACTIONS_CSV = T.StructType([T.StructField(name, T.StringType()) for name in CSV_COLUMNS])
 
@@ -54,8 +55,14 @@ class TableSpec:
             for name, kind in ordered
         )
         target = f"{database}.{self.name}" if database else self.name
+        properties = ", ".join(
+            f"'{name}' = '{','.join(columns)}'"
+            for name, columns in ((KEY_PROPERTY, self.key), (REQUIRED_PROPERTY, self.required)) if columns
+        )
         layout = f" PARTITIONED BY ({', '.join(self.partitioned_by)})" if self.partitioned_by else ""
-        return f"CREATE TABLE IF NOT EXISTS {target} ({body}) USING parquet{layout}"
+        return f"CREATE TABLE IF NOT EXISTS {target} ({body}) USING parquet{layout}" + (
+            f" TBLPROPERTIES ({properties})" if properties else ""
+        )
 
 
 _NOW = "cast(current_timestamp() AS timestamp_ntz)"
@@ -85,7 +92,7 @@ DIM_USERS = TableSpec(
     key=("user_id", "valid_from"),
 )
 
-# One folder per day: the report and summary predicates and the join to dim_date prune on it.
+# One folder per day, so that a load touches few folders and a filter on date_id prunes.
 FACT_TRANSACTIONS = TableSpec(
     "fact_transactions",
     (
@@ -111,4 +118,6 @@ RAW_TRANSACTIONS = TableSpec(
     partitioned_by=("batch_id",),
 )
 
+# End of fixed values.
+
 STAR_SCHEMA = (DIM_DATE, DIM_USERS, FACT_TRANSACTIONS, RAW_TRANSACTIONS)

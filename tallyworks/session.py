@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -58,24 +56,48 @@ def setting(spark: SparkSession, key: str, value: str | int | None) -> Iterator[
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors can reach.
-
-    Only a local session without that setting falls back to the machine's own temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; jobs need a folder all executors share")
-        base = os.path.join(tempfile.gettempdir(), "spark-shared")
+    """A new folder all executors can reach: below ``spark.checkpoint.dir``, else the checkpoint folder set on the
+    context, else the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tallyworks/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder a job wrote for itself."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
-    Cuts the lineage in a way that survives lost executors, computes the frame once for several
-    readers, and gives the planner its true size, on which broadcast decisions then rest.
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a shared folder; none if it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(target) if s.isDirectory())
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A shared folder for the time of a job; it goes once the result is stored, and after an error."""
+    path = shared_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back.
+
+    Cuts the lineage in a way that survives lost executors, computes the frame once for several readers, and gives the
+    planner its true size, on which broadcast decisions then rest.
     """
-    path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """``written`` to a shared folder of its own, which stays for as long as the caller's frames may be read."""
+    return written(df, shared_dir(df.sparkSession, purpose))

@@ -20,11 +20,14 @@ def write_summary(df: DataFrame, path: str, partition_by_day_of: str | None = No
     daily.write.mode("overwrite").option("compression", "snappy").partitionBy("day").parquet(path)
 
 
-def write_chunks(df: DataFrame, path: str, chunk: str | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
+def write_chunks(df: DataFrame, path: str, chunk: str | None = None, rows_per_file: int | None = None) -> None:
     """Snappy parquet in pieces; a piece without rows is not written.
 
-    With ``chunk`` every value of that column gets a folder of its own. That suits chunks as coarse
-    as a file or a day; for row ranges leave it out and let ``rows_per_file`` cut the files.
+    ``chunk`` stays a column: rows are gathered by it, neighbouring chunks share files, and the file size decides where
+    files end, so there is no folder or file per chunk. ``rows_per_file`` cuts files by rows as well, for readers that
+    need it (``ROWS_PER_FILE``).
     """
-    writer = df.write.mode("overwrite").option("compression", "snappy").option("maxRecordsPerFile", rows_per_file)
-    (writer.partitionBy(chunk) if chunk else writer).parquet(path)
+    if chunk:
+        df = df.hint("rebalance", F.col(chunk)).sortWithinPartitions(chunk)
+    writer = df.write.mode("overwrite").option("compression", "snappy")
+    (writer.option("maxRecordsPerFile", rows_per_file) if rows_per_file else writer).parquet(path)

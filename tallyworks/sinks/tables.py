@@ -3,18 +3,30 @@
 from __future__ import annotations
 
 import logging
+import re
+import urllib.parse
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.operators import integrity
-from tallyworks.schemas import TableSpec
-from tallyworks.session import setting
+from tallyworks.schemas import KEY_PROPERTY, REQUIRED_PROPERTY, TableSpec
+from tallyworks.session import remove, subfolders
 
 logger = logging.getLogger(__name__)
 
 JDBC_BATCH_ROWS = 1000  # fixed value: rows per INSERT
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def _fitting(value: Column, kind: T.StructField) -> Column:
+    """The value, or an error if it is longer than the column's VARCHAR allows."""
+    limit = re.fullmatch(r"varchar\((\d+)\)", kind.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+    if not limit:
+        return value
+    message = f"EXCEED_LIMIT_LENGTH: a value of {kind.name} is longer than {limit[1]}"
+    return F.when(F.length(value) > int(limit[1]), F.raise_error(message).cast(kind.dataType)).otherwise(value)
 
 
 def align_to_table(df: DataFrame, table: str) -> DataFrame:
@@ -30,7 +42,7 @@ def align_to_table(df: DataFrame, table: str) -> DataFrame:
     columns = []
     for f in fields:
         if f.name in df.columns:
-            columns.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            columns.append(_fitting(F.col(f.name).cast(f.dataType), f).alias(f.name))
         else:
             default = f.metadata.get("CURRENT_DEFAULT", "NULL")
             columns.append(F.expr(default).cast(f.dataType).alias(f.name))
@@ -46,29 +58,87 @@ def _insert(rows: DataFrame, table: str, mode: str) -> int:
     return n
 
 
-def append(df: DataFrame, table: str, cluster_by: str | None = None) -> int:
+def key_of(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
+    """Key and NOT NULL columns the table was created with, which Spark itself does not keep."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    columns = lambda name: [c for c in found.get(name, "").split(",") if c]
+    return columns(KEY_PROPERTY), columns(REQUIRED_PROPERTY)
+
+
+def check_constraints(rows: DataFrame, table: str) -> None:
+    """Raise if rows to append have a NULL where the table has none, or repeat a key among them or in the table.
+
+    Only the new keys are grouped and looked up; tables without a recorded key cost nothing.
+    """
+    key, required = key_of(rows.sparkSession, table)
+    nulls = [c for c in required if c in rows.columns]
+    if nulls:
+        found = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in nulls]).first().asDict()
+        if bad := [c for c, n in found.items() if n]:
+            raise integrity.IntegrityError(f"NULL in {', '.join(bad)} of {table}")
+    if key:
+        integrity.require_unique(rows, key)
+        target = rows.sparkSession.table(table).select(*key)
+        if not rows.select(*key).join(target, key, "left_semi").isEmpty():
+            raise integrity.IntegrityError(f"({', '.join(key)}) exists in {table} already")
+
+
+def append(df: DataFrame, table: str, cluster_by: str | None = None, checked: bool = False) -> int:
     """Append rows. ``cluster_by`` gathers the rows of a partition value into few files.
 
-    The rebalance hint lets AQE split a value that holds much of the data over several tasks.
+    The rebalance hint lets AQE split a value that holds much of the data over several tasks. A recorded key and NOT
+    NULL columns are checked first, unless the caller has ``checked`` the rows.
     """
     rows = align_to_table(df, table)
+    if not checked:
+        check_constraints(rows, table)
     if cluster_by:
         rows = rows.hint("rebalance", F.col(cluster_by))
     return _insert(rows, table, "append")
 
 
+def quoted(value: str) -> str:
+    """An SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
+    return rows.first()[0].rstrip("/")
+
+
 def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
-    """Replace one batch of a table partitioned by ``batch_id``; ``df`` holds rows of that batch only.
+    """Replace one batch of a parquet table partitioned by ``batch_id``.
 
-    The overwrite is dynamic, so other batches stay, and the old rows of this one stay until the new
-    ones are complete. The mode of a catalog table can only be set on the session, hence for the
-    moment of the write. A run that yields no rows removes the batch.
+    The rows are written to a folder of their own, and the table's partition is then pointed at it. So the old rows
+    stay until the new ones are complete, and no other batch can be touched, whatever the session's overwrite mode and
+    whoever writes another batch meanwhile. A row of another batch is an error. A run that yields no rows removes the
+    batch.
     """
-    with setting(df.sparkSession, OVERWRITE_MODE, "dynamic"):
-        n = _insert(align_to_table(df, table), table, "overwrite")
+    spark = df.sparkSession
+    rows = align_to_table(df, table)
+    own = F.col("batch_id").eqNullSafe(F.lit(batch_id))
+    rows = rows.where(F.assert_true(own, F.lit(f"a row does not belong to batch {batch_id}")).isNull()).drop("batch_id")
+    home, version = f"{_location(spark, table)}/batch_id={urllib.parse.quote(batch_id, safe='')}", uuid.uuid4().hex
+    counted = Observation()
+    try:
+        rows.observe(counted, F.count("*").alias("n")).write.parquet(f"{home}/{version}")
+    except Exception:
+        remove(spark, f"{home}/{version}")
+        raise
+    n = counted.get.get("n", -1)
+    partition = f"PARTITION (batch_id = {quoted(batch_id)})"
     if n == 0:
-        escaped = batch_id.replace("\\", "\\\\").replace("'", "\\'")
-        df.sparkSession.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = '{escaped}')")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+    else:
+        place = quoted(f"{home}/{version}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} LOCATION {place}")
+        spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION {place}")
+    for old in subfolders(spark, home):
+        if old != version or n == 0:
+            remove(spark, f"{home}/{old}")
+    spark.catalog.refreshTable(table)
+    logger.info("wrote %d rows to batch %s of %s", n, batch_id, table)
     return n
 
 
@@ -84,11 +154,12 @@ def save(df: DataFrame, table: str, if_exists: str = "append") -> None:
 def create_from_df(df: DataFrame, table: str, primary_key: str | None = None) -> None:
     """Create an empty table with the columns of ``df``; an existing table is an error.
 
-    Spark keeps no keys, so a primary key is asserted on the frame the table is made from.
+    A primary key is recorded with the table and checked by every append.
     """
-    if primary_key and primary_key in df.columns:
-        integrity.require_unique(df, [primary_key])
     df.limit(0).write.mode("error").format("parquet").saveAsTable(table)
+    if primary_key and primary_key in df.columns:
+        properties = f"{quoted(KEY_PROPERTY)} = {quoted(primary_key)}, {quoted(REQUIRED_PROPERTY)} = {quoted(primary_key)}"
+        df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({properties})")
 
 
 def create_tables(spark, specs: tuple[TableSpec, ...], database: str | None = None) -> None:

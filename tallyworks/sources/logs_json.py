@@ -6,7 +6,7 @@ so no repartitioning follows the scan; spread the input over files of some hundr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,7 +46,9 @@ def parse_lines(lines: DataFrame, schema: T.StructType = LOG_RECORD, line_col: s
     """
     line = F.col(line_col)
     parsed = lines.where(F.btrim(line, F.lit(" \t\r\n")) != "").withColumn("record", _parsed(line, schema))
-    bad = F.col("record").isNull() | F.col(f"record.{CORRUPT}").isNotNull()
+    # One reference to the record, so a filter on it parses a line once: ``null`` parses to no record, the rest that does
+    # not fit leaves its text behind.
+    bad = F.coalesce(F.col(f"record.{CORRUPT}"), F.when(F.btrim(line, F.lit(" \t\r\n")) == "null", line)).isNotNull()
     return parsed.withColumn("is_bad", bad | ~_one_value(line, schema))
 
 
@@ -60,5 +62,12 @@ def split_lines(
     return good, parsed.where("is_bad").select("file", "value")
 
 
-def read_logs_tolerant(spark: SparkSession, path: str | list[str], schema: T.StructType = LOG_RECORD) -> DataFrame:
-    return split_lines(spark, path, schema)[0]
+def read_logs_tolerant(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = LOG_RECORD, seen: Observation | None = None
+) -> DataFrame:
+    """The records of the good lines. ``seen`` counts ``lines`` and ``bad`` ones in the same pass, whatever reads it."""
+    if seen is None:
+        return split_lines(spark, path, schema)[0]
+    parsed = parse_lines(spark.read.text(path), schema)
+    parsed = parsed.observe(seen, F.count("*").alias("lines"), F.count_if("is_bad").alias("bad"))
+    return parsed.where(~F.col("is_bad")).select(*[F.col(f"record.{n}").alias(n) for n in schema.names])

@@ -14,10 +14,11 @@ def run_query(
     params: Mapping[str, Any] | None = None,
     views: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Result of a query with ``:name`` parameters, over catalog tables and the given frames."""
-    for name, frame in (views or {}).items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(query, args=dict(params or {}))
+    """Result of a query with ``:name`` parameters, over catalog tables and the given frames, named as ``{name}``.
+
+    The frames are known to this query only; the session's own views stay as they are.
+    """
+    return spark.sql(query, args=dict(params or {}), **(views or {}))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

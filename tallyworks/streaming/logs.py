@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,23 @@ from tallyworks.session import setting
 from tallyworks.sources.logs_json import parse_lines
 
 
-def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Records of the good lines of new files."""
+logger = logging.getLogger(__name__)
+
+
+class LateRowsError(ValueError):
+    """Raised where rows that came too late for their hour must not be left out."""
+
+
+def _lines(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    parsed = parse_lines(reader.load(path))
+    return parse_lines(reader.load(path))
+
+
+def read_log_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Records of the good lines of new files."""
+    parsed = _lines(spark, path, max_files)
     return parsed.where(~F.col("is_bad")).select(*[F.col(f"record.{n}").alias(n) for n in LOG_RECORD.names])
 
 
@@ -78,6 +90,37 @@ def summarize_new_files(
         return writer.start()
 
 
+def keep_unplaced_lines(
+    spark: SparkSession, input_path: str, output_path: str, checkpoint: str, max_files: int | None = None
+) -> StreamingQuery:
+    """Lines of new files that fit no hour: bad ones, and records whose time does not parse, with the reason.
+
+    A query of its own beside the summary, for a stream has one sink.
+    """
+    parsed = _lines(spark, input_path, max_files)
+    reason = F.when(F.col("is_bad"), F.lit("not a record")).when(
+        parsing.log_timestamp(F.col("record.timestamp"), strict=False).isNull(), F.lit("time does not parse")
+    )
+    rows = parsed.select("value", reason.alias("reason")).where(F.col("reason").isNotNull())
+    writer = rows.writeStream.format("parquet").option("path", output_path).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(availableNow=True).start()
+
+
+def finish(query: StreamingQuery, fail_on_late: bool = False) -> int:
+    """Wait for a summary and return how many of its rows came after their hour was closed; they are logged, or raised.
+
+    Rows of the first aggregation's state are counted, as the query reports them.
+    """
+    query.awaitTermination()
+    late = sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+    if late:
+        message = f"{late} rows came too late for their hour"
+        if fail_on_late:
+            raise LateRowsError(message)
+        logger.warning(message)
+    return late
+
+
 def heartbeat(spark: SparkSession, input_path: str, at: datetime) -> None:
     """Add a log line that is no error and only tells the stream that time has reached ``at``.
 

@@ -6,28 +6,27 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.operators import chunks, clean
+from tallyworks.operators import chunks, clean, joins
+from tallyworks.plans.transactions import store_landed
 from tallyworks.schemas import TRANSACTIONS_CSV
-from tallyworks.session import materialize, setting
-from tallyworks.sinks import tables
-from tallyworks.sources.transactions_csv import CSV_OPTIONS
+from tallyworks.session import remove, scratch, subfolders, written
+from tallyworks.sources.transactions_csv import CSV_OPTIONS, SURPLUS, mark_surplus, with_surplus
 
 
 def _files(spark: SparkSession, path: str, max_files: int | None) -> DataFrame:
-    reader = spark.readStream.schema(TRANSACTIONS_CSV).options(**CSV_OPTIONS)
+    """Rows of new files as text, with ``surplus_line``."""
+    reader = spark.readStream.schema(with_surplus(TRANSACTIONS_CSV)).options(**CSV_OPTIONS)
+    reader = reader.option("columnNameOfCorruptRecord", SURPLUS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(path)
+    return mark_surplus(reader.csv(path), len(TRANSACTIONS_CSV))
 
 
-def _to_parquet(df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> StreamingQuery:
-    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    return writer.outputMode("append").trigger(availableNow=True).start()
+def _each_batch(rows: DataFrame, checkpoint: str, store) -> StreamingQuery:
+    """Hand every micro-batch to ``store`` with its number; a repeated one has the same number and replaces its folder."""
+    return rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def land_files(
@@ -37,33 +36,51 @@ def land_files(
     checkpoint: str,
     run_ts: datetime,
     max_files: int | None = None,
+    batch_id: str | None = None,
 ) -> StreamingQuery:
-    """Clean the rows of all new files and land them, with their file as the chunk. No shuffle."""
-    source = chunks.with_chunk(_files(spark, input_path, max_files))
-    return _to_parquet(clean.transform_transactions(source, run_ts), landing_path, checkpoint, "batch_id")
+    """Type and stamp the rows of all new files and land them, with their file as the chunk. No shuffle.
 
+    Rows that the cleaning rules drop are dropped here; lines with surplus fields are landed for the quarantine.
+    """
+    batch_id = batch_id or clean.batch_name(run_ts)
+    source = chunks.with_chunk(_files(spark, input_path, max_files)).withColumn("_line", F.col(SURPLUS)).drop(SURPLUS)
+    parsed = clean.parse_transactions(source)
+    parsed = parsed.where(F.col("_line").isNotNull() | clean.kept_by_rules(parsed))
+    landed = clean.stamp_batch(clean.amount_to_money(parsed), run_ts, batch_id)
+
+    def store(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{landing_path}/{batch_id}/{number}")
+
+    return _each_batch(landed, checkpoint, store)
 
-def _landing_schema(spark: SparkSession) -> T.StructType:
-    """Schema of the landed rows, known before the first of them is there."""
-    source = spark.createDataFrame([], TRANSACTIONS_CSV).withColumn(chunks.CHUNK_COLUMN, F.lit(""))
-    return clean.transform_transactions(source, datetime(2000, 1, 1)).schema
 
+def _promotions(spark: SparkSession, table: str) -> str:
+    name = f"{table}_promotions"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id STRING, accepted BIGINT, quarantined BIGINT) USING parquet")
+    return name
 
-def promote(spark: SparkSession, landing_path: str, table: str) -> list[str]:
-    """Validate landed batches by file and move the accepted rows to the raw table.
 
-    Only batches the table lacks are read (a folder each), and each is replaced as a whole, so a
-    promotion that was cut off can simply be repeated.
+def promote(spark: SparkSession, landing_path: str, table: str, quarantine_table: str | None = None) -> list[str]:
+    """Validate landed batches by file; accepted rows go to the raw table, all others to the quarantine.
+
+    A batch is recorded once both are stored, and what was landed is deleted then, so nothing is read twice. A
+    promotion that was cut off can simply be repeated: each batch is replaced as a whole.
     """
-    landed = spark.read.schema(_landing_schema(spark)).parquet(landing_path)
-    done = {r["partition"].removeprefix("batch_id=") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    pending = [b for (b,) in landed.select("batch_id").distinct().collect() if b not in done]
-    for batch_id in sorted(pending):  # as a rule one: the run that just ended
-        rows = landed.where(F.col("batch_id") == batch_id)
-        rejected = materialize(chunks.rejected_chunks(rows), "rejected")
-        accepted = chunks.validate_chunks(rows, rejected=rejected)
-        tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN), table, batch_id)
-    return sorted(pending)
+    ledger = _promotions(spark, table)
+    pending = subfolders(spark, landing_path)
+    done = {r["batch_id"] for r in spark.table(ledger).where(F.col("batch_id").isin(*pending)).select("batch_id").collect()}
+    promoted = []
+    for batch_id in pending:  # as a rule one: the run that just ended
+        folder = f"{landing_path}/{batch_id}"
+        landed = spark.read.parquet(*[f"{folder}/{n}" for n in subfolders(spark, folder)])
+        if batch_id not in done and not landed.isEmpty():
+            with scratch(spark, "promote") as own:
+                counts = store_landed(landed, table, batch_id, quarantine_table or f"{table}_quarantine", f"{own}/rejected")
+            note = spark.createDataFrame([(batch_id, counts["accepted"], counts["quarantined"])], spark.table(ledger).schema)
+            note.coalesce(1).write.insertInto(ledger)
+            promoted.append(batch_id)
+        remove(spark, folder)
+    return promoted
 
 
 def ingest_new_files(
@@ -74,32 +91,29 @@ def ingest_new_files(
     table: str,
     run_ts: datetime,
     max_files: int | None = None,
+    quarantine_table: str | None = None,
 ) -> list[str]:
-    """One run over the files that arrived since the last one; returns the batches promoted."""
-    query = land_files(spark, input_path, landing_path, checkpoint, run_ts, max_files)
-    query.awaitTermination()
-    return promote(spark, landing_path, table)
+    """One run over the files that arrived since the last one; returns the batches promoted.
+
+    A run that shares its second with one already promoted gets a batch of its own, with a number behind the name.
+    """
+    name = clean.batch_name(run_ts)
+    taken = {r["batch_id"] for r in spark.table(_promotions(spark, table)).where(F.col("batch_id").startswith(name)).select("batch_id").collect()}
+    batch_id = next(b for b in (name, *(f"{name}_{i}" for i in range(2, len(taken) + 3))) if b not in taken)
+    land_files(spark, input_path, landing_path, checkpoint, run_ts, max_files, batch_id).awaitTermination()
+    return promote(spark, landing_path, table, quarantine_table)
 
 
-def without_redeliveries(rows: DataFrame, delay: str = "1 day", salts: int = 16) -> DataFrame:
-    """First row of each transaction_id, among rows less than ``delay`` apart in event time.
+def without_redeliveries(rows: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One row of each ``transaction_id`` that ``known`` does not hold.
 
-    Duplicates are removed in two steps, first per id and salt, then per id. The salt comes from the
-    place a row was read from, so the copies of an id that fills a third of the input are spread over
-    ``salts`` tasks and at most that many of them reach the second step. Rows without a valid time
-    cannot be placed in the window; they fail validation anyway and are left out here.
+    The copies of an id are first combined where they are read, so an id that fills a third of the input sends one row
+    per task. ``known`` is only probed for the new ids.
     """
-    place = F.pmod(F.xxhash64("_file", "_start"), F.lit(salts))
-    timed = (
-        rows.withColumn("event_time", F.col("transaction_date").cast("timestamp"))
-        .where(F.col("event_time").isNotNull())
-        .withWatermark("event_time", delay)
-        .withColumn("_salt", place)
-    )
-    once = timed.dropDuplicatesWithinWatermark(["transaction_id", "_salt"]).dropDuplicatesWithinWatermark(
-        ["transaction_id"]
-    )
-    return once.drop("_file", "_start", "_salt", "event_time")
+    fresh = rows.dropDuplicates(["transaction_id"])
+    if known is None:
+        return fresh
+    return fresh.join(joins.existing_keys(fresh, known, "transaction_id"), "transaction_id", "left_anti")
 
 
 def dedup_files(
@@ -107,18 +121,29 @@ def dedup_files(
     input_path: str,
     output_path: str,
     checkpoint: str,
-    delay: str = "1 day",
-    salts: int = 16,
     max_files: int | None = None,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Typed rows of new files without re-delivered transactions.
+    """Typed rows of new files without re-delivered transactions, in ``output_path``/rows.
 
-    ``state_partitions`` is fixed by the first run on a checkpoint, as in the error summary.
+    However late a first delivery comes, it appears, and however late a repeated one comes, it does not: ids are looked
+    up in what was written. Rows without an id or a valid time, and lines with surplus fields, go to ``output_path``/aside.
     """
-    read = _files(spark, input_path, max_files).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")
-    )
-    typed = clean.amount_to_money(clean.parse_transactions(read))
-    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
-        return _to_parquet(without_redeliveries(typed, delay, salts), output_path, checkpoint)
+    source = _files(spark, input_path, max_files).withColumn("_line", F.col(SURPLUS)).drop(SURPLUS)
+    typed = clean.amount_to_money(clean.parse_transactions(source))
+
+    def store(rows: DataFrame, number: int) -> None:
+        with scratch(spark, "dedup") as own:
+            rows = written(rows, own)
+            odd = F.col("transaction_id").isNull() | F.col("transaction_date").isNull() | F.col("_line").isNotNull()
+            rows.where(odd).write.mode("overwrite").parquet(f"{output_path}/aside/{number}")
+            earlier = [n for n in subfolders(spark, f"{output_path}/rows") if n != str(number)]
+            known = spark.read.schema(rows.schema).parquet(*[f"{output_path}/rows/{n}" for n in earlier]) if earlier else None
+            fresh = without_redeliveries(rows.where(~odd), known).drop("_line")
+            fresh.write.mode("overwrite").parquet(f"{output_path}/rows/{number}")
+
+    return _each_batch(typed, checkpoint, store)
+
+
+def deduplicated(spark: SparkSession, output_path: str, part: str = "rows") -> DataFrame:
+    """What ``dedup_files`` wrote: its ``rows``, or those put ``aside``."""
+    return spark.read.parquet(*[f"{output_path}/{part}/{n}" for n in subfolders(spark, f"{output_path}/{part}")])

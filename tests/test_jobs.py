@@ -1,8 +1,10 @@
 """Jobs: ingest, load, whole run, tables and log files."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallyworks.operators import aggregates, integrity, quality
@@ -24,18 +26,48 @@ def test_ingest_keeps_good_files_and_quarantines_others(spark, folder, lines, da
     lines(folder, [HEADER, "4,NA,5,USD,2024-01-03,failed", "5,8,6,USD,2024-01-03,pending"])
     raw, held = f"{database}.raw_transactions", f"{database}.held"
     for _ in range(2):
-        transactions.ingest_raw(spark, folder, raw, RUN, quarantine_table=held)
+        counts = transactions.ingest_raw(spark, folder, raw, RUN, quarantine_table=held)
+        assert counts == {"rows_read": 5, "surplus_lines": 0, "accepted": 1, "quarantined": 2, "rejected_chunks": 1}
         assert [r.transaction_id for r in spark.table(raw).collect()] == [1]
         assert sorted(r.transaction_id for r in spark.table(held).collect()) == [4, 5]
     transactions.ingest_raw(spark, folder, raw, RUN + timedelta(hours=1), unit="row")
     assert sorted(r.transaction_id for r in spark.table(raw).collect()) == [1, 1, 5]
     assert spark.table(raw).where("batch_id = 'batch_20240201_060000'").count() == 1
-    assert spark.conf.get(tables.OVERWRITE_MODE).lower() == "static"
+
+
+def test_lines_with_surplus_fields_are_kept_apart(spark, folder, lines, database):
+    lines(folder, [HEADER, "1,7,10.50,USD,2024-01-01,failed,EXTRA,MORE", "2,7,1,000.50,USD,2024-01-01,failed", "3,7,5,USD,2024-01-01,failed", "4,7,5,USD,2024-01-01,failed,"])
+    lines(folder, [HEADER, "5,7,5,USD,2024-01-01", '6,7,"1,5",USD,2024-01-01,failed', '7,7,5,USD,2024-01-01,"failed"'])
+    raw = f"{database}.raw_transactions"
+    counts = transactions.ingest_raw(spark, folder, raw, RUN)
+    assert (counts["rows_read"], counts["surplus_lines"], counts["accepted"], counts["quarantined"]) == (7, 3, 2, 3)
+    held = spark.table(f"{raw}_quarantine").collect()
+    assert {r.reason for r in held} == {"more fields than columns"} and {r.line.split(",")[0] for r in held} == {"1", "2", "4"}
+    assert sorted(r.transaction_id for r in spark.table(raw).collect()) == [3, 7]
+    assert sorted(r.transaction_id for r in transactions_csv.read_transactions(spark, folder).collect()) == ["3", "5", "6", "7"]
+
+
+def test_quoted_line_breaks_if_asked(spark, folder, lines):
+    lines(folder, [HEADER, '1,7,5,USD,2024-01-01,"fai', 'led"', "2,7,5,USD,2024-01-01,failed"])
+    assert transactions_csv.read_transactions(spark, folder, multi_line=True).count() == 2
+
+
+def test_batches_written_at_once_both_stay(spark, database):
+    raw = f"{database}.raw_transactions"
+    rows = lambda b: spark.range(50).selectExpr("id as transaction_id", f"'{b}' as batch_id")
+    names = [f"b{i}" for i in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        for _ in range(2):
+            assert list(pool.map(lambda b: tables.overwrite_batch(rows(b), raw, b), names)) == [50] * 4
+    assert {r.batch_id: r["count"] for r in spark.table(raw).groupBy("batch_id").count().collect()} == dict.fromkeys(names, 50)
+    with pytest.raises(Exception, match="does not belong"):
+        tables.overwrite_batch(rows("b1"), raw, "b2")
+    assert spark.table(raw).count() == 200
 
 
 def test_a_repeated_run_without_rows_removes_its_batch(spark, database):
     raw = f"{database}.raw_transactions"
-    rows = spark.sql("select 1L as transaction_id, 'it''s' as batch_id union all select 2L, 'it''s'")
+    rows = spark.sql("""select 1L as transaction_id, "it's" as batch_id union all select 2L, "it's\"""")
     assert tables.overwrite_batch(rows, raw, "it's") == 2
     tables.append(spark.sql("select 3L as transaction_id, 'other' as batch_id"), raw)
     assert tables.overwrite_batch(rows.where("transaction_id > 5"), raw, "it's") == 0
@@ -73,16 +105,22 @@ def test_defaults_of_the_tables(spark, database):
     row = spark.table(f"{database}.dim_users").first()
     assert (row.valid_to, row.is_current) == (date(9999, 12, 31), True)
     assert row.created_at is not None and row.updated_at is not None
-    tables.append(spark.sql("select 2L as user_id, cast(null as boolean) as is_current"), f"{database}.dim_users")
+    tables.append(spark.sql("select 2L as user_id, date'2024-01-01' as valid_from, cast(null as boolean) as is_current"), f"{database}.dim_users")
     assert spark.table(f"{database}.dim_users").where("user_id = 2").first().is_current is None
 
 
 def test_create_table_from_frame(spark, database):
     rows = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     assert not table_exists(spark, f"{database}.made")
-    with pytest.raises(integrity.IntegrityError):
-        tables.create_from_df(rows, f"{database}.made", primary_key="k")
-    tables.create_from_df(rows, f"{database}.made", primary_key="v")
+    tables.create_from_df(rows, f"{database}.made", primary_key="k")
+    with pytest.raises(integrity.IntegrityError, match="not a key"):
+        tables.append(rows, f"{database}.made")
+    assert tables.append(rows.limit(1), f"{database}.made") == 1
+    with pytest.raises(integrity.IntegrityError, match="exists"):
+        tables.append(rows.limit(1), f"{database}.made")
+    with pytest.raises(integrity.IntegrityError, match="NULL"):
+        tables.append(rows.selectExpr("cast(null as int) as k", "v").limit(1), f"{database}.made")
+    spark.sql(f"TRUNCATE TABLE {database}.made")
     assert table_exists(spark, f"{database}.made")
     assert spark.table(f"{database}.made").count() == 0
     with pytest.raises(Exception, match="ALREADY_EXISTS"):
@@ -107,7 +145,6 @@ def test_date_dimension_inserts_only_what_is_missing(spark, database):
     warehouse.load_dim_date(spark, table)
     assert spark.table(table).count() == 1826
     assert spark.table(table).select("date_id").distinct().count() == 1826
-    assert warehouse.span_of_days(date(2023, 1, 1), date(2027, 12, 31)) == 1826
 
 
 def _raw(spark, rows, run_ts, table):
@@ -134,16 +171,51 @@ def test_incremental_load(spark, database):
         load(later)
     assert spark.table(fact).count() == 2
     held = f"{database}.held"
-    load(later, on_violation="quarantine", quarantine_table=held, prune_batches=True)
-    assert sorted(r.transaction_id for r in spark.table(fact).collect()) == [1, 2, 5]
-    assert sorted(r.transaction_id for r in spark.table(held).collect()) == [2, 3, 4]
-    # The watermark is inclusive: equal stamps are read again and stopped by their ids.
-    load(later, on_violation="quarantine")
-    assert spark.table(fact).count() == 3
+    for _ in range(3):  # nothing is pending after the first
+        load(later, on_violation="quarantine", quarantine_table=held)
+        assert sorted(r.transaction_id for r in spark.table(fact).collect()) == [1, 2, 5]
+        assert sorted(r.transaction_id for r in spark.table(held).collect()) == [2, 3, 4]
+    # A batch with an id of its own, stamped before the last load but stored after it.
+    early = spark.createDataFrame([(8, 1, 5.0, "2024-01-01", "failed")], "transaction_id bigint, user_id bigint, amount double, transaction_date string, status string")
+    from tallyworks.operators import clean
+
+    tables.overwrite_batch(clean.transform_transactions(early, RUN - timedelta(days=1), "a-run"), raw, "a-run")
+    assert load(later, choose="watermark") == 0
     with pytest.raises(ValueError, match="mode"):
         load(later, on_violation="ignore")
 
 
+def test_late_batches_and_cut_off_loads_are_made_up_for(spark, database):
+    raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
+    users, days = _users(spark, 1), warehouse.default_date_dimension(spark)
+    load = lambda at, **o: transactions.load_fact_incremental(spark, raw, fact, users, days, at, **o)
+    _raw(spark, [(1, 1, 5.0, "2024-01-01", "failed"), (2, 1, 6.0, "2024-01-02", "failed")], RUN, raw)
+    assert load(RUN) == 2
+    _raw(spark, [(3, 1, 5.0, "2024-01-01", "failed")], RUN - timedelta(hours=5), raw)
+    assert load(RUN) == 1
+    # A load that stopped after it had stored one of two rows.
+    later = RUN + timedelta(hours=1)
+    _raw(spark, [(4, 1, 5.0, "2024-01-01", "failed"), (5, 1, 6.0, "2024-01-02", "failed")], later, raw)
+    name = "batch_20240201_070000"
+    transactions._note(spark, f"{fact}_batches", [name], transactions.STARTED, later)
+    spark.sql(f"insert into {fact}_ids values (4, '{name}'), (5, '{name}')")
+    tables.append(spark.sql("select 4L as transaction_id, 1L as user_id, 20240101 as date_id, 5.0 as amount, 'failed' as status, timestamp_ntz'2024-02-01 07:00:00' as processed_at"), fact)
+    assert load(later) == 1
+    assert sorted(r.transaction_id for r in spark.table(fact).collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(ValueError, match="later than the run"):
+        _raw(spark, [(6, 1, 5.0, "2024-01-01", "failed")], later + timedelta(hours=1), raw)
+        load(later + timedelta(hours=1), choose="watermark")
+
+
+def test_hourly_runs_with_the_defaults(spark, folder, lines, database):
+    raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
+    users, days = _users(spark, 1), warehouse.default_date_dimension(spark)
+    for i in range(3):
+        lines(f"{folder}/{i}", [HEADER, f"{i},1,10,USD,2024-01-01,failed"])
+        assert transactions.run_all(spark, f"{folder}/{i}", raw, fact, users, days, RUN + timedelta(hours=i)) == 1
+    assert spark.table(fact).count() == 3
+
+
 def test_gate_stops_the_load(spark, folder, lines, database):
     lines(folder, [HEADER, "1,1,10,USD,2024-01-01,failed", "1,1,10,USD,2024-01-01,failed"])
     raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
@@ -157,7 +229,7 @@ def test_whole_run(spark, folder, lines, database):
     lines(folder, [HEADER] + [f"{i},1,10,USD,2024-01-0{i},failed" for i in range(1, 6)] + ["6,1,10,USD,2024-01-07,completed"])
     raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
     users, days = _users(spark, 1, 2), warehouse.default_date_dimension(spark)
-    transactions.run_all(spark, folder, raw, fact, users, days, RUN, created_at_source="event", gate_batch_only=True)
+    transactions.run_all(spark, folder, raw, fact, users, days, RUN, created_at_source="event")
     report = reports.failed_users(spark.table(fact), users, date(2024, 1, 8), more_than=4).collect()
     assert [(r.user_id, r.failed_count, r.failure_rate) for r in report] == [(1, 5, 500.0 / 6)]
     assert reports.failed_users(spark.table(fact), users, date(2024, 1, 9), more_than=4).count() == 0
@@ -203,6 +275,8 @@ def test_strict_scan_stops(spark, folder, lines):
     lines(folder, [GOOD, "bad line"])
     with pytest.raises(Exception, match="(?i)malformed"):
         logs_json.read_logs(spark, folder).collect()
+    seen = Observation()
+    assert logs_json.read_logs_tolerant(spark, folder, seen=seen).count() == 1 and seen.get == {"lines": 2, "bad": 1}
 
 
 def test_error_summary_keys_and_nulls(spark, folder):
@@ -231,6 +305,7 @@ def test_chunk_files(spark, folder):
     files.write_chunks(rows, folder, "chunk_id")
     back = spark.read.parquet(folder)
     assert {r.chunk_id for r in back.select("chunk_id").distinct().collect()} == {0, 2}
+    assert not [f for f in back.inputFiles() if "chunk_id=" in f]
     files.write_chunks(rows, folder + "-rows", rows_per_file=4)
     assert len(spark.read.parquet(folder + "-rows").inputFiles()) == 4
 

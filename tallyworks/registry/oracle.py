@@ -196,7 +196,7 @@ ORACLE: dict[str, str] = {
         "select 'dim_date' as table_name, 10 as n_columns, datediff('day', min(ts), max(ts)) + 1 as row_count, "
         "datediff('day', min(ts), max(ts)) + 1 as filled from events "
         "union all select 'dim_users', 10, count(*), count(*) from users "
-        "union all select 'fact_transactions', 9, count(*), count(*) from fact "
+        "union all select 'fact_transactions', 9, count(*), count(*) from fact where user_id is not null and date_id is not null "
         "union all select 'raw_transactions', 9, count(*), 0 from cleaned",
     ),
     "proj_parse_dates": _with("typed", "select transaction_id, transaction_date from typed"),

@@ -201,7 +201,7 @@ def ddl_star_schema(spark, sf):
     tables.append(a.dim_users(spark, sf), f"{database}.dim_users")
     warehouse.load_dim_date(spark, f"{database}.dim_date", warehouse.dates_spanning(a.table(spark, sf, "events"), "ts"))
     tables.append(a.cleaned(spark, sf), f"{database}.raw_transactions")
-    five = a.fact(spark, sf).select(*FACT_TRANSACTIONS.required)
+    five = a.fact(spark, sf).select(*FACT_TRANSACTIONS.required).dropna()  # the table takes no NULL in these
     tables.append(five, f"{database}.fact_transactions", cluster_by="date_id")
     rows = []
     for name, defaulted in (("dim_date", "day_name"), ("dim_users", "created_at"),
@@ -379,7 +379,7 @@ def join_users_failed(spark, sf):
 @query
 def join_correlated_count(spark, sf):
     views = {"tw_fact": a.fact(spark, sf), "tw_users": a.dim_users(spark, sf)}
-    return run_query(spark, joins.all_time_count_sql("tw_fact", "tw_users"), views=views)
+    return run_query(spark, joins.all_time_count_sql("{tw_fact}", "{tw_users}"), views=views)
 
 
 @query

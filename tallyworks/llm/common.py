@@ -56,6 +56,8 @@ def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]],
             for at in range(0, batch.num_rows, step):
                 out = rows(batch.slice(at, step).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
+                del out
+        pa.default_memory_pool().release_unused()  # workers are used again, by tasks of other operators
 
     return df.mapInArrow(run, schema)
 

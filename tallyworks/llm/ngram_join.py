@@ -97,7 +97,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
         often = often[np.argsort(-n[often], kind="stable")[:FREQUENT]]
         return {"h": found[often].view(np.int64), "n": n[often]}
 
-    counts = arrow_map(docs.select("text"), rows, "h long, n long", step=10_000).groupBy("h").agg(F.sum("n").alias("n"))
+    counts = arrow_map(docs.select("text"), rows, "h long, n long", step=5000).groupBy("h").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect()  # bounded
     h, n = np.array([r["h"] for r in top], np.int64).view(np.uint64), np.array([r["n"] for r in top], np.float64)
     order = np.argsort(h)
@@ -131,7 +131,7 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             out["columns"].append(s[first].view(np.int64))
         return out
 
-    return arrow_map(docs, rows, "doc_id long, n int, key long, sketch binary, columns array<long>", step=5000)
+    return arrow_map(docs, rows, "doc_id long, n int, key long, sketch binary, columns array<long>", step=2000)
 
 
 def _possible(a: str, b: str, percent: int) -> str:

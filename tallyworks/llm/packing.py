@@ -162,7 +162,7 @@ _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{-~]+)")
 class Encoder:
     """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them."""
 
-    HELD = 500_000
+    HELD = 150_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -231,7 +231,7 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
         return out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return arrow_map(documents(docs), rows, schema, step=5000)
+    return arrow_map(documents(docs), rows, schema, step=2000)
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:

@@ -28,7 +28,7 @@ GRAM = 16
 #: Bytes of text hashed at a time; positions in it fit into the low bits of a gram's rank.
 SEGMENT, LOW = 1 << 17, np.uint64((1 << 20) - 1)
 #: Text bytes whose anchors one bucket holds, about, and those that a task takes at a time.
-BUCKET_BYTES, TAKEN = 8 << 20, 4 << 20
+BUCKET_BYTES, TAKEN = 4 << 20, 2 << 20
 
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 

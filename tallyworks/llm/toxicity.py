@@ -135,7 +135,7 @@ def count_terms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 @functools.lru_cache(maxsize=1)
 def _term_memo(name: str, vocabulary: tuple[str, ...]) -> Memo:
     position = {t: i for i, t in enumerate(vocabulary)}
-    return Memo(lambda stretch: [position[t] for t in terms_of(stretch) if t in position])
+    return Memo(lambda stretch: [position[t] for t in terms_of(stretch) if t in position], 50_000)
 
 
 class BlockMaxIndex:

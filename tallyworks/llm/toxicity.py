@@ -20,9 +20,10 @@ from tallyworks.llm.common import Memo, arrow_map, documents, materialize
 
 #: Labelled rows to learn from at most, per label (0, 1), those first in the order of a hash of their id.
 EXAMPLES = {0: 9000, 1: 3000}
-#: Terms at most; a term counts if so one-sided a use has at most this chance.
-TERMS, CHANCE = 4096, 1e-6
-PREFIXES = (4, 5, 6)
+#: Terms at most; a term counts if it is this many times as frequent among toxic examples, and if so one-sided a use
+#: has at most this chance. Less one-sided beginnings would outweigh the telling ones in a cosine.
+TERMS, RATIO, CHANCE = 4096, 32, 1e-5
+PREFIXES = (4, 5, 6, 7, 8)
 NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 BLOCK = 64
 THRESHOLD = 0.7
@@ -105,7 +106,7 @@ def choose_terms(sample: DataFrame) -> tuple[list[str], dict[int, int]]:
     counts = found.groupBy("term").agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
     # A use as one-sided as CHANCE takes this many documents at least, and a surplus of the rarer label.
     least = math.log(CHANCE) / math.log(max(n0, n1) / (n0 + n1))
-    counts = counts.where((F.col("n1") + F.col("n0") >= min(5, least)) & (F.col("n1") * (8 * n0) >= F.col("n0") * n1 * 64))
+    counts = counts.where((F.col("n1") + F.col("n0") >= min(5, least)) & (F.col("n1") * n0 >= F.col("n0") * n1 * RATIO))
     share = n1 / (n0 + n1)
     rows_ = counts.orderBy(F.desc("n1"), "term").limit(16 * TERMS).collect()  # bounded
     scored = sorted((_log_chance(r["n1"], r["n1"] + r["n0"], share), r["term"]) for r in rows_)

@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and their beginnings that labelled rows tie to one of the two labels beyond chance. Their document
-frequencies count every document; their counts per document are written once and all else is read from there.
+Terms are words and their beginnings: all that the examples hold, none is left out. A term weighs by its document
+frequency over every document and by how differently the two labels use it; a term that no example holds tells
+nothing and weighs 0. Texts are read twice, for the frequencies and for the scores, and no counts are stored.
 The examples are a bounded sample of labelled rows (``EXAMPLES``); their index goes to all tasks.
 """
 
 from __future__ import annotations
 
 import functools
-import math
 import re
 import uuid
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +23,11 @@ from tallyworks.llm.common import Memo, arrow_map, documents, materialize
 
 #: Labelled rows to learn from at most, per label (0, 1), those first in the order of a hash of their id.
 EXAMPLES = {0: 9000, 1: 3000}
-#: Terms at most; a term counts if it is this many times as frequent among toxic examples, and if so one-sided a use
-#: has at most this chance. Less one-sided beginnings would outweigh the telling ones in a cosine.
-TERMS, RATIO, CHANCE = 4096, 32, 1e-5
 PREFIXES = (4, 5, 6, 7, 8)
 NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 BLOCK = 64
+#: A term of more than one in so many examples is kept as a dense row of its weights, others as postings.
+DENSE = 8
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -78,166 +80,221 @@ def choose_examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return sample.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-def _log_chance(hits: int, tries: int, share: float) -> float:
-    """Logarithm of the chance of at least ``hits`` in ``tries``, by the Chernoff bound."""
-    if tries == 0 or hits / tries <= share:
-        return 0.0
-    p = hits / tries
-    other = (1 - p) * math.log((1 - p) / (1 - share)) if p < 1 else 0.0
-    return -tries * (p * math.log(p / share) + other)
+def _hashes(stretch: str) -> np.ndarray:
+    import xxhash
 
+    return np.array([xxhash.xxh3_64_intdigest(t) for t in terms_of(stretch)], np.uint64)
 
-def choose_terms(sample: DataFrame) -> tuple[list[str], dict[int, int]]:
-    """The bounded vocabulary, and the number of examples per label."""
 
-    def rows(batch: dict[str, list]) -> dict[str, list]:
-        terms, toxic = [], []
-        for text, label in zip(batch["text"], batch["toxic"], strict=True):
-            distinct = set().union(*map(terms_of, set(text.split())))
-            terms += distinct
-            toxic += [label] * len(distinct)
-        return {"term": terms, "toxic": toxic}
-
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    if not n0 or not n1:
-        return [], {0: n0, 1: n1}
-    found = arrow_map(sample.select("text", "toxic"), rows, "term string, toxic int")
-    counts = found.groupBy("term").agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
-    # A use as one-sided as CHANCE takes this many documents at least, and a surplus of the rarer label.
-    least = math.log(CHANCE) / math.log(max(n0, n1) / (n0 + n1))
-    counts = counts.where((F.col("n1") + F.col("n0") >= min(5, least)) & (F.col("n1") * n0 >= F.col("n0") * n1 * RATIO))
-    share = n1 / (n0 + n1)
-    rows_ = counts.orderBy(F.desc("n1"), "term").limit(16 * TERMS).collect()  # bounded
-    scored = sorted((_log_chance(r["n1"], r["n1"] + r["n0"], share), r["term"]) for r in rows_)
-    return sorted(t for chance_, t in scored[:TERMS] if chance_ <= math.log(CHANCE)), {0: n0, 1: n1}
-
-
-def count_terms(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """``doc_id``, ``terms``, ``counts``: the vocabulary's terms in every whole text."""
-    name, position = uuid.uuid4().hex, {t: i for i, t in enumerate(vocabulary)}
+def _counted(text: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of a text in order, and how often each occurs; ``memo`` has the terms of a stretch."""
+    found = [(terms, n) for x, n in Counter(text.split()).items() if len(terms := memo[x])]
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    terms = np.concatenate([t for t, _ in found])
+    counts = np.repeat([n for _, n in found], [len(t) for t, _ in found])
+    order = np.argsort(terms, kind="stable")
+    terms, counts = terms[order], counts[order]
+    starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+    return terms[starts], np.add.reduceat(counts, starts)
+
+
+def example_terms(sample: DataFrame) -> list:
+    """Per example ``doc_id``, ``toxic``, and all its terms (64-bit hashes) and counts as bytes; at most sum(EXAMPLES) rows."""
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        memo = _term_memo(name, tuple(position))
-        terms, counts = [], []
-        for text in batch["text"]:
-            found: dict[int, int] = {}
-            for hits in filter(None, map(memo.__getitem__, text.split())):
-                for t in hits:
-                    found[t] = found.get(t, 0) + 1
-            order = sorted(found)
-            terms.append(order)
-            counts.append([found[t] for t in order])
-        return {"doc_id": batch["doc_id"], "terms": terms, "counts": counts}
+        memo = Memo(_hashes, 50_000)
+        counted = [_counted(text, memo) for text in batch["text"]]
+        return {
+            "doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [t.astype(np.uint64).tobytes() for t, _ in counted],
+            "counts": [n.astype(np.int32).tobytes() for _, n in counted],
+        }
 
-    return arrow_map(documents(docs), rows, "doc_id long, terms array<int>, counts array<int>")
+    found = arrow_map(sample.select("doc_id", "toxic", "text"), rows, "doc_id long, toxic int, terms binary, counts binary")
+    return sorted(found.collect(), key=lambda r: r["doc_id"])
 
 
 @functools.lru_cache(maxsize=1)
-def _term_memo(name: str, vocabulary: tuple[str, ...]) -> Memo:
-    position = {t: i for i, t in enumerate(vocabulary)}
-    return Memo(lambda stretch: [position[t] for t in terms_of(stretch) if t in position], 50_000)
+def _term_memo(name: str, shared) -> Memo:
+    vocabulary = shared.value
+
+    def positions(stretch: str) -> np.ndarray:
+        found = _hashes(stretch)
+        at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
+        return at[vocabulary[at] == found].astype(np.int32)
+
+    return Memo(positions, 50_000)
+
+
+def document_frequency(docs: DataFrame, vocabulary: np.ndarray, name: str, shared) -> tuple[np.ndarray, int]:
+    """In how many documents each term of the vocabulary (``shared`` with the tasks) occurs, and how many there are."""
+    schema = pa.schema([("t", pa.int32()), ("n", pa.int64())])
+    size = len(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, seen, rows = _term_memo(name, shared), np.zeros(size, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for text in batch["text"]:
+                terms = list(map(memo.__getitem__, set(text.as_py().split())))
+                if terms:
+                    seen[np.concatenate(terms)] += 1  # once for each term, however often it is named
+        at = np.append(np.flatnonzero(seen), size)
+        n = np.append(seen[at[:-1]], rows)
+        for k in range(0, len(at), 100_000):
+            part = slice(k, k + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(at[part], pa.int32()), pa.array(n[part], pa.int64())], schema=schema)
+
+    sums = documents(docs).select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # <= size + 1 rows
+    out = np.zeros(size + 1, np.int64)
+    out[sums["t"].to_numpy()] = sums["n"].to_numpy()
+    return out[:-1], int(out[-1])
+
+
+def tell(n0: np.ndarray, n1: np.ndarray, examples0: int, examples1: int) -> np.ndarray:
+    """How differently the labels use a term: its log odds in toxic against clean examples, without sign.
+
+    Half a use more for toxic examples, and as many for clean ones as fit their number, so that an unused term has 0.
+    """
+    more0, more1 = 0.5 * examples0 / examples1, 0.5
+    return np.abs(np.log((n1 + more1) / (examples1 + 2 * more1)) - np.log((n0 + more0) / (examples0 + 2 * more0)))
 
 
 class BlockMaxIndex:
-    """Postings per term in blocks of ``BLOCK`` consecutive examples, each block with its largest weight."""
+    """Examples in blocks of ``BLOCK`` consecutive ones: postings per term, and dense rows with each block's largest weight for frequent terms."""
 
-    def __init__(self, ids: list[int], labels: list[int], vectors: list[dict[int, float]]) -> None:
-        self.ids, self.labels, self.postings = np.array(ids, np.int64), np.array(labels, np.int64), {}
+    def __init__(self, ids: list[int], labels: list[int], vectors: Iterable) -> None:
+        """``vectors``: terms and weights per example, as a dict or as a pair of arrays."""
+        pairs = [(np.fromiter(v, np.int32), np.fromiter(v.values(), float)) if isinstance(v, dict) else v for v in vectors]
+        self.ids, self.labels = np.array(ids, np.int64), np.array(labels, np.int64)
         self.blocks = -(-len(ids) // BLOCK)
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for at, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                by_term.setdefault(term, []).append((at, weight))
-        for term, rows in by_term.items():
-            at, weight = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-            highest = np.zeros(self.blocks)
-            np.maximum.at(highest, at // BLOCK, weight)
-            self.postings[term] = (at, weight, np.searchsorted(at // BLOCK, np.arange(self.blocks + 1)), highest)
+        terms = np.concatenate([t for t, _ in pairs] or [np.empty(0, np.int32)])
+        at = np.repeat(np.arange(len(pairs), dtype=np.int32), [len(t) for t, _ in pairs])
+        weight = np.concatenate([w for _, w in pairs] or [np.empty(0)])
+        del pairs
+        size = int(terms.max(initial=-1)) + 1
+        lengths = np.bincount(terms, minlength=size)
+        frequent = np.flatnonzero(lengths * DENSE > len(ids))
+        self.row = np.full(size, -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        heavy = self.row[terms] >= 0
+        self.dense_parts = self.row[terms[heavy]], at[heavy], weight[heavy]
+        terms, at, weight = terms[~heavy], at[~heavy], weight[~heavy]
+        order = np.argsort(terms, kind="stable")
+        self.at, self.weight = at[order], weight[order]
+        self.start = np.searchsorted(terms[order], np.arange(size + 1))
+
+    @functools.cached_property
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of frequent terms by examples, and the largest one of each block; made where it is used."""
+        term, at, weight = self.dense_parts
+        out = np.zeros((int((self.row >= 0).sum()), self.blocks * BLOCK))
+        out[term, at] = weight
+        return out, out.reshape(len(out), self.blocks, BLOCK).max(2)
 
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
-        """The ``k`` examples of the largest positive cosine, ties by id: (cosine, position).
+        """The ``k`` examples of the largest positive cosine, ties by id: (cosine, position)."""
+        return self.nearest_of([(np.fromiter(query, np.int64), np.fromiter(query.values(), float))], k)[0]
 
-        Blocks are opened by falling upper bound until none left can change the result.
+    def nearest_of(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """The same for several queries (terms, weights).
+
+        Postings give each example a part of its cosine. With the dense rows' block maxima they bound a block from above;
+        only blocks that can still reach the ``k``-th best part are opened, for all queries that need them at once.
         """
-        lists = [(w, *self.postings[t]) for t, w in sorted(query.items()) if t in self.postings]
-        if not lists:
-            return []
-        bound = sum(w * highest for w, _, _, _, highest in lists)
-        best: list[tuple[float, int]] = []
-        for block in np.lexsort((np.arange(self.blocks), -bound.round(9))).tolist():
-            limit = bound[block].round(9)
-            if limit <= 0 or len(best) == k and (limit, -block * BLOCK) <= (best[-1][0], -best[-1][1]):
-                break
-            scores = np.zeros(BLOCK)
-            for w, at, weight, starts, _ in lists:
-                part = slice(starts[block], starts[block + 1])
-                scores[at[part] - block * BLOCK] += w * weight[part]
-            scores = scores.round(9)
-            best += [(scores[i], block * BLOCK + i) for i in np.flatnonzero(scores > 0).tolist()]
-            best = sorted(best, key=lambda x: (-x[0], x[1]))[:k]
-        return best
-
-
-def _unit(terms: list[int], counts: list[int], idf: np.ndarray) -> dict[int, float]:
-    vector = {t: (1 + math.log(c)) * idf[t] for t, c in zip(terms, counts, strict=True)}
-    norm = math.sqrt(sum(w * w for w in vector.values()))
-    return {t: w / norm for t, w in vector.items()}
+        if not self.blocks:
+            return [[] for _ in queries]
+        dense, highest = self.dense
+        scores, heavy = np.zeros((len(queries), self.blocks * BLOCK)), np.zeros((len(queries), len(dense)))
+        for i, (terms, weights) in enumerate(queries):
+            known = terms < len(self.row)
+            terms, weights = terms[known], weights[known]
+            row = self.row[terms]
+            heavy[i, row[row >= 0]] = weights[row >= 0]
+            terms, weights = terms[row < 0], weights[row < 0]
+            n = self.start[terms + 1] - self.start[terms]
+            if total := int(n.sum()):
+                which = np.repeat(self.start[terms] - np.cumsum(n) + n, n) + np.arange(total)
+                scores[i] = np.bincount(self.at[which], self.weight[which] * np.repeat(weights, n), scores.shape[1])
+        kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.zeros(len(queries))
+        bound = scores.reshape(len(queries), self.blocks, BLOCK).max(2) + heavy @ highest
+        open_ = bound > np.maximum(kth - 1e-8, 0)[:, None]  # rounding must not close a block
+        for block in np.flatnonzero(open_.any(0)).tolist():
+            need, part = np.flatnonzero(open_[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+            scores[need, part] += heavy[need] @ dense[:, part]
+        out = []
+        for s in scores.round(9):
+            best = np.flatnonzero(s >= (np.partition(s, -k)[-k] if len(s) > k else 0))
+            best = best[s[best] > 0]
+            out.append([(float(s[i]), int(i)) for i in best[np.lexsort((best, -s[best]))[:k]]])
+        return out
+
+
+def _unit(terms: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    vector = (1 + np.log(counts)) * weight[terms]
+    some = vector > 0
+    return terms[some], vector[some] / np.sqrt((vector[some] ** 2).sum() or 1.0)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` and ``evidence`` (the nearest examples) for every whole text.
 
     The score is the distance-weighted share of toxic neighbours, every neighbour weighted by how many labelled rows its
-    class has per example, and drawn towards the rate of toxic rows among those without any term, which is also the
-    score of a text without one (a NULL or empty text among them). A NULL id is not held out; repeated rows get one
-    row each; other columns are not read. Without labels of both kinds the score is the rate of the one there is (0
-    without any). An empty table gives an empty result.
+    class has per example, and drawn towards the rate of toxic rows among the labelled ones, which is also the score of
+    a text without known terms (a NULL or empty text among them). A NULL id is not held out; repeated rows get one row
+    each; other columns are not read. Without labels of both kinds the score is the rate of the one there is (0 without
+    any). An empty table gives an empty result. Terms are equal where their 64-bit hashes are.
     """
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     sample = materialize(choose_examples(docs, labels), "examples")
-    vocabulary, sizes = choose_terms(sample)
-    counted = materialize(count_terms(docs, vocabulary), "terms")
-    n_docs = counted.count()
-    frequency = np.zeros(max(1, len(vocabulary)))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():  # <= TERMS rows
-        frequency[r["t"]] = r["n"]
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-
+    examples = example_terms(sample)
     known = labels.where(F.col("doc_id").isNotNull() & ~held_out()).groupBy(F.col("toxic").cast("int").alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in known.agg(F.count("*").alias("n")).where("toxic in (0, 1)").collect()}  # two rows
-    examples = count_terms(sample, vocabulary).join(sample.select("doc_id", "toxic"), "doc_id").orderBy("doc_id").collect()  # <= sum(EXAMPLES)
-    weight = {y: totals.get(y, 0) / sizes[y] if sizes.get(y) else 0.0 for y in (0, 1)}
-    silent = {y: sum(1 for e in examples if e["toxic"] == y and not e["terms"]) * weight[y] for y in (0, 1)}
-    total = sum(silent.values()) or 1.0
-    prior = silent[1] / total
-    index = BlockMaxIndex(
-        [e["doc_id"] for e in examples], [e["toxic"] for e in examples], [_unit(e["terms"], e["counts"], idf) for e in examples]
-    )
-    shared = spark.sparkContext.broadcast((index, idf, weight, prior))
+    sizes = Counter(e["toxic"] for e in examples)
+    class_weight = {y: totals.get(y, 0) / sizes[y] if sizes[y] else 0.0 for y in (0, 1)}
+    mass = {y: totals.get(y, 0) if sizes[y] else 0 for y in (0, 1)}
+    prior = mass[1] / (sum(mass.values()) or 1)
+
+    both, name = bool(sizes[0] and sizes[1]), uuid.uuid4().hex
+    terms = [np.frombuffer(e["terms"], np.uint64) for e in examples] if both else []
+    vocabulary = np.unique(np.concatenate(terms or [np.empty(0, np.uint64)]))
+    if not len(vocabulary):
+        return _verdicts(documents(docs).select(
+            "doc_id", F.lit(float(prior)).alias("score"), F.expr(f"cast(array() as {_EVIDENCE})").alias("evidence")
+        ))
+    ids, marks, counts = ([e[c] for e in examples] for c in ("doc_id", "toxic", "counts"))
+    terms = [np.searchsorted(vocabulary, t).astype(np.int32) for t in terms]
+    del examples  # the driver holds millions of terms
+    used = np.zeros((2, len(vocabulary)), np.int64)
+    for t, y in zip(terms, marks, strict=True):
+        used[y, t] += 1
+    words = context.broadcast(vocabulary)
+    frequency, n_docs = document_frequency(docs, vocabulary, name, words)
+    weight = (np.log((1 + n_docs) / (1 + frequency)) + 1) * tell(used[0], used[1], sizes[0], sizes[1])
+    index = BlockMaxIndex(ids, marks, (_unit(t, np.frombuffer(n, np.int32), weight) for t, n in zip(terms, counts, strict=True)))
+    del terms, counts
+    shared = context.broadcast((index, weight))
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        index, idf, weight, prior = shared.value
+        (index, weight), memo = shared.value, _term_memo(name, words)
         out: dict[str, list] = {"doc_id": batch["doc_id"], "score": [], "evidence": []}
-        memo: dict[tuple, tuple] = {}
-        for terms, counts in zip(batch["terms"], batch["counts"], strict=True):
-            key = (tuple(terms), tuple(counts))
-            if key not in memo:
-                near = index.nearest(_unit(terms, counts, idf), NEIGHBOURS) if terms else []
-                votes = [(s * weight[int(index.labels[i])], int(index.labels[i])) for s, i in near]
-                pull = PRIOR_WEIGHT * min(weight.values())
-                mass = sum(v for v, _ in votes) + pull
-                value = (sum(v for v, y in votes if y) + pull * prior) / mass if near and mass else prior
-                memo[key] = value, [
-                    {"doc_id": int(index.ids[i]), "cosine": float(s), "toxic": int(index.labels[i])} for s, i in near
-                ]
-            out["score"].append(float(memo[key][0]))
-            out["evidence"].append(memo[key][1])
+        place = {text: i for i, text in enumerate(dict.fromkeys(batch["text"]))}
+        nearest = index.nearest_of([_unit(*_counted(text, memo), weight) for text in place], NEIGHBOURS)
+        for near in (nearest[place[text]] for text in batch["text"]):
+            votes = [(s * class_weight[int(index.labels[i])], int(index.labels[i])) for s, i in near]
+            pull = PRIOR_WEIGHT * min(class_weight.values())
+            mass = sum(v for v, _ in votes) + pull
+            out["score"].append(float((sum(v for v, y in votes if y) + pull * prior) / mass if near and mass else prior))
+            out["evidence"].append([{"doc_id": int(index.ids[i]), "cosine": s, "toxic": int(index.labels[i])} for s, i in near])
         return out
 
-    scored = arrow_map(
-        counted, rows, "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double, toxic: int>>"
-    )
+    return _verdicts(arrow_map(documents(docs), rows, f"doc_id long, score double, evidence {_EVIDENCE}", step=400))
+
+
+_EVIDENCE = "array<struct<doc_id: bigint, cosine: double, toxic: int>>"
+
+
+def _verdicts(scored: DataFrame) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence",

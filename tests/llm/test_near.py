@@ -187,6 +187,20 @@ def test_held_out_rows_are_judged_well(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_clean_examples_are_neighbours_too(spark):
+    """Every term of the examples is in the vectors, so that a text without a toxic word has (clean) neighbours."""
+    chance = random.Random(13)
+    common = [f"word{k}" for k in range(200)]
+    rows = [(i, " ".join(chance.sample(common, 40) + ["vile", "nasty"] * (i % 4 == 0))) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    found = toxicity.score(docs, labels).where("held_out").collect()
+    clean = [r for r in found if r.doc_id % 4]
+    assert clean and all(len(r.evidence) == toxicity.NEIGHBOURS for r in found)
+    assert all(sum(e.toxic == 0 for e in r.evidence) > 7 and r.predicted == 0 for r in clean)
+    assert all(r.predicted == 1 for r in found if r.doc_id % 4 == 0)
+
+
 def test_awkward_labels(spark, documents, awkward):
     labels = spark.createDataFrame([(None, 1, 1), (1, 1, None), (10, 0, 1), (10, 0, 1), (11, 0, 0), (12, 1, 5), (999, 0, 0)], "doc_id long, quality int, toxic int")
     for some in (labels, labels.where("false"), labels.where("toxic = 0")):

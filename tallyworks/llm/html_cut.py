@@ -34,6 +34,10 @@ CUES = re.compile(
     r"contentinfo|complementary|dialog)(?:$|[\s_-]|\d)"
 )
 BODY_CUES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-]|\d)")
+#: A class that says how a page is laid out, not what its element is.
+LAYOUT = re.compile(r"(?:has|have|no|with|without|show|hide|layout)[_-]")
+#: Cues of parts that stay boilerplate even where they are most of a page.
+ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|comment-list|disqus|discussion|repl(?:y|ies)|cookies?|consent|gdpr|popup|modal|overlay|dialog)(?:$|[\s_-]|\d)")
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -72,9 +76,14 @@ class _Page:
     links: list[str] = field(default_factory=list)
 
 
-def _cues(name: str, attributes: str, above: frozenset[str]) -> tuple[frozenset[str], bool]:
-    """What an element says about the text inside it, and whether it hides it."""
+def _cues(name: str, attributes: str, above: frozenset[str], number: int) -> tuple[frozenset[str], bool]:
+    """What an element says about the text inside it, and whether it hides it.
+
+    Outside main and article a cue is ``cue:number``, or ``aside:number``, until the whole page tells whether the
+    element only wraps the main text.
+    """
     cues, hidden = above, name in HIDDEN
+    words: list[str] = []
     if name in OUTSIDE or name == "header" and "article" not in above:
         cues = cues | {"outside"}
     elif name in ("article", "main"):
@@ -90,17 +99,38 @@ def _cues(name: str, attributes: str, above: frozenset[str]) -> tuple[frozenset[
                 value = _CAMEL.sub("-", value).lower()
                 if "article" in cues or BODY_CUES.search(value):
                     value = value.replace("header", "")  # an article's own title
-                if BODY_CUES.search(value) and not CUES.search(value):
-                    cues = cues | {"body_cue"}
-                elif CUES.search(value):
-                    cues = cues | {"cue"}
+                words += value.split()
+    words = [x for x in words if not LAYOUT.match(x)]
+    marks = [x for x in words if CUES.search(x)]
+    body = any(BODY_CUES.search(x) and not CUES.search(x) for x in words)
+    if body and not marks:
+        cues = cues | {"body_cue"}
+    elif marks and "article" in above:
+        cues = cues | {"cue"}
+    elif marks and not body:  # a body word cancels them
+        cues = cues | {f"{'aside' if any(map(ASIDE.search, marks)) else 'cue'}:{number}"}
     return cues, hidden
 
 
+def _settle(blocks: list[Block], mains: list[tuple[int, ...]], articles: list[tuple[int, ...]]) -> None:
+    """Make a cue decisive unless its element wraps the main text: it is or holds main, or most of the text and every article."""
+    open_ = [b for b in blocks if "outside" not in b.cues]
+    total = sum(len(b.text) for b in open_)
+    wraps: dict[str, bool] = {}
+    for cue in {c for b in blocks for c in b.cues if ":" in c}:
+        number = int(cue.partition(":")[2])
+        inside = sum(len(b.text) for b in open_ if number in b.path)
+        most = cue.startswith("cue:") and 2 * inside > total and all(number in path for path in articles)
+        wraps[cue] = most or any(number in path for path in mains)
+    for b in blocks:
+        b.cues = frozenset(x for c in b.cues if (x := c if ":" not in c else "" if wraps[c] else "cue"))
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order; malformed markup is read as far as it goes."""
     root = _Open("", 0, False, frozenset())
     stack, state, number, at, in_link = [root], _Page(), 0, 0, 0
+    tops: dict[str, list[tuple[int, ...]]] = {"main": [], "article": []}
 
     def text(piece: str) -> None:
         if piece and not stack[-1].hidden:
@@ -150,12 +180,15 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID or attributes.endswith("/") and name not in RAW:
             continue
         number += 1
-        cues, hidden = _cues(name, attributes, stack[-1].cues)
+        cues, hidden = _cues(name, attributes, stack[-1].cues, number)
+        if name in tops and not {"article", "outside"} & stack[-1].cues and not (hidden or stack[-1].hidden):
+            tops[name].append((*[o.number for o in stack], number))
         if name in RAW:  # their text is no markup
             end = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
             at = end.start() if end else size
         stack.append(_Open(name, number, hidden or stack[-1].hidden, cues))
     close()
+    _settle(state.blocks, tops["main"], tops["article"])
     return state.blocks
 
 

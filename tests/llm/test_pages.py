@@ -26,6 +26,23 @@ def test_page_without_an_article_element():
     assert html_cut.main_text(page) == "Head\nA plain text of a page that is long enough to be taken for its content.\nShort."
 
 
+def test_wrappers_with_layout_classes_keep_the_article():
+    text = "<h2>Head</h2><p>A plain text of a page that is long enough to be taken for its content.</p><p>It has a second paragraph, too.</p>"
+    want = "Head\nA plain text of a page that is long enough to be taken for its content.\nIt has a second paragraph, too."
+    rest = "<div class=sidebar><p>Related stories, and a long text.</p></div><section id=comments><article><p>A reader says this.</p></article></section>"
+    for open_, close in (
+        ('<main class="content has-sidebar">', "</main>"), ('<div id="page" class="has-sidebar"><main>', "</main></div>"), ('<article class="post no-comments">', "</article>"),
+        ('<div id="page" class="has-sidebar"><article>', "</article></div>"), ('<div class="search form"><main>', "</main></div>"), ('<main class="sidebar">', "</main>"),
+        ('<div class="more"><article>', "</article></div>"), ('<div class="content sidebar-right"><article>', "</article></div>"),
+    ):
+        assert html_cut.main_text(f"<body><nav>Menu</nav>{open_}{text}{close}</body>") == want, open_
+        if "more" not in open_:
+            assert html_cut.main_text(f"<body><nav>Menu</nav>{open_}{text}{close}{rest}</body>") == want, open_
+    assert html_cut.main_text(f'<div id="page" class="has-sidebar">{text}{rest[:62]}</div>') == want
+    # a part inside the wrapper stays what it says
+    assert html_cut.main_text(f'<div class="has-sidebar"><main>{text}<div class="share">Share this text with all.</div></main></div>') == want
+
+
 def test_odd_markup():
     assert html_cut.main_text("") == ""
     assert html_cut.main_text("<p") == html_cut.main_text("<!-- open <p>x") == html_cut.main_text("<script>x") == ""

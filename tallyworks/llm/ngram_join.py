@@ -112,12 +112,12 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
         shingles, (often, level) = Shingler(words), shared.value
         out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "key": [], "sketch": [], "columns": []}
         seen: set[int] = set()
-        for text in batch["text"]:
+        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             s = shingles(text)
             key = _word_hash(s.tobytes()) >> 1
             out["n"].append(len(s))
             out["key"].append(key)
-            if not len(s) or key in seen:  # copies in a block need no columns of their own
+            if doc_id is None or not len(s) or key in seen:  # without an id no links; copies in a block need no columns of their own
                 out["columns"].append([])
                 out["sketch"].append(None)
                 continue

@@ -103,6 +103,16 @@ def test_chains_and_common_columns(spark):
     assert found == groups(sets, links)
 
 
+def test_a_row_without_id_takes_no_links_from_its_copy(spark):
+    chance = random.Random(14)
+    base = " ".join(f"w{chance.randint(0, 10**6)}" for _ in range(100))
+    rows = [(None, base), (7, base), (8, base + " end"), (9, "something else")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = Counter((r.doc_id, r.component_id) for r in ngram_join.near_duplicates(docs).collect())
+    assert found == Counter([(None, None), (7, 7), (8, 7), (9, 9)])
+    assert Counter(r.doc_id for r in ngram_join.keep_one(docs).collect()) == Counter([None, 7, 9])
+
+
 def test_one_of_each_group_stays(documents):
     left = ngram_join.keep_one(documents)
     ids = [r.doc_id for r in left.collect()]

@@ -169,6 +169,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words, self.stretches = Tokenizer.from_file(path), {}, {}
+        added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)")
 
     @classmethod
     @functools.lru_cache(maxsize=2)
@@ -189,6 +191,8 @@ class Encoder:
         parts = {}
         for x in new:
             low = x.lower() if x.isascii() else x
+            if self.added.search(low):  # the library tells '<|ENDOFTEXT|>' from the special token
+                low = x
             marked = _MARKED.fullmatch(low)
             # A few letters turn into one with an accent of its own, which would go with the marks.
             apart = marked and (x.isascii() or unicodedata.normalize("NFC", marked[1]).lower().isalpha())

@@ -97,6 +97,16 @@ def test_pieces_hold_the_librarys_ids_and_fill_sequences(documents, awkward):
         assert sum(n for _, n in placed) <= 256
 
 
+def test_special_strings_in_other_case_are_plain_text(spark):
+    library = Tokenizer.from_file(WORDS)
+    texts = ["<|ENDOFTEXT|>", "a<|EndOfText|>B c", "<|STARTOFTEXT|> <|startoftext|>X", "Up<|endoftext|>UP <|endoftext|>", "É<|ENDOFTEXT|>", "A.b <|EndOfText"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.ids for r in packing.pack_documents(docs, WORDS, with_ids=True).collect()}
+    assert found == {i: [*library.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(texts)}
+    counts = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, WORDS).collect()}
+    assert counts == {i: len(ids) - 1 for i, ids in found.items()}
+
+
 def test_quality_rules_against_loops(documents, awkward):
     want = Counter()
     for i, text in awkward:

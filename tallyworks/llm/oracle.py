@@ -109,9 +109,53 @@ select k.doc_id, k.n_lines, cast(coalesce(r.n_removed, 0) as bigint) as n_remove
 from kept k left join runs r on r.doc_id = k.doc_id
 """
 
+
+
+def _means(rounds: int = 10, k: int = 8, dim: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Assignments to the nearest centroid and their exact means, round by round."""
+
+    def nearest(r: int) -> str:
+        far = "list_sum(list_transform(range(1, {dim} + 1), lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))".format(dim=dim)
+        return f"""a{r} as materialized (
+  select row, vec_id, x, c, cast(far as bigint) as far from (
+    select v.row, v.vec_id, v.x, c.c, {far} as far from vectors v cross join c{r} c
+  ) qualify row_number() over (partition by row order by far, c) = 1
+)"""
+
+    def means(r: int) -> str:
+        return f"""s{r} as (
+  select c, i, sum(v) as s, count(*) as n from (select c, generate_subscripts(x, 1) as i, unnest(x) as v from a{r - 1}) group by c, i
+),
+c{r} as materialized (
+  select o.c, coalesce(m.x, o.x) as x from c{r - 1} o left join (
+    select c, list(cast((s - (((s % n) + n) % n)) // n as bigint) order by i) as x from s{r} group by c
+  ) m on m.c = o.c
+)"""
+
+    steps = ",\n".join(x for r in range(rounds + 1) for x in ([means(r)] if r else []) + [nearest(r)])
+    return f"""
+with vectors as materialized (
+  select row_number() over () as row, cast(vec_id as bigint) as vec_id,
+    list_transform(embedding, lambda v: cast(floor(cast(v as double) * {scale}) as bigint)) as x
+  from embeddings where len(embedding) = {dim} and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+),
+c0 as materialized (
+  select row_number() over (order by h) - 1 as c, x from (
+    select sha256('{seed}:' || vec_id) as h, x from vectors order by h nulls last limit {k}
+  )
+),
+{steps},
+sums as (select c, cast(sum(far) as bigint) as far from a{rounds} group by c)
+select a.vec_id, cast(a.c as integer) as cluster, a.far as distance, s.far as cluster_inertia,
+  cast((select sum(far) from sums) as bigint) as inertia, sha256(array_to_string(m.x, ',')) as centroid_sha256
+from a{rounds} a join sums s on s.c = a.c join c{rounds} m on m.c = a.c
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_pivot_index": PIVOT_INDEX,
     "op5_line_winnow": LINE_WINNOW,
     "op9_ngram_join": NGRAM_JOIN,
     "op10_quality_rules": QUALITY_RULES,
+    "op12_va_file": _means(),
 }

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import bpe_replay, html_cut, line_winnow, ngram_join, packing, pivots, quality_rules, suffix_dedup, token_counts, toxicity
+from tallyworks.llm import (
+    bpe_replay, html_cut, line_winnow, ngram_join, packing, pivots, quality_rules, suffix_dedup, token_counts, toxicity, va_file, whitening, winnowing,
+)
 from tallyworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +58,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.edits(spark, table(spark, sf_dir, "documents"))
+    return found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_pivot_index, op2_html_cut, op3_bpe_replay, op4_token_counts, op5_line_winnow, op6_packing, op7_toxicity,
-        op8_suffix_dedup, op9_ngram_join, op10_quality_rules,
+        op8_suffix_dedup, op9_ngram_join, op10_quality_rules, op11_whitening, op12_va_file, op13_winnowing,
     )
 }

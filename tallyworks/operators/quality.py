@@ -166,6 +166,43 @@ def quality_report(df: DataFrame, table_name: str = "raw_transactions") -> DataF
         return rows.withColumn("is_valid", F.lit(False))
 
 
+# The same verdict from figures that merge: rows (batch_id, kind, value, n), which of a new batch alone can be added.
+
+PARTIALS = "batch_id string, kind string, value string, n bigint"
+
+
+def batch_partials(rows: DataFrame) -> DataFrame:
+    """Figures of the batches of ``rows``, but for repeated ids: numbers of rows, of negative amounts, of NULL ids, and of
+    rows with each invalid status. One grouping, combined before the shuffle."""
+    invalid = F.when(~F.col("status").isin(*VALID_STATUSES), F.col("status"))
+    per_status = rows.groupBy("batch_id", invalid.alias("value")).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("amount") < 0).alias("negative"), F.count_if(F.col("transaction_id").isNull()).alias("null id")
+    )
+    nothing = F.lit(None).cast("string")
+    kinds = [F.struct(F.lit(k).alias("kind"), nothing.alias("value"), F.col(k).alias("n")) for k in ("rows", "negative", "null id")]
+    kinds.append(F.struct(F.lit("status").alias("kind"), "value", F.when(F.col("value").isNotNull(), F.col("rows")).otherwise(0).alias("n")))
+    return per_status.select("batch_id", F.inline(F.array(*kinds))).where("n > 0")
+
+
+def repeated_partials(ids: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows of ``ids`` (``key``, ``batch_id``, ``n``) whose key is one of ``repeated``."""
+    return ids.join(repeated, "key", "left_semi").select("batch_id", F.lit("repeated").alias("kind"), F.col("key").cast("string").alias("value"), "n")
+
+
+def merged_report(partials: DataFrame, table_name: str = "raw_transactions") -> DataFrame:
+    """``quality_report`` of a table from the figures of its batches; an id is repeated if its batches hold it more than once."""
+    total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    plain = partials.agg(
+        total("rows").alias("n_rows"), total("negative").alias("n_negative"), total("status").alias("n_invalid_rows"), total("null id").alias("nulls")
+    ).select("n_rows", "n_negative", "n_invalid_rows", (F.col("nulls") > 1).cast("bigint").alias("null_group"))
+    values = partials.where("kind in ('status', 'repeated')").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    different = values.agg(
+        F.count_if(F.col("kind") == "status").alias("n_invalid"), F.count_if((F.col("kind") == "repeated") & (F.col("n") > 1)).alias("n_repeated")
+    )
+    figures = _side_by_side([plain, different]).withColumn("n_duplicates", F.col("n_repeated") + F.col("null_group"))
+    return _to_rows(figures, [_not_empty(table_name), _no_negative(), _valid_statuses(), _no_duplicates()], with_verdict=True)
+
+
 def failed_checks(report: DataFrame) -> DataFrame:
     return report.where(~F.col("passed")).select(*CHECK_ROW.names)
 
@@ -208,7 +245,15 @@ def validate_transactions(df: DataFrame, table_name: str = "raw_transactions") -
 
 def gate(df: DataFrame, table_name: str = "raw_transactions") -> dict[str, Any]:
     """Raise if the table is not valid; return the report otherwise."""
-    result = validate_transactions(df, table_name)
+    return require_valid(validate_transactions(df, table_name))
+
+
+def gate_report(report: DataFrame) -> dict[str, Any]:
+    """The same of a report's rows."""
+    return require_valid(_as_dict(report.collect()))
+
+
+def require_valid(result: dict[str, Any]) -> dict[str, Any]:
     if not result["is_valid"]:
         raise DataQualityError(
             f"Data quality validation failed: {result['errors']}; invalid_status_counts lists invalid statuses as rows"

@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from tallyworks.functions.aggregates import watermark
 from tallyworks.functions.dates import date_key
-from tallyworks.operators import chunks, clean, integrity, quality
-from tallyworks.schemas import FACT_TRANSACTIONS, RAW_TRANSACTIONS, TRANSACTIONS_CSV
+from tallyworks.operators import chunks, clean, integrity
+from tallyworks.plans import verdicts
+from tallyworks.schemas import FACT_TRANSACTIONS, TRANSACTIONS_CSV
 from tallyworks.session import scratch, written
-from tallyworks.sinks import tables
+from tallyworks.sinks import claims, tables
+from tallyworks.sinks.ledger import KeyLedger, location
 from tallyworks.sources.transactions_csv import SURPLUS, scan_transactions
 
 logger = logging.getLogger(__name__)
@@ -105,33 +107,46 @@ def to_fact(raw: DataFrame, load_ts: datetime, created_at_source: str = "load",
     return filled.select(*[c for c, _ in FACT_TRANSACTIONS.columns], *keep)
 
 
-# What was loaded: a row when the load of a batch starts and one when it is complete, and the ids with their batch.
+# What was loaded: a record when the load of a batch starts and one when it is complete, and the ids with their batch.
 
 STARTED, LOADED = "started", "loaded"
+#: Records of single batches that may lie about before they are gathered into one.
+LOOSE_RECORDS = 400
 
 
-def _batch_ledger(spark: SparkSession, fact_table: str) -> str:
-    name = f"{fact_table}_batches"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id STRING, state STRING, at TIMESTAMP_NTZ, loaded_rows BIGINT) USING parquet")
-    return name
+def _batch_records(spark: SparkSession, fact_table: str) -> claims.Folder:
+    return claims.Folder(spark, f"{location(spark, fact_table)}_batch_records")
 
 
-def _note(spark: SparkSession, ledger: str, batches: list[str], state: str, at: datetime, loaded: int | None = None) -> None:
-    rows = spark.createDataFrame([(b, state, loaded) for b in batches], "batch_id string, state string, loaded_rows bigint")
-    rows.withColumn("at", clean.timestamp_literal(at)).coalesce(1).select("batch_id", "state", "at", "loaded_rows").write.insertInto(ledger)
+def _note(records: claims.Folder, batches: list[str], state: str, at: datetime, loaded: int | None = None) -> None:
+    for b in batches:
+        records.write(f"{state}-{urllib.parse.quote(b, safe='')}", {"at": at.isoformat(), "loaded_rows": loaded})
 
 
-def _id_ledger(spark: SparkSession, fact_table: str) -> str:
-    """Ids of the fact with their batch, bucketed by id, so that a look-up moves only the new ids.
+def _batch_states(records: claims.Folder) -> tuple[set[str], set[str]]:
+    """Batches whose load started, and those whose load is complete: from one listing, and one record of older batches."""
+    names, done = records.names(), set(records.read("all-loaded") or ())
+    of = lambda state: {urllib.parse.unquote(n.removeprefix(f"{state}-")) for n in names if n.startswith(f"{state}-")}
+    started, loaded = of(STARTED), of(LOADED)
+    if len(names) > LOOSE_RECORDS:
+        done |= loaded
+        records.write("all-loaded", sorted(done))
+        for b in loaded:
+            for state in (STARTED, LOADED):
+                records.delete(f"{state}-{urllib.parse.quote(b, safe='')}")
+    return started - loaded - done, loaded | done
 
-    Made from the fact where it is missing; ids loaded before that have no batch.
-    """
-    name = f"{fact_table}_ids"
-    if not spark.catalog.tableExists(name):
-        ids = spark.table(fact_table).select("transaction_id", F.lit(None).cast("string").alias("batch_id"))
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        ids.write.format("parquet").bucketBy(buckets, "transaction_id").saveAsTable(name)
-    return name
+
+def _id_ledger(spark: SparkSession, fact_table: str) -> KeyLedger:
+    """Ids of the fact with their batch. Made from the fact where it is missing; ids loaded before that have no batch."""
+    ledger = KeyLedger(spark, fact_table, "ids")
+    if not ledger.exists():
+        ledger.add(_keys(spark.table(fact_table).withColumn("batch_id", F.lit(""))))
+    return ledger
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.select(F.col("transaction_id").cast("bigint").alias("key"), "batch_id", F.lit(1).cast("bigint").alias("n"))
 
 
 def _stored_batches(spark: SparkSession, raw_table: str) -> list[str]:
@@ -184,52 +199,62 @@ def load_fact_incremental(
     ``choose='watermark'`` takes only rows stamped at or after the latest load, and refuses a load time that is not
     after the rows' own, for those would be chosen again.
 
+    Loads of one fact table exclude each other, since ids must be unique over all batches: one waits until the other is
+    done and then finds its batches loaded. A load that lost its claim stops before it stores anything.
+
     New rows and offending keys are written down first: the raw folders are read once, rules nothing breaks need no
-    join, and the other joins are planned with true sizes. Known ids are looked up in a ledger bucketed by id.
+    join, and the other joins are planned with true sizes. Known ids are looked up in a ledger, of which only files that
+    may hold a new id are opened.
     """
     if on_violation not in ("fail", "quarantine") or choose not in ("batch", "watermark"):
         raise ValueError(f"unknown mode: {on_violation}, {choose}")
+    with claims.claim(spark, f"{location(spark, fact_table)}_load_claims") as held, scratch(spark, "load") as folder:
+        return _load(spark, raw_table, fact_table, dim_users, dim_date, load_ts, created_at_source, on_violation, quarantine_table, choose, held, folder)
+
+
+def _load(
+    spark: SparkSession, raw_table: str, fact_table: str, dim_users: DataFrame, dim_date: DataFrame, load_ts: datetime,
+    created_at_source: str, on_violation: str, quarantine_table: str | None, choose: str, held: claims.Claim, folder: str,
+) -> int:
     fact, raw = spark.table(fact_table), spark.table(raw_table)
-    ledger, ids = _batch_ledger(spark, fact_table), _id_ledger(spark, fact_table)
-    states: dict[str, set[str]] = {}
-    for r in spark.table(ledger).select("batch_id", "state").collect():  # two rows per run
-        states.setdefault(r["batch_id"], set()).add(r["state"])
-    pending = sorted(b for b in _stored_batches(spark, raw_table) if LOADED not in states.get(b, ()))
+    records = _batch_records(spark, fact_table)
+    started, loaded = _batch_states(records)
+    pending = sorted(set(_stored_batches(spark, raw_table)) - loaded)
     if not pending:
         return 0
+    ids = _id_ledger(spark, fact_table)
     rows = raw.where(F.col("batch_id").isin(*pending))
     if choose == "watermark":
         rows = new_raw_rows(rows, fact)
         if not rows.where(F.col("processed_at") >= clean.timestamp_literal(load_ts)).isEmpty():
             raise ValueError("by watermark, the load must be later than the run that stored the rows")
-    with scratch(spark, "load") as folder:
-        new = written(to_fact(rows, load_ts, created_at_source, keep=["batch_id"]), f"{folder}/new")
-        if cut_off := [b for b in pending if STARTED in states.get(b, ())]:
-            held = fact.select("transaction_id").join(
-                new.where(F.col("batch_id").isin(*cut_off)).select("transaction_id").distinct(), "transaction_id", "left_semi"
-            )
-            own = spark.table(ids).where(F.col("batch_id").isin(*cut_off)).select("transaction_id", "batch_id")
-            done = held.join(own, "transaction_id").distinct()
-            new = written(new.join(done, ["transaction_id", "batch_id"], "left_anti"), f"{folder}/left")
-        others = spark.table(ids).where(~F.coalesce(F.col("batch_id").isin(*pending), F.lit(False))).select("transaction_id")
-        sets = integrity.offending_keys(new.drop("batch_id"), dim_users, dim_date)
-        known = new.select("transaction_id").distinct().join(others, "transaction_id", "left_semi")
-        first, *rest = sets.items()
-        offending = _write_keys(spark, dict([first, ("transaction_id already loaded", known), *rest]), f"{folder}/keys")
-        flagged = integrity.flag_violations(new, offending)
-        if on_violation == "fail":
-            counts = {r["violation"]: r["row_count"] for r in integrity.violation_counts(flagged).collect()}
-            if counts:
-                raise integrity.IntegrityError(f"nothing loaded into {fact_table}: {counts}")
-        elif quarantine_table:
-            violating = written(integrity.violating(flagged), f"{folder}/violating")
-            for batch in pending:  # as a rule one: the run that just ended
-                _write_quarantine(violating.where(F.col("batch_id") == batch), quarantine_table, batch)
-        passing = integrity.passing(flagged)
-        _note(spark, ledger, pending, STARTED, load_ts)
-        passing.select("transaction_id", "batch_id").write.insertInto(ids)
-        n = tables.append(passing.drop("batch_id"), fact_table, cluster_by="date_id", checked=True)
-        _note(spark, ledger, pending, LOADED, load_ts, n)
+    new = written(to_fact(rows, load_ts, created_at_source, keep=["batch_id"]), f"{folder}/new")
+    if cut_off := [b for b in pending if b in started]:
+        present = fact.select("transaction_id").join(
+            new.where(F.col("batch_id").isin(*cut_off)).select("transaction_id").distinct(), "transaction_id", "left_semi"
+        )
+        own = ids.of_batches(cut_off).select(F.col("key").alias("transaction_id"), "batch_id")
+        done = present.join(own, "transaction_id").distinct()
+        new = written(new.join(done, ["transaction_id", "batch_id"], "left_anti"), f"{folder}/left")
+    known = ids.known(_keys(new), without=pending)
+    first, *rest = integrity.offending_keys(new.drop("batch_id"), dim_users, dim_date).items()
+    middle = [] if known is None else [("transaction_id already loaded", known.select(F.col("key").alias("transaction_id")).distinct())]
+    offending = _write_keys(spark, dict([first, *middle, *rest]), f"{folder}/keys")
+    flagged = integrity.flag_violations(new, offending)
+    if on_violation == "fail":
+        counts = {r["violation"]: r["row_count"] for r in integrity.violation_counts(flagged).collect()}
+        if counts:
+            raise integrity.IntegrityError(f"nothing loaded into {fact_table}: {counts}")
+    elif quarantine_table:
+        violating = written(integrity.violating(flagged), f"{folder}/violating")
+        for batch in pending:  # as a rule one: the run that just ended
+            _write_quarantine(violating.where(F.col("batch_id") == batch), quarantine_table, batch)
+    passing = integrity.passing(flagged)
+    held.require()
+    _note(records, pending, STARTED, load_ts)
+    ids.add(_keys(passing))
+    n = tables.append(passing.drop("batch_id"), fact_table, cluster_by="date_id", checked=True)
+    _note(records, pending, LOADED, load_ts, n)
     return n
 
 
@@ -248,10 +273,10 @@ def run_all(
 ) -> int:
     """Ingest, gate, load; an error in one step keeps the later ones from running. Returns how many rows were loaded.
 
-    The gate judges the whole raw table on every run.
+    The gate's verdict is on the whole raw table; it reads the new batch and the ids that may meet its own.
     """
     ingest_raw(spark, input_path, raw_table, run_ts, **ingest_options)
-    quality.gate(spark.table(raw_table), RAW_TRANSACTIONS.name)
+    verdicts.gate(spark, raw_table)
     return load_fact_incremental(
         spark, raw_table, fact_table, dim_users, dim_date, load_ts or run_ts,
         created_at_source=created_at_source, on_violation=on_violation,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions import aggregates as fa
 from tallyworks.functions import dates, parsing
 from tallyworks.operators import aggregates, chunks, clean, filters, integrity, joins, quality, sorting
-from tallyworks.plans import logs, reports, transactions, warehouse
+from tallyworks.plans import logs, reports, transactions, verdicts, warehouse
 from tallyworks.registry import adapters as a
 from tallyworks.schemas import FACT_TRANSACTIONS, LOG_RECORD
 from tallyworks.session import configure, shared_dir
@@ -188,8 +188,9 @@ def tbl_exists(spark, sf):
 def tbl_create_from_df(spark, sf):
     table = f"{_database(spark)}.transactions"
     rows = a.cleaned(spark, sf)
-    tables.create_from_df(rows, table, primary_key="transaction_id")
-    tables.append(rows, table)
+    tables.create_from_df(rows, table, primary_key="transaction_id", key_ledger=True)
+    tables.append(rows.where(F.col("status") == "completed"), table)
+    tables.append(rows.where(F.col("status") != "completed"), table)
     return _raw_columns(spark.table(table))
 
 
@@ -495,7 +496,15 @@ def dq_report(spark, sf):
 
 @query
 def dq_gate(spark, sf):
-    return quality.failed_checks(quality.quality_report(a.unchecked(spark, sf)))
+    """Failed checks of the table after its second batch, from the figures kept of both."""
+    database = _database(spark)
+    warehouse.create_star_schema(spark, database)
+    raw, rows = f"{database}.raw_transactions", a.unchecked(spark, sf)
+    for i in range(2):
+        part = rows.where(F.pmod(F.col("transaction_id"), F.lit(2)) == i)
+        tables.overwrite_batch(part.withColumn("batch_id", F.lit(f"b{i}")), raw, f"b{i}")
+        report = verdicts.report(spark, raw)
+    return quality.failed_checks(report)
 
 
 @query

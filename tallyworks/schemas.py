@@ -19,7 +19,7 @@ NA_VALUES = (
 )
 EPOCH_WATERMARK = "1900-01-01"
 
-KEY_PROPERTY, REQUIRED_PROPERTY = "tallyworks.key", "tallyworks.required"
+KEY_PROPERTY, REQUIRED_PROPERTY, LEDGER_PROPERTY = "tallyworks.key", "tallyworks.required", "tallyworks.key_ledger"
 
 TRANSACTIONS_CSV = T.StructType([T.StructField(name, T.StringType()) for name in CSV_COLUMNS])
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.operators import integrity
-from tallyworks.schemas import KEY_PROPERTY, REQUIRED_PROPERTY, TableSpec
-from tallyworks.session import remove, subfolders
+from tallyworks.schemas import KEY_PROPERTY, LEDGER_PROPERTY, REQUIRED_PROPERTY, TableSpec
+from tallyworks.session import remove, scratch, subfolders, written
+from tallyworks.sinks import claims
+from tallyworks.sinks.ledger import KeyLedger, location
 
 logger = logging.getLogger(__name__)
 
@@ -70,6 +72,14 @@ def check_constraints(rows: DataFrame, table: str) -> None:
 
     Only the new keys are grouped and looked up; tables without a recorded key cost nothing.
     """
+    if key := check_rows(rows, table):
+        target = rows.sparkSession.table(table).select(*key)
+        if not rows.select(*key).join(target, key, "left_semi").isEmpty():
+            raise integrity.IntegrityError(f"({', '.join(key)}) exists in {table} already")
+
+
+def check_rows(rows: DataFrame, table: str) -> list[str]:
+    """The part of the check that needs the rows only; returns the key."""
     key, required = key_of(rows.sparkSession, table)
     nulls = [c for c in required if c in rows.columns]
     if nulls:
@@ -78,23 +88,74 @@ def check_constraints(rows: DataFrame, table: str) -> None:
             raise integrity.IntegrityError(f"NULL in {', '.join(bad)} of {table}")
     if key:
         integrity.require_unique(rows, key)
-        target = rows.sparkSession.table(table).select(*key)
-        if not rows.select(*key).join(target, key, "left_semi").isEmpty():
-            raise integrity.IntegrityError(f"({', '.join(key)}) exists in {table} already")
+    return key
 
 
 def append(df: DataFrame, table: str, cluster_by: str | None = None, checked: bool = False) -> int:
     """Append rows. ``cluster_by`` gathers the rows of a partition value into few files.
 
     The rebalance hint lets AQE split a value that holds much of the data over several tasks. A recorded key and NOT
-    NULL columns are checked first, unless the caller has ``checked`` the rows.
+    NULL columns are checked first, unless the caller has ``checked`` the rows. A table that keeps a ledger of its keys
+    (``keep_key_ledger``) is not read for that, and appends to it exclude each other.
     """
     rows = align_to_table(df, table)
+    spread = (lambda r: r.hint("rebalance", F.col(cluster_by))) if cluster_by else (lambda r: r)
+    if not checked and keeps_ledger(df.sparkSession, table):
+        return _append_with_ledger(rows, table, spread)
     if not checked:
         check_constraints(rows, table)
-    if cluster_by:
-        rows = rows.hint("rebalance", F.col(cluster_by))
-    return _insert(rows, table, "append")
+    return _insert(spread(rows), table, "append")
+
+
+# A ledger of a table's keys beside it, so that an append need not read the table.
+
+def keeps_ledger(spark: SparkSession, table: str) -> bool:
+    return any(r["key"] == LEDGER_PROPERTY for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect())
+
+
+def _digest(rows: DataFrame, key: list[str]) -> Column:
+    """The key as a whole number: itself, or a hash. Rows that meet in a hash are compared by their keys."""
+    whole = len(key) == 1 and isinstance(rows.schema[key[0]].dataType, T.IntegralType)
+    return (F.col(key[0]).cast("bigint") if whole else F.xxhash64(*key)).alias("key")
+
+
+def keep_key_ledger(spark: SparkSession, table: str) -> None:
+    """From now on keep a ledger of the keys of a table with a recorded key; what the table holds is read once."""
+    key, _ = key_of(spark, table)
+    if not key:
+        raise ValueError(f"{table} has no recorded key")
+    with claims.claim(spark, f"{location(spark, table)}_append_claims"):
+        if not keeps_ledger(spark, table):
+            KeyLedger(spark, table, "key_ledger").add(_entries(spark.table(table), key))
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LEDGER_PROPERTY}' = 'key_ledger')")
+
+
+def _entries(rows: DataFrame, key: list[str]) -> DataFrame:
+    return rows.select(_digest(rows, key), F.lit("").alias("batch_id"), F.lit(1).cast("bigint").alias("n"))
+
+
+def _append_with_ledger(rows: DataFrame, table: str, spread) -> int:
+    """Look the new keys up in the ledger; only rows that meet an entry there are looked up in the table itself.
+
+    Keys are entered before the rows are stored. Should the job be lost in between, the entries have no rows, which the
+    look-up in the table finds out when the append is repeated.
+    """
+    spark = rows.sparkSession
+    key, _ = key_of(spark, table)
+    with claims.claim(spark, f"{location(spark, table)}_append_claims") as held, scratch(spark, "append") as folder:
+        rows = written(rows, f"{folder}/rows")
+        check_rows(rows, table)
+        ledger = KeyLedger(spark, table, "key_ledger")
+        met = ledger.known(_entries(rows, key))
+        if met is not None:
+            met = written(met.select("key").distinct(), f"{folder}/met")
+            if not met.isEmpty():
+                suspects = rows.withColumn("_met", _digest(rows, key)).join(met.withColumnRenamed("key", "_met"), "_met", "left_semi").select(*key)
+                if not suspects.join(spark.table(table).select(*key), key, "left_semi").isEmpty():
+                    raise integrity.IntegrityError(f"({', '.join(key)}) exists in {table} already")
+        held.require()
+        ledger.add(_entries(rows, key))
+        return _insert(spread(rows), table, "append")
 
 
 def quoted(value: str) -> str:
@@ -102,11 +163,6 @@ def quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").select("data_type")
-    return rows.first()[0].rstrip("/")
-
-
 def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
     """Replace one batch of a parquet table partitioned by ``batch_id``.
 
@@ -119,7 +175,7 @@ def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
     rows = align_to_table(df, table)
     own = F.col("batch_id").eqNullSafe(F.lit(batch_id))
     rows = rows.where(F.assert_true(own, F.lit(f"a row does not belong to batch {batch_id}")).isNull()).drop("batch_id")
-    home, version = f"{_location(spark, table)}/batch_id={urllib.parse.quote(batch_id, safe='')}", uuid.uuid4().hex
+    home, version = f"{location(spark, table)}/batch_id={urllib.parse.quote(batch_id, safe='')}", uuid.uuid4().hex
     counted = Observation()
     try:
         rows.observe(counted, F.count("*").alias("n")).write.parquet(f"{home}/{version}")
@@ -151,15 +207,18 @@ def save(df: DataFrame, table: str, if_exists: str = "append") -> None:
     df.write.mode(modes[if_exists]).format("parquet").saveAsTable(table)
 
 
-def create_from_df(df: DataFrame, table: str, primary_key: str | None = None) -> None:
+def create_from_df(df: DataFrame, table: str, primary_key: str | None = None, key_ledger: bool = False) -> None:
     """Create an empty table with the columns of ``df``; an existing table is an error.
 
-    A primary key is recorded with the table and checked by every append.
+    A primary key is recorded with the table and checked by every append, with ``key_ledger`` against a ledger of the
+    keys instead of the table.
     """
     df.limit(0).write.mode("error").format("parquet").saveAsTable(table)
     if primary_key and primary_key in df.columns:
         properties = f"{quoted(KEY_PROPERTY)} = {quoted(primary_key)}, {quoted(REQUIRED_PROPERTY)} = {quoted(primary_key)}"
         df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({properties})")
+        if key_ledger:
+            keep_key_ledger(df.sparkSession, table)
 
 
 def create_tables(spark, specs: tuple[TableSpec, ...], database: str | None = None) -> None:

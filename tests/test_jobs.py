@@ -197,8 +197,8 @@ def test_late_batches_and_cut_off_loads_are_made_up_for(spark, database):
     later = RUN + timedelta(hours=1)
     _raw(spark, [(4, 1, 5.0, "2024-01-01", "failed"), (5, 1, 6.0, "2024-01-02", "failed")], later, raw)
     name = "batch_20240201_070000"
-    transactions._note(spark, f"{fact}_batches", [name], transactions.STARTED, later)
-    spark.sql(f"insert into {fact}_ids values (4, '{name}'), (5, '{name}')")
+    transactions._note(transactions._batch_records(spark, fact), [name], transactions.STARTED, later)
+    transactions._id_ledger(spark, fact).add(spark.sql(f"select explode(array(4L, 5L)) as key, '{name}' as batch_id, 1L as n"))
     tables.append(spark.sql("select 4L as transaction_id, 1L as user_id, 20240101 as date_id, 5.0 as amount, 'failed' as status, timestamp_ntz'2024-02-01 07:00:00' as processed_at"), fact)
     assert load(later) == 1
     assert sorted(r.transaction_id for r in spark.table(fact).collect()) == [1, 2, 3, 4, 5]
@@ -207,6 +207,52 @@ def test_late_batches_and_cut_off_loads_are_made_up_for(spark, database):
         load(later + timedelta(hours=1), choose="watermark")
 
 
+def test_loads_that_start_together_load_each_row_once(spark, database):
+    raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
+    users, days = _users(spark, 1), warehouse.default_date_dimension(spark)
+    _raw(spark, [(i, 1, 5.0, "2024-01-01", "failed") for i in range(20)], RUN, raw)
+    with ThreadPoolExecutor(2) as pool:
+        done = list(pool.map(lambda i: transactions.load_fact_incremental(spark, raw, fact, users, days, RUN + timedelta(hours=i)), range(2)))
+    assert sorted(done) == [0, 20] and spark.table(fact).count() == 20
+    # two batches with ids in common, loaded at once: the second load finds the first one's ids
+    _raw(spark, [(50, 1, 5.0, "2024-01-01", "failed")], RUN + timedelta(hours=3), raw)
+    assert transactions.load_fact_incremental(spark, raw, fact, users, days, RUN + timedelta(hours=3)) == 1
+    _raw(spark, [(50, 1, 5.0, "2024-01-01", "failed")], RUN + timedelta(hours=4), raw)
+    with pytest.raises(integrity.IntegrityError, match="already loaded"):
+        transactions.load_fact_incremental(spark, raw, fact, users, days, RUN + timedelta(hours=4))
+
+
+def test_a_load_that_lost_its_claim_stores_nothing(spark, database, monkeypatch):
+    raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
+    _raw(spark, [(1, 1, 5.0, "2024-01-01", "failed")], RUN, raw)
+    taken = transactions.integrity.passing
+
+    def slow(flagged):
+        from tallyworks.sinks import claims
+
+        folder = claims.Folder(spark, f"{transactions.location(spark, fact)}_load_claims")
+        folder.create(f"claim-{claims._latest(folder) + 1}", 0)
+        return taken(flagged)
+
+    monkeypatch.setattr(transactions.integrity, "passing", slow)
+    with pytest.raises(transactions.claims.ClaimedError):
+        transactions.load_fact_incremental(spark, raw, fact, _users(spark, 1), warehouse.default_date_dimension(spark), RUN)
+    assert spark.table(fact).count() == 0
+
+
+def test_records_of_batches_are_gathered(spark, folder, monkeypatch):
+    from tallyworks.sinks.claims import Folder
+
+    monkeypatch.setattr(transactions, "LOOSE_RECORDS", 6)
+    records = Folder(spark, folder)
+    for i in range(9):
+        transactions._note(records, [f"b/{i}"], transactions.STARTED, RUN)
+        if i % 3:
+            transactions._note(records, [f"b/{i}"], transactions.LOADED, RUN, i)
+        assert transactions._batch_states(records) == ({f"b/{k}" for k in range(0, i + 1, 3)}, {f"b/{k}" for k in range(i + 1) if k % 3})
+    assert len(records.names()) <= 7
+
+
 def test_hourly_runs_with_the_defaults(spark, folder, lines, database):
     raw, fact = f"{database}.raw_transactions", f"{database}.fact_transactions"
     users, days = _users(spark, 1), warehouse.default_date_dimension(spark)

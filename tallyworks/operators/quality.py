@@ -191,15 +191,13 @@ def repeated_partials(ids: DataFrame, repeated: DataFrame) -> DataFrame:
 
 def merged_report(partials: DataFrame, table_name: str = "raw_transactions") -> DataFrame:
     """``quality_report`` of a table from the figures of its batches; an id is repeated if its batches hold it more than once."""
+    values = partials.groupBy("kind", "value").agg(F.sum("n").alias("n"))
     total = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
-    plain = partials.agg(
-        total("rows").alias("n_rows"), total("negative").alias("n_negative"), total("status").alias("n_invalid_rows"), total("null id").alias("nulls")
-    ).select("n_rows", "n_negative", "n_invalid_rows", (F.col("nulls") > 1).cast("bigint").alias("null_group"))
-    values = partials.where("kind in ('status', 'repeated')").groupBy("kind", "value").agg(F.sum("n").alias("n"))
-    different = values.agg(
-        F.count_if(F.col("kind") == "status").alias("n_invalid"), F.count_if((F.col("kind") == "repeated") & (F.col("n") > 1)).alias("n_repeated")
+    figures = values.agg(
+        total("rows").alias("n_rows"), total("negative").alias("n_negative"), total("status").alias("n_invalid_rows"),
+        F.count_if(F.col("kind") == "status").alias("n_invalid"),
+        F.count_if(F.col("kind").isin("repeated", "null id") & (F.col("n") > 1)).alias("n_duplicates"),
     )
-    figures = _side_by_side([plain, different]).withColumn("n_duplicates", F.col("n_repeated") + F.col("null_group"))
     return _to_rows(figures, [_not_empty(table_name), _no_negative(), _valid_statuses(), _no_duplicates()], with_verdict=True)
 
 

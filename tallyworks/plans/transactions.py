@@ -6,6 +6,7 @@ import functools
 import logging
 import urllib.parse
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -75,10 +76,11 @@ def store_landed(
     if unit == "chunk" and not whole_input:
         rejected = written(chunks.rejected_chunks(fitting), rejected_path)
     accepted, refused = chunks.split_chunks(fitting, unit=unit, rejected=rejected)
-    n_accepted = tables.overwrite_batch(accepted.drop(chunks.CHUNK_COLUMN, "_line"), table, batch_id)
-    n_refused = _write_quarantine(refused.unionByName(lines).withColumnRenamed("_line", "line"), quarantine_table, batch_id)
+    with ThreadPoolExecutor(2) as pool:  # two tables, which the jobs of one run can fill side by side
+        n_accepted = pool.submit(tables.overwrite_batch, accepted.drop(chunks.CHUNK_COLUMN, "_line"), table, batch_id)
+        n_refused = pool.submit(_write_quarantine, refused.unionByName(lines).withColumnRenamed("_line", "line"), quarantine_table, batch_id)
     return {
-        "accepted": n_accepted, "quarantined": n_refused, "rejected_chunks": rejected.count() if rejected is not None else 0,
+        "accepted": n_accepted.result(), "quarantined": n_refused.result(), "rejected_chunks": rejected.count() if rejected is not None else 0,
     }
 
 

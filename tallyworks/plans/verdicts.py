@@ -96,12 +96,11 @@ class Verdicts:
         known = self.ids.known(new, without=sorted(outdated))
         held = new if known is None else new.unionByName(written(known, f"{folder}/known"))
         several = held.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-        repeated = written(several, f"{folder}/repeated")
         figures = quality.batch_partials(rows).groupBy("batch_id", "kind", "value").agg(F.sum("n").alias("n"))
-        if not repeated.isEmpty():
-            figures = figures.unionByName(quality.repeated_partials(held, repeated))
-        figures = written(figures, f"{folder}/figures")
-        self.ids.tidy()
+        if not several.isEmpty():  # as a rule there are none
+            repeated = written(several, f"{folder}/repeated")
+            figures = figures.unionByName(written(quality.repeated_partials(held, repeated), f"{folder}/figures"))
+        self.ids.tidy()  # what it replaces can still be read
         return figures
 
 

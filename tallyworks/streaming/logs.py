@@ -1,4 +1,4 @@
-"""Hourly error summary over logs as they arrive."""
+"""Hourly error summary over logs as they arrive: an hour is emitted once, when it is complete. ``hours`` takes late rows, too."""
 
 from __future__ import annotations
 
@@ -18,6 +18,9 @@ from tallyworks.sources.logs_json import parse_lines
 
 logger = logging.getLogger(__name__)
 
+#: Micro-batches of one run whose reports are kept; a few KB each.
+REPORTS = 100_000
+
 
 class LateRowsError(ValueError):
     """Raised where rows that came too late for their hour must not be left out."""
@@ -86,7 +89,8 @@ def summarize_new_files(
     summary = hourly_errors(read_log_stream(spark, input_path, max_files), delay)
     writer = summary.writeStream.format("parquet").option("path", output_path)
     writer = writer.option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
-    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+    # ``finish`` adds the reports of all micro-batches up; by default a query forgets all but the last hundred
+    with setting(spark, "spark.sql.shuffle.partitions", state_partitions), setting(spark, "spark.sql.streaming.numRecentProgressUpdates", REPORTS):
         return writer.start()
 
 

@@ -10,6 +10,7 @@ from tallyworks.plans import logs
 from tallyworks.registry import adapters
 from tallyworks.session import subfolders
 from tallyworks.sources import logs_json
+from tallyworks.streaming import hours
 from tallyworks.streaming import logs as log_streams
 from tallyworks.streaming import transactions as transaction_streams
 from tests.conftest import SMALL
@@ -139,3 +140,65 @@ def test_lines_without_an_hour_are_kept_and_late_ones_counted(spark, folder, lin
     lines(f"{folder}/in", [_line("2024-01-01 10:06:00")])
     with pytest.raises(log_streams.LateRowsError, match="1 rows"):
         log_streams.finish(start(), fail_on_late=True)
+
+
+def _merge(spark, folder, **options):
+    hours.merge_new_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", **options).awaitTermination()
+    return hours.HourlyErrors(spark, f"{folder}/out")
+
+
+def test_late_rows_change_their_hour_and_no_other(spark, folder, lines):
+    lines(f"{folder}/in", [_line("2024-01-01 10:05:00", 1), _line("2024-01-01 10:15:00", None, time=None), _line("2024-02-01 11:00:00", 2), "bad line",
+                           _line("no time"), _line("2024-01-01 10:30:00", 1, status=404)])
+    kept = _merge(spark, folder)
+    row = {r.hour: r for r in kept.summary().collect()}[datetime(2024, 1, 1, 10)]
+    assert (row.error_count, row.avg_response_time, row.unique_users) == (2, 1.0, 2)
+    before = kept.record()["hours"]
+    lines(f"{folder}/in", [_line("2024-01-01 10:59:00", 1, time=4.0), _line("2024-01-01 10:58:00", 5, endpoint=None)])  # a month late
+    kept = _merge(spark, folder)
+    rows = {(r.hour.month, r.endpoint): (r.error_count, r.avg_response_time, r.max_response_time, r.unique_users) for r in kept.summary().collect()}
+    assert rows == {(1, "/a"): (3, 2.5, 4.0, 2), (1, None): (1, 1.0, 1.0, 1), (2, "/a"): (1, 1.0, 1.0, 1)}
+    now = kept.record()
+    assert now["hours"]["2024-02-01-11"] == before["2024-02-01-11"] and now["hours"]["2024-01-01-10"] != before["2024-01-01-10"]
+    assert (now["lines"], now["errors"], now["aside"]) == (8, 5, 2)
+    assert sorted(r.reason for r in kept.aside().collect()) == ["not a record", "time does not parse"]
+
+
+def test_more_than_a_hundred_micro_batches_lose_nothing(spark, folder, monkeypatch):
+    monkeypatch.setattr(hours, "MOST_PARTS", 3)
+    kept = hours.HourlyErrors(spark, f"{folder}/out")
+    rows = lambda i: spark.createDataFrame([(_line(f"2024-01-{1 + i % 3:02d} 10:00:00", i % 7),)] * 2 + [("bad",)], "value string").coalesce(1)
+    reader = None
+    for i in range(104):
+        kept.merge(rows(i), i)
+        if i % 40 == 0:
+            kept.merge(rows(i), i)  # repeated after a loss: counted once
+            reader = kept.summary()
+    now = kept.record()
+    assert (now["lines"], now["errors"], now["aside"], now["batch"]) == (312, 208, 104, 103)
+    assert sorted((r.hour.day, r.error_count, r.unique_users) for r in kept.summary().collect()) == [(1, 70, 7), (2, 70, 7), (3, 68, 7)]
+    assert all(len(of["state"]) <= 4 for of in now["hours"].values())
+    kept.merge(rows(0), 104)
+    reader = kept.summary()
+    kept.merge(rows(0), 105)
+    assert reader.count() == 3  # replaced folders can still be read
+
+
+def test_a_merge_that_was_cut_off_is_repeated(spark, folder, lines, monkeypatch):
+    kept = hours.HourlyErrors(spark, f"{folder}/out")
+    rows = spark.createDataFrame([(_line("2024-01-01 10:00:00", 1),), ("bad",)], "value string")
+    monkeypatch.setattr(hours.claims.Folder, "write", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        kept.merge(rows, 0)
+    monkeypatch.undo()
+    assert kept.summary().count() == 0 and kept.record()["batch"] == -1
+    kept.merge(rows, 0)
+    assert kept.summary().first().error_count == 1 and kept.aside().count() == 1
+
+
+def test_merged_hours_equal_the_batch_summary(spark, folder):
+    adapters.logs(spark, SMALL).repartition(5).write.json(f"{folder}/in")
+    got = _merge(spark, folder, max_files=2).summary()
+    want = logs.summarize_errors(logs_json.read_logs(spark, f"{folder}/in"))
+    columns = ["hour", "endpoint", "error_count", "max_response_time", "min_response_time", "unique_users", F.round("avg_response_time", 6)]
+    assert want.count() == got.count() > 100 and want.select(*columns).exceptAll(got.select(*columns)).count() == 0

@@ -2,7 +2,8 @@
 
 Terms are words and their beginnings: all that the examples hold, none is left out. A term weighs by its document
 frequency over every document and by how differently the two labels use it; a term that no example holds tells
-nothing and weighs 0. Texts are read twice, for the frequencies and for the scores, and no counts are stored.
+nothing and weighs 0. Texts are read twice, for the frequencies and for the scores, and no counts are stored; terms are
+hashed for many texts at once, a word's beginnings on the way to the whole word.
 The examples are a bounded sample of labelled rows (``EXAMPLES``); their index goes to all tasks.
 """
 
@@ -10,19 +11,18 @@ from __future__ import annotations
 
 import functools
 import re
-import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import Memo, arrow_map, documents, materialize
+from tallyworks.llm.common import arrow_map, documents, materialize
 
 #: Labelled rows to learn from at most, per label (0, 1), those first in the order of a hash of their id.
-EXAMPLES = {0: 9000, 1: 3000}
+EXAMPLES = {0: 1000, 1: 1000}
 PREFIXES = (4, 5, 6, 7, 8)
 NEIGHBOURS, PRIOR_WEIGHT = 15, 0.25
 BLOCK = 64
@@ -33,13 +33,115 @@ THRESHOLD = 0.7
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def terms_of(stretch: str) -> list[str]:
-    """Words of a stretch in lower case, and their beginnings marked by a caret."""
-    out = []
-    for word in _WORD.findall(stretch.lower()):
-        out.append(word)
-        out += ["^" + word[:n] for n in PREFIXES if len(word) > n]
-    return out
+#: Different words hashed at once, and code points of a word that are compared at once; longer words are finished apart.
+TOGETHER, WIDTH = 100_000, 32
+
+
+def _step(h: np.ndarray, points: np.ndarray) -> np.ndarray:
+    h = (h ^ points) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hash_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and of their beginnings, and which word each belongs to."""
+    points = np.array(words, f"U{WIDTH}").view(np.uint32).reshape(len(words), WIDTH).astype(np.uint64)
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    h = np.full(len(words), 0x51ED270B, np.uint64)
+    terms, owners = [], []
+    for n in range(min(WIDTH, int(length.max(initial=0)))):
+        going = np.flatnonzero(length > n)
+        h[going] = _step(h[going], points[going, n])
+        if n + 1 in PREFIXES:
+            longer = going[length[going] > n + 1]
+            terms.append(_step(h[longer], np.uint64(1)))  # a beginning is another term than the word of the same letters
+            owners.append(longer)
+    for i in np.flatnonzero(length > WIDTH):
+        rest = h[i : i + 1]
+        for letter in words[i][WIDTH:]:
+            rest = _step(rest, np.uint64(ord(letter)))
+        h[i] = rest[0]
+    return np.concatenate([*terms, _step(h, np.uint64(2))]), np.concatenate([*owners, np.arange(len(words))])
+
+
+class _Numbers(dict):
+    """Numbers keys in the order they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+def count_terms(texts: Sequence[str], vocabulary: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count), ordered by text and term; terms are hashes, or positions in ``vocabulary`` of those it holds.
+
+    Every different word is hashed once for all texts it occurs in, as long as there are no more than ``TOGETHER``.
+    """
+    parts: list[tuple[np.ndarray, ...]] = []
+    place = _Numbers()
+    docs: list[int] = []
+    uses: list[np.ndarray] = []
+
+    def flush() -> None:
+        if not place:
+            return
+        words = np.concatenate(uses)
+        doc = np.repeat(np.asarray(docs, np.int64), [len(u) for u in uses])
+        doc, words, n = _combined(doc, words, len(place))
+        terms, of = _hash_words(list(place))
+        if vocabulary is None:
+            names, terms = np.unique(terms, return_inverse=True)
+        else:
+            names = vocabulary
+            order = np.argsort(terms)  # neighbours are looked up in the same stretch of the vocabulary
+            terms, of = terms[order], of[order]
+            at = np.minimum(np.searchsorted(vocabulary, terms), len(vocabulary) - 1)
+            known = vocabulary[at] == terms
+            terms, of = at[known], of[known]
+        order = np.argsort(of, kind="stable")
+        terms, edges = terms[order], np.searchsorted(of[order], np.arange(len(place) + 1))
+        first, many = edges[words], edges[words + 1] - edges[words]  # terms of the word of each use
+        which = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        doc, terms, n = _combined(np.repeat(doc, many), terms[which], len(names), np.repeat(n, many))
+        parts.append((doc, names[terms] if vocabulary is None else terms, n))
+        place.clear(), docs.clear(), uses.clear()
+
+    for i, text in enumerate(texts):
+        found = _WORD.findall(text.lower())
+        for k in range(0, len(found), TOGETHER):
+            docs.append(i)
+            uses.append(np.fromiter(map(place.__getitem__, found[k : k + TOGETHER]), np.int64))
+            if len(place) >= TOGETHER:
+                flush()
+    flush()
+    if not parts:
+        return np.empty(0, np.int64), np.empty(0, np.uint64 if vocabulary is None else np.int64), np.empty(0, np.int64)
+    if len(parts) == 1:
+        return parts[0]
+    doc, terms, n = (np.concatenate(p) for p in zip(*parts, strict=True))  # a text may be in two parts
+    names, terms = np.unique(terms, return_inverse=True)
+    doc, terms, n = _combined(doc, terms, len(names), n)
+    return doc, names[terms], n
+
+
+def _combined(doc: np.ndarray, terms: np.ndarray, size: int, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a text and a term below ``size``, in order, with the sum of their counts (1 each if not given)."""
+    if not len(doc):
+        return doc, terms, np.empty(0, np.int64)
+    pairs = doc * size + terms
+    if n is None:
+        pairs.sort()
+    else:
+        order = np.argsort(pairs)
+        pairs, n = pairs[order], n[order]
+    starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    total = np.diff(np.r_[starts, len(pairs)]) if n is None else np.add.reduceat(n, starts)
+    return pairs[starts] // size, pairs[starts] % size, total
+
+
+def _split(n: int, doc: np.ndarray, *values: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """The values of each of ``n`` texts."""
+    edges = np.searchsorted(doc, np.arange(n + 1))
+    return [tuple(v[a:b] for v in values) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -80,31 +182,11 @@ def choose_examples(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return sample.join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-def _hashes(stretch: str) -> np.ndarray:
-    import xxhash
-
-    return np.array([xxhash.xxh3_64_intdigest(t) for t in terms_of(stretch)], np.uint64)
-
-
-def _counted(text: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms of a text in order, and how often each occurs; ``memo`` has the terms of a stretch."""
-    found = [(terms, n) for x, n in Counter(text.split()).items() if len(terms := memo[x])]
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    terms = np.concatenate([t for t, _ in found])
-    counts = np.repeat([n for _, n in found], [len(t) for t, _ in found])
-    order = np.argsort(terms, kind="stable")
-    terms, counts = terms[order], counts[order]
-    starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
-    return terms[starts], np.add.reduceat(counts, starts)
-
-
 def example_terms(sample: DataFrame) -> list:
     """Per example ``doc_id``, ``toxic``, and all its terms (64-bit hashes) and counts as bytes; at most sum(EXAMPLES) rows."""
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        memo = Memo(_hashes, 50_000)
-        counted = [_counted(text, memo) for text in batch["text"]]
+        counted = _split(len(batch["text"]), *count_terms(batch["text"]))
         return {
             "doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": [t.astype(np.uint64).tobytes() for t, _ in counted],
             "counts": [n.astype(np.int32).tobytes() for _, n in counted],
@@ -114,31 +196,22 @@ def example_terms(sample: DataFrame) -> list:
     return sorted(found.collect(), key=lambda r: r["doc_id"])
 
 
-@functools.lru_cache(maxsize=1)
-def _term_memo(name: str, shared) -> Memo:
-    vocabulary = shared.value
-
-    def positions(stretch: str) -> np.ndarray:
-        found = _hashes(stretch)
-        at = np.minimum(np.searchsorted(vocabulary, found), len(vocabulary) - 1)
-        return at[vocabulary[at] == found].astype(np.int32)
-
-    return Memo(positions, 50_000)
+#: Texts whose terms are counted at once.
+TEXTS = 400
 
 
-def document_frequency(docs: DataFrame, vocabulary: np.ndarray, name: str, shared) -> tuple[np.ndarray, int]:
+def document_frequency(docs: DataFrame, vocabulary: np.ndarray, shared) -> tuple[np.ndarray, int]:
     """In how many documents each term of the vocabulary (``shared`` with the tasks) occurs, and how many there are."""
     schema = pa.schema([("t", pa.int32()), ("n", pa.int64())])
     size = len(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, seen, rows = _term_memo(name, shared), np.zeros(size, np.int64), 0
+        seen, rows = np.zeros(size, np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            for text in batch["text"]:
-                terms = list(map(memo.__getitem__, set(text.as_py().split())))
-                if terms:
-                    seen[np.concatenate(terms)] += 1  # once for each term, however often it is named
+            for k in range(0, batch.num_rows, TEXTS):
+                _, terms, _ = count_terms(batch["text"].slice(k, TEXTS).to_pylist(), shared.value)
+                seen += np.bincount(terms.astype(np.int64), minlength=size)  # once for each text, however often it names the term
         at = np.append(np.flatnonzero(seen), size)
         n = np.append(seen[at[:-1]], rows)
         for k in range(0, len(at), 100_000):
@@ -245,6 +318,15 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     each; other columns are not read. Without labels of both kinds the score is the rate of the one there is (0 without
     any). An empty table gives an empty result. Terms are equal where their 64-bit hashes are.
     """
+    return _verdicts(_scored(docs, labels)).drop("h", "size")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return documents(docs).select("doc_id", "text", F.xxhash64("text").alias("h"), F.octet_length("text").alias("size"))
+
+
+def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id``, hash and size of the text, ``score`` and ``evidence``."""
     context = docs.sparkSession.sparkContext
     sample = materialize(choose_examples(docs, labels), "examples")
     examples = example_terms(sample)
@@ -255,13 +337,12 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     mass = {y: totals.get(y, 0) if sizes[y] else 0 for y in (0, 1)}
     prior = mass[1] / (sum(mass.values()) or 1)
 
-    both, name = bool(sizes[0] and sizes[1]), uuid.uuid4().hex
+    both = bool(sizes[0] and sizes[1])
     terms = [np.frombuffer(e["terms"], np.uint64) for e in examples] if both else []
     vocabulary = np.unique(np.concatenate(terms or [np.empty(0, np.uint64)]))
     if not len(vocabulary):
-        return _verdicts(documents(docs).select(
-            "doc_id", F.lit(float(prior)).alias("score"), F.expr(f"cast(array() as {_EVIDENCE})").alias("evidence")
-        ))
+        nobody = F.expr(f"cast(array() as {_EVIDENCE})").alias("evidence")
+        return _texts(docs).select("doc_id", "h", "size", F.lit(float(prior)).alias("score"), nobody)
     ids, marks, counts = ([e[c] for e in examples] for c in ("doc_id", "toxic", "counts"))
     terms = [np.searchsorted(vocabulary, t).astype(np.int32) for t in terms]
     del examples  # the driver holds millions of terms
@@ -269,17 +350,18 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     for t, y in zip(terms, marks, strict=True):
         used[y, t] += 1
     words = context.broadcast(vocabulary)
-    frequency, n_docs = document_frequency(docs, vocabulary, name, words)
+    frequency, n_docs = document_frequency(docs, vocabulary, words)
     weight = (np.log((1 + n_docs) / (1 + frequency)) + 1) * tell(used[0], used[1], sizes[0], sizes[1])
     index = BlockMaxIndex(ids, marks, (_unit(t, np.frombuffer(n, np.int32), weight) for t, n in zip(terms, counts, strict=True)))
     del terms, counts
     shared = context.broadcast((index, weight))
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        (index, weight), memo = shared.value, _term_memo(name, words)
-        out: dict[str, list] = {"doc_id": batch["doc_id"], "score": [], "evidence": []}
+        index, weight = shared.value
+        out: dict[str, list] = {"doc_id": batch["doc_id"], "h": batch["h"], "size": batch["size"], "score": [], "evidence": []}
         place = {text: i for i, text in enumerate(dict.fromkeys(batch["text"]))}
-        nearest = index.nearest_of([_unit(*_counted(text, memo), weight) for text in place], NEIGHBOURS)
+        counted = _split(len(place), *count_terms(list(place), words.value))
+        nearest = index.nearest_of([_unit(t.astype(np.int64), n, weight) for t, n in counted], NEIGHBOURS)
         for near in (nearest[place[text]] for text in batch["text"]):
             votes = [(s * class_weight[int(index.labels[i])], int(index.labels[i])) for s, i in near]
             pull = PRIOR_WEIGHT * min(class_weight.values())
@@ -288,7 +370,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
             out["evidence"].append([{"doc_id": int(index.ids[i]), "cosine": s, "toxic": int(index.labels[i])} for s, i in near])
         return out
 
-    return _verdicts(arrow_map(documents(docs), rows, f"doc_id long, score double, evidence {_EVIDENCE}", step=400))
+    return arrow_map(_texts(docs), rows, f"doc_id long, h long, size int, score double, evidence {_EVIDENCE}", step=TEXTS)
 
 
 _EVIDENCE = "array<struct<doc_id: bigint, cosine: double, toxic: int>>"
@@ -296,12 +378,17 @@ _EVIDENCE = "array<struct<doc_id: bigint, cosine: double, toxic: int>>"
 
 def _verdicts(scored: DataFrame) -> DataFrame:
     return scored.select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+        "doc_id", "h", "size", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence",
     )
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` not predicted toxic, with all their columns; repeated rows share their text's verdict."""
-    toxic = score(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(toxic, docs["doc_id"].eqNullSafe(toxic["doc_id"]), "left_anti")
+    """The rows of ``docs`` whose text is not predicted toxic, with all their columns.
+
+    Texts are judged, not ids: rows that share an id, or have none, stay or go by their own texts. Texts are told apart
+    by their size and a 64-bit hash, so that only these are moved.
+    """
+    toxic = _verdicts(_scored(docs, labels)).where("predicted = 1").select(F.col("h").alias("_toxic_h"), F.col("size").alias("_toxic_size")).distinct()
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.join(toxic, (F.xxhash64(text) == toxic["_toxic_h"]) & (F.octet_length(text) == toxic["_toxic_size"]), "left_anti")

@@ -211,6 +211,43 @@ def test_clean_examples_are_neighbours_too(spark):
     assert all(r.predicted == 1 for r in found if r.doc_id % 4 == 0)
 
 
+def test_terms_are_counted_alike_in_all_ways(awkward, monkeypatch):
+    texts = [t or "" for _, t in awkward] + ["x" * 40 + " " + "y" * 33, "Straße STRASSE straße"]
+    plain = []
+    for text in texts:
+        words = toxicity._WORD.findall(text.lower())
+        plain.append(Counter(t for w in words for t in [w, *["^" + w[:n] for n in toxicity.PREFIXES if len(w) > n]]))
+    whole = toxicity._split(len(texts), *toxicity.count_terms(texts))
+    assert [sorted(n.tolist()) for _, n in whole] == [sorted(c.values()) for c in plain]
+    of = {}
+    for (terms, n), c in zip(whole, plain, strict=True):
+        for t in c:
+            of.setdefault(t, []).append(c[t])
+    assert len({t for terms, _ in whole for t in terms.tolist()}) == len(of)  # different terms have different hashes
+    vocabulary = np.unique(np.concatenate([t for t, _ in whole[::2]]))
+    known = toxicity._split(len(texts), *toxicity.count_terms(texts, vocabulary))
+    for (terms, n), (at, m) in zip(whole, known, strict=True):
+        held = np.isin(terms, vocabulary)
+        assert terms[held].tolist() == vocabulary[at].tolist() and n[held].tolist() == m.tolist()
+    monkeypatch.setattr(toxicity, "TOGETHER", 7)
+    small = toxicity._split(len(texts), *toxicity.count_terms(texts))
+    assert all((a == b).all() for x, y in zip(whole, small, strict=True) for a, b in zip(x, y, strict=True))
+
+
+def test_rows_are_rejected_by_their_own_texts(spark):
+    chance = random.Random(13)
+    common = [f"word{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(200)]
+    rows = [(i, " ".join(chance.sample(common, 40) + ["vile", "nasty"] * (i % 4 == 0))) for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    bad, good = "a vile and nasty " + " ".join(common[:20]), "a kind " + " ".join(common[20:40])
+    rows += [(None, bad), (None, good), (1000, bad), (1000, good)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, h string, size int")
+    left = toxicity.reject_toxic(docs, labels)
+    assert left.columns == docs.columns
+    found = Counter((r.doc_id, r.text) for r in left.collect() if r.doc_id is None or r.doc_id == 1000)
+    assert found == Counter([(None, good), (1000, good)])
+
+
 def test_awkward_labels(spark, documents, awkward):
     labels = spark.createDataFrame([(None, 1, 1), (1, 1, None), (10, 0, 1), (10, 0, 1), (11, 0, 0), (12, 1, 5), (999, 0, 0)], "doc_id long, quality int, toxic int")
     for some in (labels, labels.where("false"), labels.where("toxic = 0")):

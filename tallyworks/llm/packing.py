@@ -160,15 +160,19 @@ _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{-~]+)")
 
 
 class Encoder:
-    """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them."""
+    """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them.
 
-    HELD = 150_000
+    Only a cache: what was met lately is held in two generations, of which the older one goes when the newer is full.
+    """
+
+    HELD = 200_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.words, self.stretches = Tokenizer.from_file(path), {}, {}
+        self.older_words, self.older_stretches = {}, {}
         added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or r"(?!)")
 
@@ -182,12 +186,16 @@ class Encoder:
         return [x for x in _WHITE.split(text) if x] if _CONTROL.search(text) else text.split()
 
     def learn(self, stretches: set[str]) -> None:
-        """Encode what is not known yet."""
+        """Encode what is not known yet; afterwards ``stretches`` has all of these."""
         if len(self.words) > self.HELD:
-            self.words = {}
+            self.words, self.older_words = {}, self.words
         if len(self.stretches) > self.HELD:
-            self.stretches = {}
-        new = stretches - self.stretches.keys()
+            self.stretches, self.older_stretches = {}, self.stretches
+        held, older = self.stretches, self.older_stretches
+        new = stretches - held.keys()
+        met = new & older.keys()
+        held.update((x, older[x]) for x in met)
+        new -= met
         parts = {}
         for x in new:
             low = x.lower() if x.isascii() else x
@@ -198,15 +206,18 @@ class Encoder:
             apart = marked and (x.isascii() or unicodedata.normalize("NFC", marked[1]).lower().isalpha())
             parts[x] = marked.groups() if apart else (low,)
         words = self.words
-        todo = [w for w in set().union(*parts.values()) if w not in words]
+        todo = set().union(*parts.values()) - words.keys()
+        met = todo & self.older_words.keys()
+        words.update((w, self.older_words[w]) for w in met)
+        todo = list(todo - met)
         for at in range(0, len(todo), 10_000):
             some = todo[at : at + 10_000]
             encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
             words.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encoded, strict=True))
         self.stretches.update((x, words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]) for x, p in parts.items())
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.stretches.__getitem__, self.cut(text)))
+    def encode(self, stretches: list[str]) -> bytes:
+        return b"".join(map(self.stretches.__getitem__, stretches))
 
 
 def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:
@@ -219,10 +230,11 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         encoder = Encoder.load(vocabulary_path)
-        encoder.learn(set().union(*map(encoder.cut, batch["text"])))
+        cuts = list(map(encoder.cut, batch["text"]))
+        encoder.learn(set().union(*cuts))
         out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids)}
-        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-            data = encoder.encode(text) + end
+        for doc_id, cut_text in zip(batch["doc_id"], cuts, strict=True):
+            data = encoder.encode(cut_text) + end
             for piece, at in enumerate(range(0, len(data), 4 * size)):
                 cut = data[at : at + 4 * size]
                 out["doc_id"].append(doc_id)
@@ -235,7 +247,7 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
         return out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return arrow_map(documents(docs), rows, schema, step=2000)
+    return arrow_map(documents(docs), rows, schema, step=1000)
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import arrow_map, documents, materialize
+from tallyworks.llm.common import Memo, arrow_map, documents, materialize
 
 END_ID = 1
 #: Documents of one length that are ranked in one task.
@@ -159,20 +159,24 @@ _CONTROL = re.compile("[\x1c-\x1f]")
 _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{-~]+)")
 
 
+#: The plain case of the same: letters of ASCII, and marks or none.
+_PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:;=>?@\[-`{-~]*)")
+
+
 class Encoder:
     """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them.
 
-    Only a cache: what was met lately is held in two generations, of which the older one goes when the newer is full.
+    Both are only remembered for a while: forgetting costs time and changes nothing. Words, which cost most, for longer.
     """
 
-    HELD = 200_000
+    WORDS, STRETCHES = 400_000, 150_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.stretches = Tokenizer.from_file(path), {}, {}
-        self.older_words, self.older_stretches = {}, {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.stretches = Memo(self._word, self.WORDS), Memo(self._stretch, self.STRETCHES)
         added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or r"(?!)")
 
@@ -185,56 +189,39 @@ class Encoder:
     def cut(text: str) -> list[str]:
         return [x for x in _WHITE.split(text) if x] if _CONTROL.search(text) else text.split()
 
-    def learn(self, stretches: set[str]) -> None:
-        """Encode what is not known yet; afterwards ``stretches`` has all of these."""
-        if len(self.words) > self.HELD:
-            self.words, self.older_words = {}, self.words
-        if len(self.stretches) > self.HELD:
-            self.stretches, self.older_stretches = {}, self.stretches
-        held, older = self.stretches, self.older_stretches
-        new = stretches - held.keys()
-        met = new & older.keys()
-        held.update((x, older[x]) for x in met)
-        new -= met
-        parts = {}
-        for x in new:
-            low = x.lower() if x.isascii() else x
-            if self.added.search(low):  # the library tells '<|ENDOFTEXT|>' from the special token
-                low = x
-            marked = _MARKED.fullmatch(low)
-            # A few letters turn into one with an accent of its own, which would go with the marks.
-            apart = marked and (x.isascii() or unicodedata.normalize("NFC", marked[1]).lower().isalpha())
-            parts[x] = marked.groups() if apart else (low,)
-        words = self.words
-        todo = set().union(*parts.values()) - words.keys()
-        met = todo & self.older_words.keys()
-        words.update((w, self.older_words[w]) for w in met)
-        todo = list(todo - met)
-        for at in range(0, len(todo), 10_000):
-            some = todo[at : at + 10_000]
-            encoded = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            words.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, encoded, strict=True))
-        self.stretches.update((x, words[p[0]] if len(p) == 1 else words[p[0]] + words[p[1]]) for x, p in parts.items())
-
-    def encode(self, stretches: list[str]) -> bytes:
-        return b"".join(map(self.stretches.__getitem__, stretches))
+    def _word(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _stretch(self, stretch: str) -> bytes:
+        if plain := _PLAIN.fullmatch(stretch):
+            word, marks = plain.groups()
+            return self.words[word.lower()] + self.words[marks] if marks else self.words[word.lower()]
+        low = stretch.lower() if stretch.isascii() else stretch
+        if self.added.search(low):  # the library tells '<|ENDOFTEXT|>' from the special token
+            low = stretch
+        marked = _MARKED.fullmatch(low)
+        # A few letters turn into one with an accent of its own, which would go with the marks.
+        if marked and (stretch.isascii() or unicodedata.normalize("NFC", marked[1]).lower().isalpha()):
+            return self.words[marked[1]] + self.words[marked[2]]
+        return self.words[low]
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.stretches.__getitem__, self.cut(text)))
 
 
 def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:
     """Encode whole texts, add the end id, and cut only what is longer than ``size``: one row per piece.
 
     ``length`` ids from ``start`` of the document on, and their checksum (``with_ids``: the ids as well). White space
-    only separates words in this vocabulary, so the distinct stretches without any are encoded once per block.
+    only separates words in this vocabulary, so stretches without any are encoded by themselves, and remembered.
     """
     end = array("I", [END_ID]).tobytes()
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         encoder = Encoder.load(vocabulary_path)
-        cuts = list(map(encoder.cut, batch["text"]))
-        encoder.learn(set().union(*cuts))
         out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids)}
-        for doc_id, cut_text in zip(batch["doc_id"], cuts, strict=True):
-            data = encoder.encode(cut_text) + end
+        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            data = encoder.encode(text) + end
             for piece, at in enumerate(range(0, len(data), 4 * size)):
                 cut = data[at : at + 4 * size]
                 out["doc_id"].append(doc_id)

@@ -167,6 +167,18 @@ def test_documents_of_repeated_lines_go_and_others_stay_whole(documents, awkward
     assert left.where("doc_id = 1 and text is null").count() == 1
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    line = "ten words or more stand in this line of a document"
+    rows = [(1, f"first\n{line} here\nend", "a"), (2, f"other start\n{line} here\nlast", "b"), (None, "alone", "c")]
+    names = ["_text", "_kept", "_lines", "_place", "_gone", "_version", "c0", "w", "start"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string").selectExpr("doc_id", "text", *[f"concat(mark, '{n}') as `{n}`" for n in names])
+    left = line_winnow.without_repeats(docs)
+    assert left.columns == docs.columns
+    found = {r.doc_id: r for r in left.collect()}
+    assert {i: r.text for i, r in found.items()} == {1: rows[0][1], 2: "other start\nlast", None: "alone"}
+    assert all(found[i][n] == mark + n for i, _, mark in rows for n in names)
+
+
 def test_empty_tables(documents):
     none = documents.where("false")
     frames = [

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import configure, materialize, shared_dir
 
-__all__ = ["Memo", "arrow_map", "components", "documents", "materialize", "shared_dir", "table"]
+__all__ = ["Memo", "arrow_map", "components", "documents", "materialize", "remembered", "shared_dir", "table"]
+
+_REMEMBERED: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +46,33 @@ class Memo(dict):
         return value
 
 
-def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str, step: int = 1000) -> DataFrame:
-    """Apply ``rows`` to column lists of at most ``step`` rows; both sides are dicts of columns."""
+def remembered(key: tuple, make: Callable):
+    """What a worker keeps from task to task: the latest such thing only, for workers pass from operator to operator."""
+    if key not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
+def forget() -> None:
+    _REMEMBERED.clear()
+
+
+def arrow_map(
+    df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]], schema: str, step: int = 1000, remembers: bool = False
+) -> DataFrame:
+    """Apply ``rows`` to column lists of at most ``step`` rows; both sides are dicts of columns.
+
+    Unless ``rows`` asks for something ``remembered``, what an earlier operator left in the worker is dropped.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not remembers:
+            forget()
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 out = rows(batch.slice(at, step).to_pydict())

@@ -9,7 +9,6 @@ The bins are those that one-by-one best fit decreasing would give.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 import unicodedata
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import Memo, arrow_map, documents, materialize
+from tallyworks.llm.common import Memo, arrow_map, documents, materialize, remembered
 
 END_ID = 1
 #: Documents of one length that are ranked in one task.
@@ -169,27 +168,29 @@ class Encoder:
     Both are only remembered for a while: forgetting costs time and changes nothing. Words, which cost most, for longer.
     """
 
-    WORDS, STRETCHES = 400_000, 150_000
+    WORDS, STRETCHES = 200_000, 150_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.words, self.stretches = Memo(self._word, self.WORDS), Memo(self._stretch, self.STRETCHES)
         added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or r"(?!)")
 
     @classmethod
-    @functools.lru_cache(maxsize=2)
     def load(cls, path: str) -> Encoder:
-        return cls(path)
+        return remembered(("encoder", path), lambda: cls(path))
 
     @staticmethod
     def cut(text: str) -> list[str]:
         return [x for x in _WHITE.split(text) if x] if _CONTROL.search(text) else text.split()
 
     def _word(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha() and word.islower():  # nothing to normalize or to take apart: merges only
+            return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _stretch(self, stretch: str) -> bytes:
@@ -234,7 +235,7 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
         return out
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return arrow_map(documents(docs), rows, schema, step=1000)
+    return arrow_map(documents(docs), rows, schema, step=1000, remembers=True)
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:

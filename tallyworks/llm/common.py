@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import configure, materialize, shared_dir
 
-__all__ = ["Memo", "arrow_map", "components", "documents", "materialize", "remembered", "shared_dir", "table"]
+__all__ = ["Memo", "arrow_map", "components", "documents", "forget", "materialize", "remembered", "shared_dir", "table"]
 
 _REMEMBERED: dict = {}
 

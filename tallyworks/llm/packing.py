@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import Memo, arrow_map, documents, materialize, remembered
+from tallyworks.llm.common import Memo, arrow_map, documents, forget, materialize, remembered
 
 END_ID = 1
 #: Documents of one length that are ranked in one task.
@@ -137,6 +137,7 @@ def pack(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
     shared = spark.sparkContext.broadcast(table[np.argsort(table[:, 0])])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()  # the encoder has done its part
         start, first, per_bin, offset = shared.value.T
         for batch in batches:
             length, rank = batch["length"].to_numpy(), batch["_rank"].to_numpy()
@@ -162,27 +163,29 @@ _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:;=>?@\[-`{-~]+)")
 _PLAIN = re.compile(r"([A-Za-z]+)([!-&(-/:;=>?@\[-`{-~]*)")
 
 
+#: Words a worker remembers, in each of two generations; of stretches half as many.
+HELD = 400_000
+
+
 class Encoder:
     """Ids of stretches without white space as bytes; words are encoded once, with or without marks behind them.
 
     Both are only remembered for a while: forgetting costs time and changes nothing. Words, which cost most, for longer.
     """
 
-    WORDS, STRETCHES = 200_000, 150_000
-
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, held: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words, self.stretches = Memo(self._word, self.WORDS), Memo(self._stretch, self.STRETCHES)
+        self.words, self.stretches = Memo(self._word, held), Memo(self._stretch, held // 2)
         added = [re.escape(t.content.lower()) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or r"(?!)")
 
     @classmethod
-    def load(cls, path: str) -> Encoder:
-        return remembered(("encoder", path), lambda: cls(path))
+    def load(cls, path: str, held: int) -> Encoder:
+        return remembered(("encoder", path, held), lambda: cls(path, held))
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -210,7 +213,7 @@ class Encoder:
         return b"".join(map(self.stretches.__getitem__, self.cut(text)))
 
 
-def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False, held: int = HELD) -> DataFrame:
     """Encode whole texts, add the end id, and cut only what is longer than ``size``: one row per piece.
 
     ``length`` ids from ``start`` of the document on, and their checksum (``with_ids``: the ids as well). White space
@@ -219,7 +222,7 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
     end = array("I", [END_ID]).tobytes()
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        encoder = Encoder.load(vocabulary_path)
+        encoder = Encoder.load(vocabulary_path, held)
         out: dict[str, list] = {name: [] for name in ("doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids)}
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             data = encoder.encode(text) + end
@@ -238,10 +241,11 @@ def pieces_of(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids:
     return arrow_map(documents(docs), rows, schema, step=1000, remembers=True)
 
 
-def pack_documents(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary_path: str, size: int = 4096, with_ids: bool = False, held: int = HELD) -> DataFrame:
     """One row per piece: its document, place in it, checksum, sequence and offset there.
 
     A NULL or empty text is the end id alone. Repeated rows and NULL ids are documents of their own; other columns are
-    not read; an empty table gives no sequences. ``vocabulary_path`` must name the file on every executor.
+    not read; an empty table gives no sequences. ``vocabulary_path`` must name the file on every executor. A worker
+    remembers the ids of up to about twice ``held`` words, some 200 bytes each; that changes the time only.
     """
-    return pack(pieces_of(docs, vocabulary_path, size, with_ids), size, ["doc_id", "piece", "ids_crc32"])
+    return pack(pieces_of(docs, vocabulary_path, size, with_ids, held), size, ["doc_id", "piece", "ids_crc32"])

@@ -33,7 +33,8 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # workers pass from stage to stage with the memory they took, so less is remembered here than in a job of its own
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), held=80_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -214,6 +214,11 @@ def _as_dict(rows: Sequence[Any]) -> dict[str, Any]:
     }
 
 
+def report_dict(report: DataFrame) -> dict[str, Any]:
+    """is_valid, checks and errors of a report, which has a row per check."""
+    return _as_dict(report.collect())
+
+
 def _collect_each(frames: Sequence[tuple[str, DataFrame]]) -> list[dict[str, Any]]:
     rows = []
     for name, frame in frames:
@@ -227,7 +232,7 @@ def _collect_each(frames: Sequence[tuple[str, DataFrame]]) -> list[dict[str, Any
 def validate_transactions(df: DataFrame, table_name: str = "raw_transactions") -> dict[str, Any]:
     """Run the report: is_valid, checks and errors. A check that fails to run counts as failed."""
     try:
-        return _as_dict(quality_report(df, table_name).collect())
+        return report_dict(quality_report(df, table_name))
     except PySparkException:
         return _as_dict(
             _collect_each(
@@ -248,7 +253,7 @@ def gate(df: DataFrame, table_name: str = "raw_transactions") -> dict[str, Any]:
 
 def gate_report(report: DataFrame) -> dict[str, Any]:
     """The same of a report's rows."""
-    return require_valid(_as_dict(report.collect()))
+    return require_valid(report_dict(report))
 
 
 def require_valid(result: dict[str, Any]) -> dict[str, Any]:

@@ -151,12 +151,6 @@ def _keys(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("transaction_id").cast("bigint").alias("key"), "batch_id", F.lit(1).cast("bigint").alias("n"))
 
 
-def _stored_batches(spark: SparkSession, raw_table: str) -> list[str]:
-    """Batch folders of the raw table, one per run, from the catalog."""
-    names = (r["partition"] for r in spark.sql(f"SHOW PARTITIONS {raw_table}").collect())
-    return [urllib.parse.unquote(n.removeprefix("batch_id=")) for n in names]
-
-
 def new_raw_rows(raw: DataFrame, fact: DataFrame) -> DataFrame:
     """Raw rows stamped at or after the fact's latest load, the reference's choice of what is new.
 
@@ -221,7 +215,7 @@ def _load(
     fact, raw = spark.table(fact_table), spark.table(raw_table)
     records = _batch_records(spark, fact_table)
     started, loaded = _batch_states(records)
-    pending = sorted(set(_stored_batches(spark, raw_table)) - loaded)
+    pending = sorted(set(tables.stored_batches(spark, raw_table)) - loaded)
     if not pending:
         return 0
     ids = _id_ledger(spark, fact_table)

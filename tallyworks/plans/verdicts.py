@@ -18,6 +18,7 @@ from tallyworks.schemas import RAW_TRANSACTIONS
 from tallyworks.session import remove, scratch, written
 from tallyworks.sinks import claims
 from tallyworks.sinks.ledger import KeyLedger, location
+from tallyworks.sinks.tables import stored_batches
 
 #: Folder name of rows without a batch.
 NO_BATCH = "__HIVE_DEFAULT_PARTITION__"
@@ -29,7 +30,7 @@ def batch_versions(spark: SparkSession, table: str) -> dict[str, str]:
     One listing of the table's folder; a batch that is replaced gets another digest, and one that is appended to as well
     (in a version folder, where the file system dates folders by their content, as HDFS and local ones do).
     """
-    stored = {r["partition"].removeprefix("batch_id=") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    held = set(stored_batches(spark, table))
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{location(spark, table)}/batch_id=*/*")
     found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
     names: dict[str, list[str]] = {}
@@ -39,7 +40,6 @@ def batch_versions(spark: SparkSession, table: str) -> dict[str, str]:
             entry = f"{path.getName()} {status.getModificationTime()}"
             names.setdefault(path.getParent().getName().removeprefix("batch_id="), []).append(entry)
     unquote = urllib.parse.unquote
-    held = {unquote(b) for b in stored}
     return {unquote(b): hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest() for b, files in names.items() if unquote(b) in held}
 
 

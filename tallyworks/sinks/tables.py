@@ -60,9 +60,19 @@ def _insert(rows: DataFrame, table: str, mode: str) -> int:
     return n
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def stored_batches(spark: SparkSession, table: str) -> list[str]:
+    """Batch folders of a table partitioned by ``batch_id``, one per run, from the catalog."""
+    names = (r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect())
+    return [urllib.parse.unquote(n.removeprefix("batch_id=")) for n in names]
+
+
 def key_of(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
     """Key and NOT NULL columns the table was created with, which Spark itself does not keep."""
-    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    found = _properties(spark, table)
     columns = lambda name: [c for c in found.get(name, "").split(",") if c]
     return columns(KEY_PROPERTY), columns(REQUIRED_PROPERTY)
 
@@ -110,7 +120,7 @@ def append(df: DataFrame, table: str, cluster_by: str | None = None, checked: bo
 # A ledger of a table's keys beside it, so that an append need not read the table.
 
 def keeps_ledger(spark: SparkSession, table: str) -> bool:
-    return any(r["key"] == LEDGER_PROPERTY for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect())
+    return LEDGER_PROPERTY in _properties(spark, table)
 
 
 def _digest(rows: DataFrame, key: list[str]) -> Column:

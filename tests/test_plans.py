@@ -114,10 +114,11 @@ def test_missing_keys_need_no_sort_aggregate(spark):
 def test_looking_up_ids_moves_only_the_new_ones(spark, database):
     fact = f"{database}.fact_transactions"
     ids = transactions._id_ledger(spark, fact)
-    new = spark.range(10).withColumnRenamed("id", "transaction_id")
+    ids.add(transactions._keys(spark.range(20).selectExpr("id as transaction_id", "'b' as batch_id")))
+    new = transactions._keys(spark.range(10).selectExpr("id as transaction_id", "'c' as batch_id"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(new.join(spark.table(ids), "transaction_id", "left_semi"))
+        text = plan(ids.known(new))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     ledger_side = text[text.index("FileScan") - 600 : text.index("FileScan")]

@@ -4,10 +4,12 @@ Documents by n-grams is a sparse 0/1 matrix, and its product with its transpose
 n-grams in one global order, the frequent ones last. Two documents similar enough share one of their first columns,
 as many as the size allows to miss, so only those columns are multiplied to find candidates, and a pair is discarded
 where its sizes and the positions of the shared column bound its overlap below what it needs. Surviving pairs go to
-blocks by one of their documents, where the full overlaps are accumulated over all columns.
+blocks by one of their documents, where the full overlaps are accumulated over all columns. Nodes are classes of
+equal sets, named by the set's hash, so that rows of one id with different texts are kept apart.
 
 Components are asked for, not all pairs: first every column links its documents to the smallest one of about their
-size; then only columns that still hold several components are multiplied in full.
+size; then only columns that still hold several components are multiplied in full, and of the links found in a block of a long
+column those are given that connect as much as all of them.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import Memo, arrow_map, components, documents, materialize
 
-#: Documents of a longer column are compared in blocks of this size, inside tasks; shorter ones give pairs of rows.
-LONG, BLOCK = 64, 2048
+#: Documents of a longer column are compared in blocks of this many rows or n-grams, inside tasks; shorter ones give pairs of rows.
+LONG, BLOCK, BLOCK_NGRAMS = 64, 2048, 500_000
 
 #: N-grams whose frequency is used for the order, at most; it decides only how fast candidates are found.
 FREQUENT = 200_000
@@ -75,10 +77,14 @@ def _folded(data: bytes, size: int) -> np.ndarray:
     return words
 
 
+def _stacked(data: list[bytes], size: int) -> np.ndarray:
+    return np.array([_folded(x, size) for x in data])
+
+
 def differ_little(left: list[bytes], n: np.ndarray, right: list[bytes], m: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs (rows by columns) may be similar enough, by sizes and bitmaps; never false for one that is."""
     size = min(map(len, [*left, *right])) // 8
-    a, b = (np.array([_folded(x, size) for x in side]) for side in (left, right))
+    a, b = _stacked(left, size), _stacked(right, size)
     total = n[:, None] + m[None, :]
     allowed = total - 2 * (-(-percent * total // (100 + percent)))
     out = np.zeros(total.shape, bool)
@@ -87,6 +93,48 @@ def differ_little(left: list[bytes], n: np.ndarray, right: list[bytes], m: np.nd
     return out & (100 * np.minimum(n[:, None], m[None, :]) >= percent * np.maximum(n[:, None], m[None, :]))
 
 
+def pairs_differ_little(left: list[bytes], n: np.ndarray, right: list[bytes], m: np.ndarray, percent: int) -> np.ndarray:
+    """The same for pairs given one by one; those of one bitmap size are taken together."""
+    out = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    total = n + m
+    allowed = total - 2 * (-(-percent * total // (100 + percent)))
+    sizes = np.array([min(len(x), len(y)) // 8 for x, y in zip(left, right, strict=True)], np.int64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        bits = _stacked([left[i] for i in at], size) ^ _stacked([right[i] for i in at], size)
+        out[at] &= np.bitwise_count(bits).sum(1, dtype=np.int64) <= allowed[at]
+    return out
+
+
+def spanning_links(sets: list[np.ndarray], component: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Verified links between rows ``left`` and ``right`` that connect what all links between them connect.
+
+    Rows of ``left`` are multiplied with the incidence matrix of ``right`` one by one; only partners that sizes and
+    bitmaps allow and that are not connected yet take part. There are fewer links than components.
+    """
+    n, marks, node = np.array([len(s) for s in sets], np.int64), [sketch(s) for s in sets], np.unique(component, return_inverse=True)[1]
+    near = differ_little([marks[i] for i in left], n[left], [marks[j] for j in right], n[right], percent)
+    near &= node[left][:, None] != node[right][None, :]
+    if not near.any():
+        return []
+    columns, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    rows = np.split(codes, np.cumsum(n)[:-1])
+    held, links = np.zeros(len(columns), bool), []
+    for i, partners in zip(left, near, strict=True):
+        js = right[partners]
+        js = js[node[js] != node[i]]
+        if not len(js):
+            continue
+        held[rows[i]] = True
+        overlap = np.add.reduceat(held[np.concatenate([rows[j] for j in js])], np.cumsum(n[js]) - n[js], dtype=np.int64)
+        held[rows[i]] = False
+        for j in js[100 * overlap >= percent * (n[i] + n[js] - overlap)]:
+            if node[j] != node[i]:
+                links.append((int(i), int(j)))
+                node[node == node[j]] = node[i]
+    return links
+
+
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     """Two rows, the most frequent n-grams in order and their frequency's logarithm; estimated from above a few per block."""
 
@@ -105,12 +153,12 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
 
 
 def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document: ``n``, ``key`` (a hash of the whole set), ``sketch``, and ``columns``, its first ones in order."""
+    """One row per document: ``version`` (of its text), ``n``, ``key`` (a hash of the whole set), ``sketch``, and ``columns``, its first ones in order."""
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
         shingles, (often, level) = Shingler(words), shared.value
-        out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "key": [], "sketch": [], "columns": []}
+        out: dict[str, list] = {"doc_id": batch["doc_id"], "version": batch["version"], "n": [], "key": [], "sketch": [], "columns": []}
         seen: set[int] = set()
         for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             s = shingles(text)
@@ -131,7 +179,7 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
             out["columns"].append(s[first].view(np.int64))
         return out
 
-    return arrow_map(docs, rows, "doc_id long, n int, key long, sketch binary, columns array<long>", step=2000)
+    return arrow_map(docs, rows, "doc_id long, version long, n int, key long, sketch binary, columns array<long>", step=2000)
 
 
 def _possible(a: str, b: str, percent: int) -> str:
@@ -143,42 +191,40 @@ def _possible(a: str, b: str, percent: int) -> str:
 
 def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps allow the overlap they need; only bitmaps move for the others."""
-    side = lambda x: sketches.select(F.col("head").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    side = lambda x: sketches.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
 
     def rows(batch: dict[str, list]) -> dict[str, list]:
-        keep = [
-            i for i in range(len(batch["a"]))
-            if differ_little([batch["sketch_a"][i]], np.array([batch["n_a"][i]]), [batch["sketch_b"][i]], np.array([batch["n_b"][i]]), percent)[0, 0]
-        ]
+        n, m = np.array(batch["n_a"], np.int64), np.array(batch["n_b"], np.int64)
+        keep = np.flatnonzero(pairs_differ_little(batch["sketch_a"], n, batch["sketch_b"], m, percent))
         return {"a": [batch["a"][i] for i in keep], "b": [batch["b"][i] for i in keep]}
 
     return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), rows, "a long, b long")
 
 
-def _close_in_long(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Close pairs of different components that share a long column.
+def _links_in_long(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links between the components that share a long column, at most as many as its rows.
 
-    A column's documents are dealt to blocks by a hash, and every pair of blocks is a group of its own, whose bitmaps
-    are compared inside the task: neither a whole column nor all its pairs ever come together.
+    A column's rows are dealt to blocks by a hash, as many as rows and n-grams ask for, and every pair of blocks is a
+    group of its own that multiplies its part of the matrix: a whole column never comes together, and pairs stay in tasks.
     """
-    sizes = rows.groupBy("h").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.select("h", "head", "component").join(sizes, "h").join(sketches, "head")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("head"), F.col("blocks")).cast("int"))
+    sizes = rows.groupBy("h").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_NGRAMS)).cast("int").alias("blocks")
+    )
+    dealt = rows.select("h", "key", "component").join(sizes, "h")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
-        left, right = group[group["own"] == lo], group[group["own"] == hi]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        near = differ_little(left["sketch"].tolist(), left["n"].to_numpy(np.int64), right["sketch"].tolist(), right["n"].to_numpy(np.int64), percent)
-        near &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
-        i, j = np.nonzero(near)
-        a, b = left["head"].to_numpy()[i], right["head"].to_numpy()[j]
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+        own, key = group["own"].to_numpy(), group["key"].to_numpy()
+        left, right = np.flatnonzero(own == group["lo"].iloc[0]), np.flatnonzero(own == group["hi"].iloc[0])
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            sets = [np.frombuffer(x, np.uint64) for x in group["set"]]
+            found = spanning_links(sets, group["component"].to_numpy(), left, right, percent)
+        return pd.DataFrame({"a": [key[i] for i, _ in found], "b": [key[j] for _, j in found]}, dtype="int64")
 
-    return dealt.groupBy("h", "lo", "hi").applyInPandas(compare, "a long, b long")
+    return dealt.join(sets, "key").groupBy("h", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -187,8 +233,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     Rows of the product are taken in blocks of one document ``b`` and its candidates; a document with very many of
     them is dealt to several blocks.
     """
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,9 +257,24 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def _texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    return materialize(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "pair-texts")
+def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key`` and ``text`` of one row of each wanted class of equal sets."""
+    wanted = classes.join(keys.distinct(), "key", "left_semi").select("key", "rep.doc_id", "rep.version")
+    return docs.join(wanted, ["doc_id", "version"]).dropDuplicates(["key"]).select("key", "text")
+
+
+def _pair_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    return materialize(_texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("key"))), "pair-texts")
+
+
+def _sets(texts: DataFrame, words: int) -> DataFrame:
+    """``key`` and ``set``, the sorted n-grams as bytes."""
+
+    def rows(batch: dict[str, list]) -> dict[str, list]:
+        shingles = Shingler(words)
+        return {"key": batch["key"], "set": [shingles(t).tobytes() for t in batch["text"]]}
+
+    return arrow_map(texts, rows, "key long, set binary")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -221,50 +282,56 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
 
     Documents link when their sets of distinct ``words``-grams have a Jaccard similarity of ``percent`` or more. With
     fewer words the whole sequence is the one n-gram; a NULL text or one without words has none and links with nothing.
-    A row without ``doc_id`` links with nothing and has no component. Rows that repeat an id belong to one document
-    and should repeat its text; otherwise the first of its texts met stands for links between different texts. Other
-    columns are not read; an empty table gives an empty result. Sets are compared by 64-bit hashes of n-grams.
+    A row without ``doc_id`` links with nothing and has no component. Rows that repeat an id belong to one document:
+    whatever one of its texts links with is in its component. Other columns are not read; an empty table gives an empty
+    result. Sets are compared by 64-bit hashes of n-grams.
     """
-    docs = documents(docs)
+    docs = documents(docs).withColumn("version", F.xxhash64("text"))
     index = materialize(_index(docs, words, percent), "ngram-index")
     known = index.where("doc_id is not null and n > 0")
-    heads = known.groupBy("key", "n").agg(F.min("doc_id").alias("head"))  # equal sets are one class
-    classes = materialize(known.select("doc_id", "n", "key").join(heads, ["key", "n"]).select("doc_id", "head"), "ngram-classes")
+    classes = known.groupBy("key", "n").agg(F.min(F.struct("doc_id", "version")).alias("rep"))  # equal sets are one class
+    classes = materialize(classes, "ngram-classes")
+    texts_of_id = known.groupBy("doc_id").agg(F.min("key").alias("b"), F.max("key").alias("most")).where("b < most").select("doc_id", "b")
+    same_id = known.select("doc_id", F.col("key").alias("a")).join(texts_of_id, "doc_id").where("a <> b").select("a", "b")
 
     entries = known.select("key", "n", F.posexplode("columns").alias("pos", "h")).dropDuplicates(["h", "key", "n"])
     often = entries.groupBy("h").agg(F.count("*").alias("rows")).where("rows > 1")
-    shared = entries.join(often.select("h"), "h").join(heads, ["key", "n"])
     #: Sizes within a step of this scale can still be similar.
     scaled = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent)))).cast("int")
-    shared = materialize(shared.select("h", "n", "pos", "head", scaled.alias("size")), "ngram-columns")
+    shared = entries.join(often.select("h"), "h").select("h", "n", "pos", "key", scaled.alias("size"))
+    shared = materialize(shared, "ngram-columns")
 
-    sketches = known.where("sketch is not null").join(heads, ["key", "n"]).groupBy("head", "n").agg(F.min("sketch").alias("sketch"))
-    sketches = materialize(sketches.join(shared.select("head").distinct(), "head", "left_semi"), "ngram-sketches")
+    sketches = known.where("sketch is not null").groupBy("key", "n").agg(F.min("sketch").alias("sketch"))
+    sketches = materialize(sketches.join(shared.select("key").distinct(), "key", "left_semi"), "ngram-sketches")
 
-    least = shared.groupBy("h", "size").agg(F.min(F.struct("n", "head", "pos")).alias("hub")).select("h", "size", "hub.*")
+    least = shared.groupBy("h", "size").agg(F.min(F.struct("n", "key", "pos")).alias("hub")).select("h", "size", "hub.*")
     near = least.unionByName(least.withColumn("size", F.col("size") + 1))
-    pairs = shared.alias("x").join(near.alias("y"), ["h", "size"]).where("x.head <> y.head").where(_possible("x", "y", percent))
-    pairs = pairs.select(F.col("x.head").alias("a"), F.col("y.head").alias("b")).distinct()
+    pairs = shared.alias("x").join(near.alias("y"), ["h", "size"]).where("x.key <> y.key").where(_possible("x", "y", percent))
+    pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     pairs = materialize(_close(pairs, sketches, percent), "ngram-pairs")
-    links = materialize(_verify(pairs, _texts(docs, pairs), words, percent), "ngram-links")
+    links = _verify(pairs, _pair_texts(docs, classes, pairs), words, percent)
+    links = materialize(links.unionByName(same_id), "ngram-links")
 
     groups = components(links, "ngram-components")
-    placed = shared.join(groups.withColumnRenamed("node", "head"), "head", "left").select(
-        "h", "n", "pos", "head", F.coalesce("component", "head").alias("component")
+    placed = shared.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
+        "h", "n", "pos", "key", F.coalesce("component", "key").alias("component")
     )
     mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
     mixed = materialize(placed.join(mixed.where("lo < hi").select("h", "rows"), "h"), "ngram-mixed")
-    short = mixed.where(F.col("rows") <= LONG)
+    short, long = mixed.where(F.col("rows") <= LONG), mixed.where(F.col("rows") > LONG)
     rest = short.alias("x").join(short.alias("y"), "h").where("x.component < y.component").where(_possible("x", "y", percent))
-    rest = rest.select(F.greatest("x.head", "y.head").alias("a"), F.least("x.head", "y.head").alias("b")).distinct()
-    rest = _close(rest, sketches, percent).unionByName(_close_in_long(mixed.where(F.col("rows") > LONG), sketches, percent))
+    rest = rest.select(F.greatest("x.key", "y.key").alias("a"), F.least("x.key", "y.key").alias("b")).distinct()
     done = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = materialize(rest.distinct().join(done, ["a", "b"], "left_anti"), "ngram-pairs")
-    more = _verify(rest, _texts(docs, rest), words, percent)
-
-    groups = components(links.unionByName(more), "ngram-components").withColumnRenamed("node", "head")
-    ids = classes.join(groups, "head", "left").select("doc_id", F.coalesce("component", "head").alias("component_id"))
-    ids = ids.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    rest = materialize(_close(rest, sketches, percent).join(done, ["a", "b"], "left_anti"), "ngram-pairs")
+    more = _verify(rest, _pair_texts(docs, classes, rest), words, percent)
+    sets = materialize(_sets(_texts(docs, classes, long.select("key")), words), "ngram-sets")
+    more = more.unionByName(_links_in_long(long, sets, percent))
+
+    groups = components(links.unionByName(more), "ngram-components").withColumnRenamed("node", "key")
+    placed = classes.join(groups, "key", "left").select("key", "rep.doc_id", F.coalesce("component", "key").alias("component"))
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = placed.join(least, "component").select("key", "component_id")
+    ids = known.select("doc_id", "key").join(named, "key").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     rows = index.select("doc_id", F.col("n").cast("long").alias("n_shingles"))
     return rows.join(ids, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

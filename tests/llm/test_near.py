@@ -113,6 +113,52 @@ def test_a_row_without_id_takes_no_links_from_its_copy(spark):
     assert Counter(r.doc_id for r in ngram_join.keep_one(docs).collect()) == Counter([None, 7, 9])
 
 
+def test_texts_of_one_id_all_link(spark):
+    chance = random.Random(15)
+    one, two = (" ".join(f"w{chance.randint(0, 10**6)}" for _ in range(100)) for _ in range(2))
+    rows = [(5, one), (5, two), (1, two + " end"), (9, one + " end"), (7, two), (7, "")]
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        found = ngram_join.near_duplicates(docs)
+        assert Counter((r.doc_id, r.component_id) for r in found.collect()) == Counter((i, 1) for i, _ in rows)
+
+
+def skewed_rows(n, seed):
+    """Copies of one text with changes such that some pairs link and others do not."""
+    chance = random.Random(seed)
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(chance.randint(1, 3)):
+            own[chance.randint(0, 119)] = f"x{chance.randint(0, 10**6)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_links_of_a_block_are_few_and_connect_all():
+    rows = skewed_rows(120, 16)
+    shingler = ngram_join.Shingler(4)
+    sets = [shingler(t) for _, t in rows]
+    plain = [set(s.tolist()) for s in sets]
+    links = [(a, b) for a in range(120) for b in range(a) if 100 * len(plain[a] & plain[b]) >= 85 * len(plain[a] | plain[b])]
+    every = np.arange(120)
+    found = ngram_join.spanning_links(sets, every, every, every, 85)
+    assert len(links) > 240 and len(found) < 120 and {(max(x), min(x)) for x in found} <= set(links)
+    assert groups(range(120), found) == groups(range(120), links)
+    assert ngram_join.spanning_links(sets, np.zeros(120, int), every, every, 85) == []
+
+
+def test_hot_columns_in_blocks_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG", 4)
+    monkeypatch.setattr(ngram_join, "BLOCK", 32)
+    rows = skewed_rows(150, 17)
+    sets = {i: shingles(t, 4) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()} == groups(sets, links)
+
+
 def test_one_of_each_group_stays(documents):
     left = ngram_join.keep_one(documents)
     ids = [r.doc_id for r in left.collect()]

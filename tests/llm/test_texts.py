@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -55,6 +56,17 @@ def test_chunk_maps_compose_wherever_a_text_is_cut(awkward):
         assert {machine.count(text, chunk) for chunk in (1, 5, 64, 10**6)} == {machine.count(text)}
 
 
+def test_very_long_words_equal_library_and_take_no_square_of_time():
+    chance = random.Random(21)
+    library, machine = Tokenizer.from_file(WORDS), token_counts.Transducer.load(WORDS)
+    words = ["".join(chance.choice(letters) for _ in range(n)) for letters in ("ab", "abcdefghij", "thequickbrown", "éa") for n in (63, 64, 65, 200, 3000)]
+    words += ["a" * 500, "ab" * 300 + "é" * 40, "!" * 900]
+    assert [machine.count(w) for w in words] == [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+    start = time.perf_counter()
+    assert machine.count("".join(chance.choice("etaoinshr") for _ in range(300_000))) > 50_000
+    assert time.perf_counter() - start < 10
+
+
 def test_plan_is_best_fit_decreasing():
     chance = random.Random(1)
     for _ in range(100):

@@ -38,27 +38,21 @@ POLICIES: dict[str, int] = {
 def _repeat_words() -> Column:
     """Words inside a three-word window that the text holds twice or more, from ``words``.
 
-    A window's key is its hash with its position in the low bits, so sorting the keys, plain numbers, brings equal
-    windows together in the order of the text. The positions of the repeated ones, sorted, then cover three words
-    each, less what the next one covers too. Everything stays inside the document's row.
+    Windows are equal where their 64-bit hashes are. Sorting pairs of hash and position brings equal windows together
+    in the order of the text. The positions of the repeated ones, sorted, then cover three words each, less what the
+    next one covers too. Everything stays inside the document's row.
     """
-    words, bits = F.col("words"), F.col("bits")
+    words = F.col("words")
     keys = F.transform(
         F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits)
-        .bitwiseOR(i.cast("long")),
+        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.cast("long").alias("at")),
     )
 
     def covered(rows: Column) -> Column:
-        hash_of = lambda x: F.call_function("shiftright", x, bits)
-        repeated = F.filter(
-            rows,
-            lambda x, i: F.coalesce(hash_of(F.get(rows, i - 1)) == hash_of(x), F.lit(False))
-            | F.coalesce(hash_of(F.get(rows, i + 1)) == hash_of(x), F.lit(False)),
-        )
-        at = F.array_sort(F.transform(repeated, lambda x: x - F.call_function("shiftleft", hash_of(x), bits)))
+        same = lambda i, x: F.coalesce(F.get(rows, i)["h"] == x["h"], F.lit(False))
+        repeated = F.filter(rows, lambda x, i: same(i - 1, x) | same(i + 1, x))
         return F.aggregate(
-            at,
+            F.sort_array(F.transform(repeated, lambda x: x["at"])),
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).cast("long").alias("last")),
             lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3).cast("long"), i - acc["last"])).alias("n"), i.alias("last")),
             lambda acc: acc["n"],
@@ -76,7 +70,6 @@ def measure(docs: DataFrame) -> DataFrame:
         "doc_id", "text", F.array_remove(F.split("text", SPACE), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"),
     )
-    base = base.withColumn("bits", F.ceil(F.log2(F.size("words") + 1.0)).cast("int"))
     return base.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),

@@ -156,27 +156,37 @@ def _segments(sizes: list[int], length: int) -> Iterator[list[tuple[int, int, in
         yield held
 
 
-def _merged(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Per document its byte ranges as packed pairs, sorted and joined where they touch."""
+Ranges = tuple[list[int], list[int], list[bytes]]
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before, the first row included."""
+    fresh = np.ones(len(columns[0]), bool)
+    fresh[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return fresh
+
+
+def _merged(doc: np.ndarray, version: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Ranges:
+    """Per document and text its byte ranges as packed pairs, sorted and joined where they touch."""
     if not len(doc):
-        return [], []
-    order = np.lexsort((lo, doc))
-    doc, lo, hi = doc[order], lo[order], hi[order]
-    fresh = np.concatenate([[True], doc[1:] != doc[:-1]])
+        return [], [], []
+    order = np.lexsort((lo, version, doc))
+    doc, version, lo, hi = doc[order], version[order], lo[order], hi[order]
+    fresh = _changes(doc, version)
     part = np.cumsum(fresh) - 1
     reach = np.maximum.accumulate(hi + part * (1 << 40)) - part * (1 << 40)
     begin = fresh | np.concatenate([[True], lo[1:] > reach[:-1]])
     at = np.flatnonzero(begin)
     pairs = np.stack([lo[at], reach[np.concatenate([at[1:], [len(doc)]]) - 1]], 1).astype("<i8")
-    owner = doc[at]
-    cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])).tolist()
-    return owner[cuts].tolist(), [pairs[a:b].tobytes() for a, b in pairwise([*cuts, len(owner)])]
+    cuts = np.flatnonzero(fresh[at])
+    return doc[at[cuts]].tolist(), version[at[cuts]].tolist(), [pairs[a:b].tobytes() for a, b in pairwise([*cuts.tolist(), len(at)])]
 
 
-_ROW = np.dtype([("gram", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("lo", "<u2"), ("hi", "<u2")])
+#: ``version`` tells texts of one id apart; a place in a text fits into 31 bits, as a text does.
+_ROW = np.dtype([("gram", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("at", "<i4"), ("lo", "<u2"), ("hi", "<u2")])
 
 
-def _origins(rows: np.ndarray, length: int) -> tuple[np.ndarray, tuple[list[int], list[bytes]]]:
+def _origins(rows: np.ndarray, length: int) -> tuple[np.ndarray, Ranges]:
     """Of equal surroundings the rows of the first document, sorted by gram; the ranges of those that repeat them."""
     rows = rows[np.lexsort((rows["doc"], rows["around"], rows["gram"]))]
     fresh = np.ones(len(rows), bool)
@@ -184,15 +194,16 @@ def _origins(rows: np.ndarray, length: int) -> tuple[np.ndarray, tuple[list[int]
     origin = rows["doc"][np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(rows) else rows["doc"]
     again = rows["doc"] > origin
     copies = rows[again]
-    ranges = _merged(copies["doc"], copies["at"] - copies["lo"], copies["at"] - copies["hi"] + length)
+    at = copies["at"].astype(np.int64)
+    ranges = _merged(copies["doc"], copies["version"], at - copies["lo"], at - copies["hi"] + length)
     return rows[~again], ranges
 
 
-def _doc_ranges(decided: tuple[list[int], list[bytes]]) -> pa.RecordBatch:
+def _doc_ranges(decided: Ranges) -> pa.RecordBatch:
     """Ranges on their way past the comparison: in negative buckets, many of them."""
     return pa.RecordBatch.from_arrays(
-        [pa.array([-1 - d % 1024 for d in decided[0]], pa.int64()), pa.array(decided[0], pa.int64()), pa.array(decided[1], pa.binary())],
-        names=["bucket", "doc_id", "data"],
+        [pa.array([-1 - d % 1024 for d in decided[0]], pa.int64()), *(pa.array(x, pa.int64()) for x in decided[:2]), pa.array(decided[2], pa.binary())],
+        names=["bucket", "doc_id", "version", "data"],
     )
 
 
@@ -212,7 +223,8 @@ def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches):
-            ids, texts = batch["doc_id"].to_numpy(), [t.encode() for t in batch["text"].to_pylist()]
+            ids, versions = batch["doc_id"].to_numpy(), batch["version"].to_numpy()
+            texts = [t.encode() for t in batch["text"].to_pylist()]
             parts = []
             for segment in _segments([len(t) for t in texts], length):
                 data = np.frombuffer(b"".join([texts[t][a:b] for t, a, b in segment]), np.uint8)
@@ -222,7 +234,8 @@ def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 shift = np.array([a for _, a, _ in segment]) - np.concatenate([[0], ends[:-1]])
                 rows = np.empty(len(inner), _ROW)
                 rows["gram"], rows["around"] = found["gram"], found["around"]
-                rows["doc"] = ids[np.array([t for t, _, _ in segment])[inner]]
+                owner = np.array([t for t, _, _ in segment])[inner]
+                rows["doc"], rows["version"] = ids[owner], versions[owner]
                 rows["at"] = found["at"] + shift[inner]
                 rows["lo"], rows["hi"] = found["at"] - found["lo"], found["at"] - found["hi"]
                 parts.append(rows)
@@ -233,14 +246,14 @@ def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             bucket = (rows["gram"] % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
-            full = [(b, rows[x:y]) for b, (x, y) in enumerate(pairwise(cuts)) if x < y]
+            cuts = np.flatnonzero(_changes(bucket)).tolist() if len(rows) else []
+            none = pa.array([None] * len(cuts), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b for b, _ in full], pa.int64()), pa.array([None] * len(full), pa.int64()),
-                 pa.array([_packed(r) for _, r in full], pa.binary())], names=["bucket", "doc_id", "data"],
+                [pa.array(bucket[cuts], pa.int64()), none, none, pa.array([_packed(rows[x:y]) for x, y in pairwise([*cuts, len(rows)])] if cuts else [], pa.binary())],
+                names=["bucket", "doc_id", "version", "data"],
             )
 
-    return docs.mapInArrow(run, "bucket long, doc_id long, data binary")
+    return docs.mapInArrow(run, "bucket long, doc_id long, version long, data binary")
 
 
 def _packed(rows: np.ndarray) -> bytes:
@@ -248,10 +261,10 @@ def _packed(rows: np.ndarray) -> bytes:
 
     48 bits of each hash are kept. Grams that agree in them by chance are told apart by their bytes later on.
     """
-    rows = rows[np.lexsort((rows["at"], rows["doc"]))]
+    rows = rows[np.lexsort((rows["at"], rows["version"], rows["doc"]))]
     columns = [
         rows["gram"].astype("<u4"), (rows["gram"] >> np.uint64(32)).astype("<u2"), rows["around"].astype("<u4"),
-        (rows["around"] >> np.uint64(32)).astype("<u2"), np.diff(rows["doc"], prepend=0), np.diff(rows["at"], prepend=0),
+        (rows["around"] >> np.uint64(32)).astype("<u2"), np.diff(rows["doc"], prepend=0), np.diff(rows["version"], prepend=0), np.diff(rows["at"], prepend=np.int32(0)),
         rows["lo"], rows["hi"],
     ]
     return _squeeze(np.int64(len(rows)).tobytes() + b"".join(c.tobytes() for c in columns))
@@ -261,14 +274,15 @@ def _unpacked(data: bytes) -> np.ndarray:
     data = _loosen(data)
     n = int(np.frombuffer(data[:8], "<i8")[0])
     columns, at = [], 8
-    for kind in ("<u4", "<u2", "<u4", "<u2", "<i8", "<i8", "<u2", "<u2"):
+    for kind in ("<u4", "<u2", "<u4", "<u2", "<i8", "<i8", "<i4", "<u2", "<u2"):
         size = np.dtype(kind).itemsize * n
         columns.append(np.frombuffer(data[at : at + size], kind))
         at += size
     rows = np.empty(n, _ROW)
     rows["gram"] = columns[0].astype(np.uint64) | columns[1].astype(np.uint64) << np.uint64(32)
     rows["around"] = columns[2].astype(np.uint64) | columns[3].astype(np.uint64) << np.uint64(32)
-    rows["doc"], rows["at"], rows["lo"], rows["hi"] = np.cumsum(columns[4]), np.cumsum(columns[5]), columns[6], columns[7]
+    rows["doc"], rows["version"], rows["at"] = (np.cumsum(c, dtype=c.dtype) for c in columns[4:7])
+    rows["lo"], rows["hi"] = columns[7:]
     return rows
 
 
@@ -310,7 +324,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
         yield now, held
 
 
-_ASK = np.dtype([("gram", "<u8"), ("at", "<i8"), ("lo", "<u2"), ("hi", "<u2")])
+_ASK = np.dtype([("gram", "<u8"), ("at", "<i4"), ("lo", "<u2"), ("hi", "<u2")])
 
 
 def _compare(found: DataFrame, length: int) -> DataFrame:
@@ -321,18 +335,18 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
             for batch in batches:
                 decided = pc.less(batch["bucket"], 0)
                 past = batch.filter(decided)
-                past = [past["doc_id"], pa.array([False] * past.num_rows, pa.bool_()), past["data"]]
-                passing.append(pa.RecordBatch.from_arrays(past, names=["doc_id", "asked", "data"]))
+                past = [past["doc_id"], past["version"], pa.array([False] * past.num_rows, pa.bool_()), past["data"]]
+                passing.append(pa.RecordBatch.from_arrays(past, names=names))
                 yield batch.filter(pc.invert(decided))
 
         passing: list[pa.RecordBatch] = []
+        names = ["doc_id", "version", "asked", "data"]
         for _, blobs in _by_bucket(anchors_only()):
             yield from passing
             passing.clear()
             rows, ranges = _origins(np.concatenate([_unpacked(b) for b in blobs]), length)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ranges[0], pa.int64()), pa.array([False] * len(ranges[0]), pa.bool_()), pa.array(ranges[1], pa.binary())],
-                names=["doc_id", "asked", "data"],
+                [*(pa.array(x, pa.int64()) for x in ranges[:2]), pa.array([False] * len(ranges[0]), pa.bool_()), pa.array(ranges[2], pa.binary())], names=names,
             )
             if not len(rows):
                 continue
@@ -340,26 +354,26 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
             start = np.flatnonzero(fresh)
             low, high = np.minimum.reduceat(rows["doc"], start), np.maximum.reduceat(rows["doc"], start)
             rows = rows[(low < high)[np.cumsum(fresh) - 1]]  # several documents, each with surroundings of its own
-            rows = rows[np.argsort(rows["doc"], kind="stable")]
-            doc = rows["doc"]
-            cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])).tolist() if len(doc) else []
+            rows = rows[np.lexsort((rows["version"], rows["doc"]))]
+            doc, version = rows["doc"], rows["version"]
+            cuts = np.flatnonzero(_changes(doc, version)).tolist() if len(doc) else []
             asks = np.empty(len(rows), _ASK)
             for name in _ASK.names:
                 asks[name] = rows[name]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[cuts], pa.int64()), pa.array([True] * len(cuts), pa.bool_()),
+                [pa.array(doc[cuts], pa.int64()), pa.array(version[cuts], pa.int64()), pa.array([True] * len(cuts), pa.bool_()),
                  pa.array([asks[a:b].tobytes() for a, b in pairwise([*cuts, len(doc)])] if cuts else [], pa.binary())],
-                names=["doc_id", "asked", "data"],
+                names=names,
             )
         yield from passing
 
-    return found.mapInArrow(run, "doc_id long, asked boolean, data binary")
+    return found.mapInArrow(run, "doc_id long, version long, asked boolean, data binary")
 
 
 def _surroundings(length: int) -> np.dtype:
     side = length - GRAM
     return np.dtype([
-        ("gram", "<u8"), ("doc", "<i8"), ("at", "<i8"), ("lo", "<u2"), ("hi", "<u2"), ("left", "<u2"), ("right", "<u2"),
+        ("gram", "<u8"), ("doc", "<i8"), ("version", "<i8"), ("at", "<i4"), ("lo", "<u2"), ("hi", "<u2"), ("left", "<u2"), ("right", "<u2"),
         ("bytes", "u1", (side + length,)),
     ])
 
@@ -367,19 +381,19 @@ def _surroundings(length: int) -> np.dtype:
 def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> DataFrame:
     """The bytes around the anchors asked for, per bucket."""
     side, kind = length - GRAM, _surroundings(length)
-    rows = asked.groupBy("doc_id").agg(F.collect_list("data").alias("asks"))  # a document's own anchors at most
+    rows = asked.groupBy("doc_id", "version").agg(F.collect_list("data").alias("asks"))  # a text's own anchors at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _portions(batches):
             parts = []
-            for doc, text, asks in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "asks")), strict=True):
+            for doc, version, text, asks in zip(*(batch[c].to_pylist() for c in ("doc_id", "version", "text", "asks")), strict=True):
                 ask = np.frombuffer(b"".join(asks), _ASK)
                 data = np.frombuffer(bytes(side) + _loosen(text) + bytes(length), np.uint8)
                 ask = ask[ask["at"] + GRAM <= len(data) - side - length]
                 out = np.empty(len(ask), kind)
                 for name in _ASK.names:
                     out[name] = ask[name]
-                out["doc"] = doc
+                out["doc"], out["version"] = doc, version
                 out["left"] = np.minimum(ask["at"], side)
                 out["right"] = np.minimum(len(data) - side - length - ask["at"], length)
                 out["bytes"] = data[ask["at"][:, None] + np.arange(side + length)]
@@ -396,7 +410,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> Data
                     names=["bucket", "data"],
                 )
 
-    return _squeezed(docs).join(rows, "doc_id").mapInArrow(run, "bucket long, data binary")
+    return _squeezed(docs).join(rows, ["doc_id", "version"]).mapInArrow(run, "bucket long, data binary")
 
 
 def repeated(rows: np.ndarray, length: int) -> np.ndarray:
@@ -446,10 +460,12 @@ def _sort(fetched: DataFrame, length: int) -> DataFrame:
             rows = np.frombuffer(b"".join(blobs), kind)
             hit, x = np.nonzero(repeated(rows, length))
             begin = rows["at"][hit] - x
-            docs, ranges = _merged(rows["doc"][hit], begin, begin + length)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ranges, pa.binary())], names=["doc_id", "data"])
+            docs, versions, ranges = _merged(rows["doc"][hit], rows["version"][hit], begin, begin + length)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(docs, pa.int64()), pa.array(versions, pa.int64()), pa.array(ranges, pa.binary())], names=["doc_id", "version", "data"]
+            )
 
-    return fetched.mapInArrow(run, "doc_id long, data binary")
+    return fetched.mapInArrow(run, "doc_id long, version long, data binary")
 
 
 def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
@@ -461,7 +477,8 @@ def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
             for text, parts in zip(batch["text"].to_pylist(), batch["parts"].to_pylist(), strict=True):
                 data = _loosen(text)
                 pairs = np.frombuffer(b"".join(parts or ()), "<i8").reshape(-1, 2)
-                _, ranges = _merged(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1])
+                one = np.zeros(len(pairs), np.int64)
+                *_, ranges = _merged(one, one, pairs[:, 0], pairs[:, 1])
                 spans = np.frombuffer(b"".join(ranges), "<i8").reshape(-1, 2).tolist()
                 edges = [0, *(x for span in spans for x in span), len(data)]
                 kept = b"".join([data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
@@ -482,8 +499,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] |
 
     Every byte that a string of ``length`` bytes covers which also starts in a document of a smaller ``doc_id`` goes;
     strings are judged on the input. A NULL text is the empty one. A row without ``doc_id`` loses nothing and repeats
-    nothing. Rows that repeat an id are not earlier than each other; ranges are found per id, so such rows should
-    repeat the text, too. Other columns are not read, but for those that ``carry`` takes along under new names; an
+    nothing. Rows that repeat an id are not earlier than each other, and each is cut by its own text's ranges: texts of
+    one id are told apart by a 64-bit hash. Other columns are not read, but for those that ``carry`` takes along under new names; an
     empty table gives an empty result.
     """
     if length < GRAM:
@@ -491,17 +508,17 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] |
     carry = carry or {}
     whole = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[c.alias(n) for n, c in carry.items()]
-    )
-    docs = documents(docs)
+    ).withColumn("version", F.xxhash64("text"))
+    docs = documents(docs).withColumn("version", F.xxhash64("text"))
     known = docs.where("doc_id is not null")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-total // BUCKET_BYTES))
     found = _find(known, length, buckets).repartition("bucket").sortWithinPartitions("bucket")
     compared = materialize(_compare(found, length), "compared")
     fetched = _fetch(known, compared.where("asked"), length, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    ranges = compared.where("not asked").select("doc_id", "data").unionByName(_sort(fetched, length))
-    ranges = ranges.groupBy("doc_id").agg(F.collect_list("data").alias("parts"))  # ranges within one document
-    return _cut(_squeezed(whole).join(ranges, "doc_id", "left"), list(carry))
+    ranges = compared.where("not asked").select("doc_id", "version", "data").unionByName(_sort(fetched, length))
+    ranges = ranges.groupBy("doc_id", "version").agg(F.collect_list("data").alias("parts"))  # ranges within one text
+    return _cut(_squeezed(whole).join(ranges, ["doc_id", "version"], "left"), list(carry))
 
 
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:

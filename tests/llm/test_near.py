@@ -204,6 +204,16 @@ def test_strings_against_all_windows(spark, documents, awkward, length):
     assert Counter(tuple(r[c] for c in columns) for r in found) == plain_strings(rows, length)
 
 
+def test_texts_of_one_id_are_cut_by_their_own_ranges(spark):
+    chance = random.Random(18)
+    say = lambda n: "".join(chance.choice("abcdefgh ") for _ in range(n))
+    first, other = say(101), say(120)
+    rows = [(1, first), (5, first), (5, other), (5, other[:70] + say(40)), (7, other), (8, say(30) + other[20:90]), (None, first)]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r[c] for c in columns) for r in found.collect()) == plain_strings(rows, 50)
+
+
 def test_strings_of_long_texts_cross_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 500)
     chance = random.Random(3)

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import Counter, deque
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -43,6 +45,10 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
 )
+#: The same without a search for the end of quotes.
+_LOOSE = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|()()()<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S
+)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -53,11 +59,11 @@ NEXT, SAME_PARENT, PER_STEP = 0.4, 1.0, 0.5
 
 @dataclass
 class Block:
-    """Text between two block-level tags, and where it stands."""
+    """Text between two block-level tags, and the element it stands in."""
 
     text: str
     linked: int
-    path: tuple[int, ...]
+    node: int
     cues: frozenset[str]
 
 
@@ -69,6 +75,37 @@ class _Open:
     cues: frozenset[str]
 
 
+@dataclass
+class Tree:
+    """Elements by number, each after its parent; the page itself is 0."""
+
+    parent: list[int] = field(default_factory=lambda: [-1])
+    depth: list[int] = field(default_factory=lambda: [0])
+    #: Elements whose cue waits for the whole page, and what it is.
+    pending: dict[int, str] = field(default_factory=dict)
+
+    def add(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        return len(self.parent) - 1
+
+    def sums(self, values: list[int]) -> list[int]:
+        """What each element and all below it hold together."""
+        out = list(values)
+        for i in range(len(out) - 1, 0, -1):
+            out[self.parent[i]] += out[i]
+        return out
+
+    def steps(self, a: int, b: int) -> int:
+        """Steps from one element to another. Summed over neighbouring blocks, twice the number of elements at most."""
+        n = 0
+        while a != b:
+            if self.depth[a] < self.depth[b]:
+                a, b = b, a
+            a, n = self.parent[a], n + 1
+        return n
+
+
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
@@ -76,13 +113,13 @@ class _Page:
     links: list[str] = field(default_factory=list)
 
 
-def _cues(name: str, attributes: str, above: frozenset[str], number: int) -> tuple[frozenset[str], bool]:
-    """What an element says about the text inside it, and whether it hides it.
+def _cues(name: str, attributes: str, above: frozenset[str]) -> tuple[frozenset[str], bool, str]:
+    """What an element says about the text inside it, whether it hides it, and a cue that waits.
 
-    Outside main and article a cue is ``cue:number``, or ``aside:number``, until the whole page tells whether the
-    element only wraps the main text.
+    Outside main and article a cue, ``cue`` or ``aside``, waits until the whole page tells whether the element only
+    wraps the main text.
     """
-    cues, hidden = above, name in HIDDEN
+    cues, hidden, waiting = above, name in HIDDEN, ""
     words: list[str] = []
     if name in OUTSIDE or name == "header" and "article" not in above:
         cues = cues | {"outside"}
@@ -108,29 +145,83 @@ def _cues(name: str, attributes: str, above: frozenset[str], number: int) -> tup
     elif marks and "article" in above:
         cues = cues | {"cue"}
     elif marks and not body:  # a body word cancels them
-        cues = cues | {f"{'aside' if any(map(ASIDE.search, marks)) else 'cue'}:{number}"}
-    return cues, hidden
+        waiting = "aside" if any(map(ASIDE.search, marks)) else "cue"
+    return cues, hidden, waiting
 
 
-def _settle(blocks: list[Block], mains: list[tuple[int, ...]], articles: list[tuple[int, ...]]) -> None:
+def _settle(blocks: list[Block], tree: Tree, mains: list[int], articles: list[int]) -> None:
     """Make a cue decisive unless its element wraps the main text: it is or holds main, or most of the text and every article."""
-    open_ = [b for b in blocks if "outside" not in b.cues]
-    total = sum(len(b.text) for b in open_)
-    wraps: dict[str, bool] = {}
-    for cue in {c for b in blocks for c in b.cues if ":" in c}:
-        number = int(cue.partition(":")[2])
-        inside = sum(len(b.text) for b in open_ if number in b.path)
-        most = cue.startswith("cue:") and 2 * inside > total and all(number in path for path in articles)
-        wraps[cue] = most or any(number in path for path in mains)
+    if not tree.pending:
+        return
+    texts, main, article = ([0] * len(tree.parent) for _ in range(3))
     for b in blocks:
-        b.cues = frozenset(x for c in b.cues if (x := c if ":" not in c else "" if wraps[c] else "cue"))
+        texts[b.node] += 0 if "outside" in b.cues else len(b.text)
+    for numbers, count in ((mains, main), (articles, article)):
+        for i in numbers:
+            count[i] += 1
+    inside, main, article = map(tree.sums, (texts, main, article))
+    decided = [False] * len(tree.parent)
+    for i in range(1, len(decided)):
+        cue = tree.pending.get(i)
+        most = cue == "cue" and 2 * inside[i] > inside[0] and article[i] == article[0]
+        decided[i] = decided[tree.parent[i]] or cue is not None and not most and not main[i]
+    for b in blocks:
+        if decided[b.node]:
+            b.cues |= {"cue"}
+
+
+def _ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of quotes and closing brackets, and the first bracket outside of quotes for a tag's inside from each on (-1: none)."""
+    found = [(m.start(), m.group()) for m in re.finditer("[>\"']", page)]
+    ends, after = [-1] * (len(found) + 2), {}
+    for i in range(len(found) - 1, -1, -1):
+        at, char = found[i]
+        ends[i] = at if char == ">" else ends[after.get(char, len(found)) + 1]
+        after[char] = i
+    return [at for at, _ in found], ends
+
 
+def _tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of all markup in order; comments and the like have no name.
 
-def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order; malformed markup is read as far as it goes."""
+    Markup after the last closing bracket is text, but for an open comment. A tag that no bracket outside of quotes
+    ends is read to the first bracket; from the first such tag on, ends are looked up, so that none is searched twice.
+    ``send`` goes on at another place.
+    """
+    at, last, table = 0, page.rfind(">") + 1, None
+    while True:
+        found = (_TAG if table is None else _LOOSE).search(page, at, last) if at < last else None
+        if not found:
+            opened = [i for i in (page.find("<!--", at), page.find("<![CDATA[", at)) if i >= 0]
+            if opened:
+                yield min(opened), len(page), "", False, ""
+            return
+        start, at, whole = found.start(), found.end(), found.group()
+        name = closing = attributes = ""
+        if whole.startswith("<!--") and not whole[4:].endswith("-->") or whole.startswith("<![CDATA[") and not whole.endswith("]]>"):
+            at = len(page)
+        elif table is None and found.group(2):
+            closing, name, attributes = found.group(1, 2, 3)
+        elif found.group(5):
+            closing, name, attributes = found.group(4, 5, 6)
+            if table is None:
+                table = _ends(page)
+            else:
+                end = table[1][bisect_left(table[0], found.start(6))]
+                if end >= 0:
+                    attributes, at = page[found.start(6) : end], end + 1
+        jump = yield start, at, name.lower(), bool(closing), attributes or ""
+        if jump is not None:
+            at = jump
+            yield start, at, "", False, ""  # what ``send`` returns
+
+
+def blocks_of(page: str) -> tuple[list[Block], Tree]:
+    """The text blocks of a page in order, and its elements; malformed markup is read as far as it goes."""
     root = _Open("", 0, False, frozenset())
-    stack, state, number, at, in_link = [root], _Page(), 0, 0, 0
-    tops: dict[str, list[tuple[int, ...]]] = {"main": [], "article": []}
+    stack, state, tree, at, in_link = [root], _Page(), Tree(), 0, 0
+    open_names: Counter[str] = Counter()
+    tops: dict[str, list[int]] = {"main": [], "article": []}
 
     def text(piece: str) -> None:
         if piece and not stack[-1].hidden:
@@ -143,22 +234,20 @@ def blocks_of(page: str) -> list[Block]:
             words = " ".join(html.unescape("".join(state.parts)).split())
             if words:
                 linked = len(" ".join(html.unescape("".join(state.links)).split()))
-                state.blocks.append(Block(words, linked, tuple(o.number for o in stack), stack[-1].cues))
+                state.blocks.append(Block(words, linked, stack[-1].number, stack[-1].cues))
             state.parts, state.links = [], []
 
-    size = len(page)
-    while at < size:
-        found = _TAG.search(page, at)
-        if not found:
-            text(page[at:])
-            break
-        if found.start() > at:
-            text(page[at : found.start()])
-        at = found.end()
-        name = found.group(2) or found.group(5)
+    def leave() -> str:
+        name = stack.pop().name
+        open_names[name] -= 1
+        return name
+
+    tags = _tags(page)
+    for start, end, name, closing, attributes in tags:
+        text(page[at:start])
+        at = end
         if not name:
             continue
-        name, closing, attributes = name.lower(), found.group(1) or found.group(4), found.group(3) or found.group(6) or ""
         if name in INLINE and name not in HIDDEN:
             if name == "a":
                 in_link = 0 if closing else 1
@@ -167,29 +256,33 @@ def blocks_of(page: str) -> list[Block]:
             continue
         close()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
+            if open_names[name] > 0:
+                while leave() != name:
+                    pass
             in_link = 0
             continue
         if name in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack[-1].name in ({name} | {"p"}):
-            stack.pop()
+            leave()
         elif stack[-1].name == "p":
-            stack.pop()
+            leave()
         if name in VOID or attributes.endswith("/") and name not in RAW:
             continue
-        number += 1
-        cues, hidden = _cues(name, attributes, stack[-1].cues, number)
+        number = tree.add(stack[-1].number)
+        cues, hidden, waiting = _cues(name, attributes, stack[-1].cues)
+        if waiting:
+            tree.pending[number] = waiting
         if name in tops and not {"article", "outside"} & stack[-1].cues and not (hidden or stack[-1].hidden):
-            tops[name].append((*[o.number for o in stack], number))
+            tops[name].append(number)
         if name in RAW:  # their text is no markup
-            end = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
-            at = end.start() if end else size
+            found = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
+            at = found.start() if found else len(page)
+            tags.send(at)
         stack.append(_Open(name, number, hidden or stack[-1].hidden, cues))
+        open_names[name] += 1
+    text(page[at:])
     close()
-    _settle(state.blocks, tops["main"], tops["article"])
-    return state.blocks
+    _settle(state.blocks, tree, tops["main"], tops["article"])
+    return state.blocks, tree
 
 
 def score(block: Block) -> float:
@@ -200,15 +293,10 @@ def score(block: Block) -> float:
     return value + (w["sentence"] if block.text[-1] in ".!?…\"'”»" else 0.0)
 
 
-def _closeness(a: Block, b: Block) -> float:
+def _closeness(a: Block, b: Block, tree: Tree) -> float:
     """Weight of the tie of two neighbours: the less, the more steps through the tree lie between them."""
-    shared = 0
-    for x, y in zip(a.path, b.path, strict=False):
-        if x != y:
-            break
-        shared += 1
-    steps = len(a.path) + len(b.path) - 2 * shared
-    return NEXT + (SAME_PARENT if a.path[:-1] == b.path[:-1] else 0.0) * PER_STEP ** max(0, steps - 2)
+    same = SAME_PARENT if tree.parent[a.node] == tree.parent[b.node] else 0.0
+    return NEXT + (same * PER_STEP ** max(0, tree.steps(a.node, b.node) - 2) if same else 0.0)
 
 
 def minimum_cut(gain: list[float], ties: dict[tuple[int, int], float]) -> list[bool]:
@@ -267,16 +355,16 @@ def minimum_cut(gain: list[float], ties: dict[tuple[int, int], float]) -> list[b
 
 def main_text(page: str) -> str:
     """Text of the blocks on the source's side of the cut, one per line."""
-    blocks = blocks_of(page)
+    blocks, tree = blocks_of(page)
     ties: dict[tuple[int, int], float] = {}
-    last: dict[tuple[int, ...], int] = {}
+    last: dict[int, int] = {}
     for i, block in enumerate(blocks):
         if i:
-            ties[i - 1, i] = _closeness(blocks[i - 1], block)
-        j = last.get(block.path[:-1])
+            ties[i - 1, i] = _closeness(blocks[i - 1], block, tree)
+        j = last.get(tree.parent[block.node])
         if j is not None and j < i - 1:
             ties[j, i] = SAME_PARENT
-        last[block.path[:-1]] = i
+        last[tree.parent[block.node]] = i
     keep = minimum_cut([score(b) for b in blocks], ties)
     return "\n".join([b.text for b, k in zip(blocks, keep, strict=True) if k])
 

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 from tallyworks.llm import html_cut
 
@@ -52,6 +53,22 @@ def test_odd_markup():
     assert html_cut.main_text(long).count("\n") == 4999
 
 
+def test_unclosed_quotes_and_raw_text():
+    assert html_cut.main_text("<article><p>one<a 'x>y' <b 'u>v' two") == "oney' v' two"
+    assert html_cut.main_text("<article><script>if (a < b) { '</p>' }</script><p>one<style>p > a</style><p>two<!-- <p>no --><p>three") == "one\ntwo\nthree"
+    assert html_cut.main_text("<article><p>one <3 two<!-- open <p>x") == "one <3 two"
+
+
+def test_long_odd_pages_take_no_square_of_time():
+    start = time.perf_counter()
+    deep = "<div class='share box'>some words here" * 10_000
+    assert html_cut.main_text(deep) == "" and html_cut.main_text("<main>" + "<div>word" * 10_000).count("word") == 10_000
+    assert html_cut.main_text("<article>" + "<div>" * 5000 + "</span></b>x</p>" * 20_000 + "</article>").count("x") == 20_000
+    for odd in ("<a href='", "<a 'x>y' ", "<!", "<b", "</", "<p \"", "<script>", "<![CDATA["):
+        html_cut.main_text("<article><p>text</p>" + odd * 30_000)
+    assert time.perf_counter() - start < 20
+
+
 def test_cut_is_minimal():
     chance = random.Random(2)
     for _ in range(200):

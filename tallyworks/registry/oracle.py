@@ -353,6 +353,7 @@ ORACLE: dict[str, str] = {
         "from (select cast(o_orderdate as date) as t from orders union all select cast(l_shipdate as date) from lineitem))"
     ),
     "view_daily_summary": _with("fact", DAILY),
+    "daily_summary_by_deltas": _with("fact", DAILY),
     "report_failed_users": _with(
         "failures users",
         "select u.user_id, u.user_name, u.user_category, f.failed_count, "

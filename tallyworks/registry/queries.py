@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions import aggregates as fa
 from tallyworks.functions import dates, parsing
 from tallyworks.operators import aggregates, chunks, clean, filters, integrity, joins, quality, sorting
-from tallyworks.plans import logs, reports, transactions, verdicts, warehouse
+from tallyworks.plans import daily, logs, reports, transactions, verdicts, warehouse
 from tallyworks.registry import adapters as a
 from tallyworks.schemas import FACT_TRANSACTIONS, LOG_RECORD
 from tallyworks.session import configure, shared_dir
@@ -593,6 +593,20 @@ def view_daily_summary(spark, sf):
     return warehouse.create_daily_view(spark, a.fact(spark, sf), a.dim_date(spark))
 
 
+@query
+def daily_summary_by_deltas(spark, sf):
+    """Three loads of a fact, the later ones with late rows of all days, and an update after each."""
+    database = _database(spark)
+    warehouse.create_star_schema(spark, database)
+    table, rows = f"{database}.fact_transactions", a.fact(spark, sf)
+    part = F.crc32(F.col("transaction_id").cast("string").cast("binary")) % 3
+    kept = daily.DailySummary(spark, table)
+    for i in range(3):
+        tables.append(rows.where(part == i), table, cluster_by="date_id", checked=True)
+        kept.update()
+    return kept.summary(a.dim_date(spark))
+
+
 @query
 def report_failed_users(spark, sf):
     return reports.failed_users(a.fact(spark, sf), a.dim_users(spark, sf), a.AS_OF)

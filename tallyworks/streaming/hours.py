@@ -1,15 +1,13 @@
 """Hourly error summary that takes rows however late they come: each micro-batch is merged into the hours it touches.
 
-Kept for an hour: partial sums per endpoint and user, in a folder per micro-batch that touched it, and the summary made
-of them. A micro-batch writes its own partial sums and new summaries of its hours beside the old ones; one record then
-points to them and says which micro-batch was merged last. So a micro-batch counts once, also if it is repeated after a
-loss, other hours are not touched, and readers see all of a micro-batch or nothing. What a record no longer points to is
-deleted two micro-batches later.
+Kept for an hour: partial sums per endpoint and user, and the summary made of them (``sinks/periods.py``). One record
+points to the folders of all hours and says which micro-batch was merged last. So a micro-batch counts once, also if it
+is repeated after a loss, other hours are not touched, and readers see all of a micro-batch or nothing. What a record no
+longer points to is deleted two micro-batches later.
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,14 +19,13 @@ from tallyworks.functions.dates import hour_floor
 from tallyworks.operators.filters import SERVER_ERROR
 from tallyworks.session import remove, scratch, written
 from tallyworks.sinks import claims
+from tallyworks.sinks.periods import Periods
 from tallyworks.sources.logs_json import parse_lines
 
-#: Folders of partial sums an hour may have before they are merged into one.
-MOST_PARTS = 8
-STATE = "endpoint string, user_id bigint, n bigint, n_timed bigint, total double, longest double, shortest double, hour string"
+STATE = "endpoint string, user_id bigint, n bigint, n_timed bigint, total double, longest double, shortest double"
 SUMMARY = (
     "endpoint string, error_count bigint, avg_response_time double, max_response_time double, min_response_time double,"
-    " unique_users bigint, hour string"
+    " unique_users bigint"
 )
 _HOUR = "yyyy-MM-dd-HH"  # as folder names have it
 
@@ -54,24 +51,16 @@ class HourlyErrors:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
         self.records = claims.Folder(spark, f"{self.path}/records")
+        self.periods = Periods(spark, self.path, "hour", STATE, SUMMARY, _merged, _summaries)
 
     def record(self) -> dict[str, Any]:
         """``hours`` (its folders of partial sums, and of its summary), the last ``batch``, and what was counted."""
         empty = {"hours": {}, "batch": -1, "lines": 0, "errors": 0, "aside": 0, "replaced": [], "old": []}
         return self.records.read("now") or empty
 
-    def _read(self, kind: str, versions: list[tuple[str, str]], schema: str) -> DataFrame:
-        paths = [f"{self.path}/{kind}/{version}/hour={hour}" for hour, version in versions]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        hour = F.regexp_extract(F.col("_metadata.file_path"), "hour=([0-9-]+)", 1)
-        plain = schema.rsplit(",", 1)[0]
-        return self.spark.read.schema(plain).parquet(*paths).select("*", hour.alias("hour"))
-
     def summary(self) -> DataFrame:
         """The summary of all hours as of the last micro-batch."""
-        now = self.record()
-        rows = self._read("summary", [(h, of["summary"]) for h, of in now["hours"].items()], SUMMARY)
+        rows = self.periods.results(self.record()["hours"])
         return rows.withColumn("hour", F.to_timestamp_ntz("hour", F.lit(_HOUR)))
 
     def aside(self) -> DataFrame:
@@ -103,28 +92,11 @@ class HourlyErrors:
             counted = seen.get
             if counted["aside"]:
                 kept.where("reason is not null").select("value", "reason").write.mode("overwrite").parquet(f"{self.path}/aside/{number}")
-            version = uuid.uuid4().hex
             took = F.col("response_time")
             partial = kept.where("reason is null").groupBy("hour", "endpoint", "user_id").agg(
                 F.count("*").alias("n"), F.count(took).alias("n_timed"), F.sum(took).alias("total"), F.max(took).alias("longest"), F.min(took).alias("shortest")
             )
-            partial.write.partitionBy("hour").parquet(f"{self.path}/state/{version}")
-        written_state = self.spark.read.schema(STATE).parquet(f"{self.path}/state/{version}")
-        per_hour = {r["hour"]: r["n"] for r in written_state.groupBy("hour").agg(F.sum("n").alias("n")).collect()}
-        replaced = []
-        if per_hour:
-            hours = dict(now["hours"])
-            parts = {h: [*hours.get(h, {"state": []})["state"], version] for h in per_hour}
-            states = _merged(self._read("state", [(h, v) for h, vs in parts.items() for v in vs], STATE))
-            if full := [h for h, vs in parts.items() if len(vs) > MOST_PARTS]:
-                one = uuid.uuid4().hex
-                states.where(F.col("hour").isin(full)).write.partitionBy("hour").parquet(f"{self.path}/state/{one}")
-                replaced += [f"state/{v}/hour={h}" for h in full for v in parts[h]]
-                parts |= {h: [one] for h in full}
-                states = _merged(self._read("state", [(h, v) for h, vs in parts.items() for v in vs], STATE))
-            _summaries(states).write.partitionBy("hour").parquet(f"{self.path}/summary/{version}")
-            replaced += [f"summary/{hours[h]['summary']}/hour={h}" for h in per_hour if h in hours]
-            now["hours"] = hours | {h: {"state": parts[h], "summary": version} for h in per_hour}
+            now["hours"], replaced, per_hour = self.periods.fold(now["hours"], partial)
         counts = {"lines": counted["lines"], "aside": counted["aside"], "errors": sum(per_hour.values())}
         self.records.write("now", now | {k: now[k] + v for k, v in counts.items()} | {"batch": number, "old": now["replaced"], "replaced": replaced})
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyworks.plans import logs
 from tallyworks.registry import adapters
 from tallyworks.session import subfolders
+from tallyworks.sinks import periods
 from tallyworks.sources import logs_json
 from tallyworks.streaming import hours
 from tallyworks.streaming import logs as log_streams
@@ -165,7 +166,7 @@ def test_late_rows_change_their_hour_and_no_other(spark, folder, lines):
 
 
 def test_more_than_a_hundred_micro_batches_lose_nothing(spark, folder, monkeypatch):
-    monkeypatch.setattr(hours, "MOST_PARTS", 3)
+    monkeypatch.setattr(periods, "MOST_PARTS", 3)
     kept = hours.HourlyErrors(spark, f"{folder}/out")
     rows = lambda i: spark.createDataFrame([(_line(f"2024-01-{1 + i % 3:02d} 10:00:00", i % 7),)] * 2 + [("bad",)], "value string").coalesce(1)
     reader = None

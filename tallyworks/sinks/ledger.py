@@ -32,11 +32,16 @@ def location(spark: SparkSession, table: str) -> str:
 
 
 class KeyLedger:
-    """Keys (whole numbers) of ``table`` with their batch and number of rows; ``purpose`` tells several ledgers apart."""
+    """Keys (whole numbers) of ``table`` with their batch and number of rows; ``purpose`` tells several ledgers apart.
 
-    def __init__(self, spark: SparkSession, table: str, purpose: str = "keys") -> None:
-        self.spark, self.base = spark, f"{table}_{purpose}"
-        self.records = Folder(spark, f"{location(spark, table)}_{purpose}_records")
+    With ``place``, all files of the ledger lie below that folder and ``table`` is but a name. Its bucketed tables are
+    entered in the catalog again, with their folders, by a session whose catalog does not know them.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, purpose: str = "keys", place: str | None = None) -> None:
+        self.spark, self.base, self.place = spark, f"{table}_{purpose}", place
+        self.entered: set[str] = set()  # loads the session's catalog is known to have
+        self.records = Folder(spark, f"{place}/records" if place else f"{location(spark, table)}_{purpose}_records")
 
     def loads(self) -> dict[str, dict[str, Any]]:
         """Records of the loads that count, by load."""
@@ -45,6 +50,10 @@ class KeyLedger:
             if name.startswith("load-") and (record := self.records.read(name)) is not None:
                 found[name.removeprefix("load-")] = record
         replaced = {old for r in found.values() for old in r["replaces"]}
+        if self.place and not self.entered.issuperset(found):
+            for buckets in {r["buckets"] for r in found.values()}:
+                self.spark.sql(f"ALTER TABLE {self._table(buckets)} RECOVER PARTITIONS")
+            self.entered |= set(found)
         return {load: r for load, r in found.items() if load not in replaced}
 
     def exists(self) -> bool:
@@ -52,7 +61,11 @@ class KeyLedger:
 
     def _table(self, buckets: int) -> str:
         name = f"{self.base}_{buckets}"
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({SCHEMA}) USING parquet PARTITIONED BY (load) CLUSTERED BY (key) SORTED BY (key) INTO {buckets} BUCKETS")
+        place = f"LOCATION '{self.place}/{buckets}'" if self.place else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({SCHEMA}) USING parquet PARTITIONED BY (load)"
+            f" CLUSTERED BY (key) SORTED BY (key) INTO {buckets} BUCKETS {place}"
+        )
         return name
 
     def add(self, keys: DataFrame, dead: Sequence[tuple[str, str]] = (), merge: bool = True) -> str:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyworks.operators import chunks, clean, joins
+from tallyworks.operators import chunks, clean
 from tallyworks.plans.transactions import store_landed
 from tallyworks.schemas import TRANSACTIONS_CSV
 from tallyworks.session import remove, scratch, subfolders, written
+from tallyworks.sinks.ledger import KeyLedger
 from tallyworks.sources.transactions_csv import CSV_OPTIONS, SURPLUS, mark_surplus, with_surplus
 
 
@@ -108,12 +110,20 @@ def without_redeliveries(rows: DataFrame, known: DataFrame | None) -> DataFrame:
     """One row of each ``transaction_id`` that ``known`` does not hold.
 
     The copies of an id are first combined where they are read, so an id that fills a third of the input sends one row
-    per task. ``known`` is only probed for the new ids.
+    per task.
     """
     fresh = rows.dropDuplicates(["transaction_id"])
-    if known is None:
-        return fresh
-    return fresh.join(joins.existing_keys(fresh, known, "transaction_id"), "transaction_id", "left_anti")
+    return fresh if known is None else fresh.join(known, "transaction_id", "left_anti")
+
+
+def delivered_ids(spark: SparkSession, output_path: str) -> KeyLedger:
+    """The ledger of the ids in ``output_path``/rows, below the same folder."""
+    name = f"delivered_{hashlib.sha256(output_path.encode()).hexdigest()[:16]}"
+    return KeyLedger(spark, name, "ids", place=f"{output_path}/ids")
+
+
+def _delivered(rows: DataFrame, batch: Column) -> DataFrame:
+    return rows.select(F.col("transaction_id").cast("bigint").alias("key"), batch.alias("batch_id"), F.lit(1).cast("bigint").alias("n"))
 
 
 def dedup_files(
@@ -126,20 +136,30 @@ def dedup_files(
     """Typed rows of new files without re-delivered transactions, in ``output_path``/rows.
 
     However late a first delivery comes, it appears, and however late a repeated one comes, it does not: ids are looked
-    up in what was written. Rows without an id or a valid time, and lines with surplus fields, go to ``output_path``/aside.
+    up in a ledger of those written, of which only files that may hold a new id are opened. A micro-batch that is
+    repeated after a loss replaces its rows and its ids. Rows without an id or a valid time, and lines with surplus
+    fields, go to ``output_path``/aside.
     """
     source = _files(spark, input_path, max_files).withColumn("_line", F.col(SURPLUS)).drop(SURPLUS)
     typed = clean.amount_to_money(clean.parse_transactions(source))
+    ids = delivered_ids(spark, output_path)
 
     def store(rows: DataFrame, number: int) -> None:
         with scratch(spark, "dedup") as own:
-            rows = written(rows, own)
+            rows = written(rows, f"{own}/rows")
             odd = F.col("transaction_id").isNull() | F.col("transaction_date").isNull() | F.col("_line").isNotNull()
             rows.where(odd).write.mode("overwrite").parquet(f"{output_path}/aside/{number}")
             earlier = [n for n in subfolders(spark, f"{output_path}/rows") if n != str(number)]
-            known = spark.read.schema(rows.schema).parquet(*[f"{output_path}/rows/{n}" for n in earlier]) if earlier else None
-            fresh = without_redeliveries(rows.where(~odd), known).drop("_line")
-            fresh.write.mode("overwrite").parquet(f"{output_path}/rows/{number}")
+            if earlier and not ids.exists():  # written before there was a ledger
+                for n in earlier:
+                    ids.add(_delivered(spark.read.schema(rows.schema).parquet(f"{output_path}/rows/{n}"), F.lit(n)))
+            good = rows.where(~odd)
+            met = ids.known(_delivered(good, F.lit(str(number))), without=[str(number)])
+            known = None if met is None else written(met.select(F.col("key").alias("transaction_id")).distinct(), f"{own}/known")
+            without_redeliveries(good, known).drop("_line").write.mode("overwrite").parquet(f"{output_path}/rows/{number}")
+            stored = spark.read.schema(rows.schema).parquet(f"{output_path}/rows/{number}")
+            before = [(load, str(number)) for load, r in ids.loads().items() if str(number) in r["batches"]]
+            ids.add(_delivered(stored, F.lit(str(number))), dead=before)
 
     return _each_batch(typed, checkpoint, store)
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallyworks.functions.aggregates import watermark
 from tallyworks.functions.dates import date_key
 from tallyworks.operators import chunks, clean, integrity
-from tallyworks.plans import verdicts
+from tallyworks.plans import runs, verdicts
 from tallyworks.schemas import FACT_TRANSACTIONS, TRANSACTIONS_CSV
 from tallyworks.session import scratch, written
 from tallyworks.sinks import claims, tables
@@ -269,11 +269,23 @@ def run_all(
 ) -> int:
     """Ingest, gate, load; an error in one step keeps the later ones from running. Returns how many rows were loaded.
 
-    The gate's verdict is on the whole raw table; it reads the new batch and the ids that may meet its own.
+    The gate's verdict is on the whole raw table; it reads the new batch and the ids that may meet its own. Runs of one
+    raw table exclude each other. A run that was lost between two steps is made up for by the next one: a batch stored by
+    half is undone, and an input that was stored already is not stored again under another batch.
     """
-    ingest_raw(spark, input_path, raw_table, run_ts, **ingest_options)
-    verdicts.gate(spark, raw_table)
-    return load_fact_incremental(
-        spark, raw_table, fact_table, dim_users, dim_date, load_ts or run_ts,
-        created_at_source=created_at_source, on_violation=on_violation,
-    )
+    wanted = ingest_options.pop("batch_id", None) or clean.batch_name(run_ts)
+    quarantine = ingest_options.get("quarantine_table") or f"{raw_table}_quarantine"
+    with claims.claim(spark, f"{location(spark, raw_table)}_run_claims"):
+        journal, source = runs.Journal(spark, raw_table), runs.signature(spark, input_path, ingest_options)
+        taken = set().union(*_batch_states(_batch_records(spark, fact_table)))
+        if journal.recover(source, wanted, taken) is None:
+            journal.begin(wanted, source, quarantine)
+            ingest_raw(spark, input_path, raw_table, run_ts, batch_id=wanted, **ingest_options)
+            journal.stored(wanted)
+        verdicts.gate(spark, raw_table)
+        n = load_fact_incremental(
+            spark, raw_table, fact_table, dim_users, dim_date, load_ts or run_ts,
+            created_at_source=created_at_source, on_violation=on_violation,
+        )
+        journal.end(journal.unfinished())
+        return n

@@ -208,6 +208,13 @@ def overwrite_batch(df: DataFrame, table: str, batch_id: str) -> int:
     return n
 
 
+def drop_batch(spark: SparkSession, table: str, batch_id: str) -> None:
+    """Remove one batch of a table partitioned by ``batch_id``, with what a job that was lost left in its folder."""
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch_id = {quoted(batch_id)})")
+    remove(spark, f"{location(spark, table)}/batch_id={urllib.parse.quote(batch_id, safe='')}")
+    spark.catalog.refreshTable(table)
+
+
 def save(df: DataFrame, table: str, if_exists: str = "append") -> None:
     """Write a frame to a table that may not exist yet: append, fail or replace."""
     if if_exists == "append" and df.sparkSession.catalog.tableExists(table):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.plans import logs
 from tallyworks.registry import adapters
-from tallyworks.session import subfolders
+from tallyworks.session import remove, subfolders
 from tallyworks.sinks import periods
 from tallyworks.sources import logs_json
 from tallyworks.streaming import hours
@@ -130,6 +130,50 @@ def test_redelivered_rows_go_and_nothing_else(spark, folder, lines):
     assert run() == [1, 2, 4, 9]  # a first delivery may come days late
 
 
+def _dedup(spark, folder):
+    transaction_streams.dedup_files(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    return sorted(r.transaction_id for r in transaction_streams.deduplicated(spark, f"{folder}/out").collect())
+
+
+def test_redeliveries_are_found_in_the_ledger_by_any_session(spark, folder, lines, monkeypatch):
+    opened = []
+    real = transaction_streams.KeyLedger.known
+    monkeypatch.setattr(transaction_streams.KeyLedger, "known", lambda *a, **k: opened.append(real(*a, **k)) or opened[-1])
+    for start in (1, 101, 201):
+        lines(f"{folder}/in", [HEADER] + [f"{i},7,10,USD,2024-01-10,failed" for i in range(start, start + 100)])
+        _dedup(spark, folder)
+    assert opened == [None] * 3  # other ids: no file of the ledger is opened
+    # a session whose catalog does not know the ledger's tables finds them by their folders
+    ids = transaction_streams.delivered_ids(spark, f"{folder}/out")
+    for name in {r["table"] for r in ids.loads().values()}:
+        spark.sql(f"DROP TABLE {name}")
+    lines(f"{folder}/in", [HEADER, "150,7,10,USD,2024-01-10,failed", "301,7,10,USD,2024-01-10,failed"])
+    assert _dedup(spark, folder) == list(range(1, 302)) and opened[-1] is not None
+
+
+def test_a_micro_batch_that_is_repeated_and_output_older_than_the_ledger(spark, folder, lines, monkeypatch):
+    lines(f"{folder}/in", [HEADER, "1,7,10,USD,2024-01-10,failed"])
+    assert _dedup(spark, folder) == [1]
+    remove(spark, f"{folder}/out/ids")  # as if written before there was a ledger
+    for name in [r.tableName for r in spark.sql("SHOW TABLES LIKE 'delivered_*'").collect()]:
+        spark.sql(f"DROP TABLE {name}")
+    lines(f"{folder}/in", [HEADER, "1,7,10,USD,2024-01-10,failed", "2,7,10,USD,2024-01-10,failed"])
+    real = transaction_streams.KeyLedger.add
+
+    def add_and_stop(self, keys, dead=(), merge=True):
+        real(self, keys, dead, merge)
+        if {"1"} & {b for r in self.loads().values() for b in r["batches"]}:
+            raise OSError("lost")
+
+    monkeypatch.setattr(transaction_streams.KeyLedger, "add", add_and_stop)
+    with pytest.raises(Exception, match="lost"):
+        _dedup(spark, folder)
+    monkeypatch.undo()
+    assert _dedup(spark, folder) == [1, 2]
+    ids = transaction_streams.delivered_ids(spark, f"{folder}/out").rows().collect()
+    assert sorted((r.key, r.batch_id) for r in ids) == [(1, "0"), (2, "1")]
+
+
 def test_lines_without_an_hour_are_kept_and_late_ones_counted(spark, folder, lines):
     lines(f"{folder}/in", [_line("2024-01-01 10:05:00"), _line("not a time"), "bad line"])
     log_streams.keep_unplaced_lines(spark, f"{folder}/in", f"{folder}/aside", f"{folder}/aside-checkpoint").awaitTermination()

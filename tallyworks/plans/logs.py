@@ -62,7 +62,7 @@ def error_log_rows(
     """
     seen = Observation()
     lines = spark.read.text(input_path).select("value", F.col("_metadata.file_path").alias("file"))
-    parsed = logs_json.parse_lines(lines).observe(seen, F.count("*").alias("lines"), F.count_if("is_bad").alias("bad"))
+    parsed = logs_json.parse_lines(logs_json.spread_hot_files(lines, input_path)).observe(seen, F.count("*").alias("lines"), F.count_if("is_bad").alias("bad"))
     status = F.col("record.status_code")
     wanted = parsed.where(F.col("is_bad") | (status >= filters.SERVER_ERROR))
     flat = wanted.select("is_bad", F.when(F.col("is_bad"), F.struct("file", "value")).alias("bad"), "record.*").drop(logs_json.CORRUPT)

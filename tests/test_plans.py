@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators import aggregates, filters
 from tallyworks.plans import reports, transactions, warehouse
 from tallyworks.registry.queries import QUERIES
-from tallyworks.session import materialize, shared_dir
+from tallyworks.session import materialize, setting, shared_dir
 from tallyworks.sources import logs_json
 from tests.conftest import SMALL
 
@@ -21,7 +21,7 @@ PACKAGE = pathlib.Path(__file__).parent.parent / "tallyworks"
 # These write on the way to their result; what they do is covered by the others' plans.
 LAZY = [
     k for k in QUERIES
-    if not k.startswith(("src_", "sink_", "tbl_", "ddl_", "stream_", "run_", "ingest", "load", "build", "error_log"))
+    if not k.startswith(("src_", "sink_", "tbl_", "ddl_", "stream_", "run_", "ingest", "load", "build", "error_log", "daily_"))
 ] + ["src_sql_query"]
 
 
@@ -140,3 +140,17 @@ def test_skewed_user_is_counted_whole(spark):
     users = spark.range(30000).selectExpr("id as user_id", "'n' as user_name", "'c' as user_category", "true as is_current")
     got = reports.failed_users(rows, users, date(2024, 1, 31)).collect()
     assert [(r.user_id, r.failed_count, r.failure_rate) for r in got] == [(7, 10001, 100.0)]
+
+
+def test_a_hot_gzip_file_is_spread_over_tasks(spark, folder):
+    rows = spark.range(20000).select(F.format_string('{"timestamp":"2024-01-01 10:00:00","endpoint":"/%s","status_code":500}', F.sha2(F.col("id").cast("string"), 256)).alias("value"))
+    rows.coalesce(1).write.option("compression", "gzip").text(folder)
+    per_task = lambda df: sorted(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("endpoint").alias("n")).collect())
+    assert not logs_json.has_hot_file(spark, folder)
+    assert "Exchange" not in plan(logs_json.read_logs(spark, folder)) and per_task(logs_json.read_logs(spark, folder)) == [20000]
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "1MB"), setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB"):
+        for scan in (logs_json.read_logs, logs_json.read_logs_tolerant):
+            logs = scan(spark, folder)
+            assert "REBALANCE" in plan(logs)
+            spread = per_task(logs)
+            assert len(spread) > 3 and spread[-1] < 10000 and sum(spread) == 20000

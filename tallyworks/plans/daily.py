@@ -17,7 +17,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.session import remove, subfolders
+from tallyworks.session import read_folders, remove, subfolders
 from tallyworks.sinks import claims
 from tallyworks.sinks.ledger import location
 from tallyworks.sinks.periods import Periods
@@ -119,7 +119,7 @@ class DailySummary:
         if not paths:
             return self.spark.createDataFrame([], f"{STATE}, date_id string")
         day = F.regexp_extract(F.col("_metadata.file_path"), r"date_id=(\d+)", 1).alias("date_id")
-        rows = self.spark.read.schema(FACT).parquet(*paths).select(day, "status", "user_id", "amount")
+        rows = read_folders(self.spark, FACT, list(paths)).select(day, "status", "user_id", "amount")
         return rows.groupBy("date_id", "status", "user_id").agg(
             F.count("*").alias("n"), F.count("amount").alias("n_amounts"), F.sum("amount").cast("decimal(35,2)").alias("total")
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,6 +98,13 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_folders(spark: SparkSession, schema: str, paths: Sequence[str]) -> DataFrame:
+    """Parquet rows of many folders or files, listed by as many tasks as run at once and not by one task each."""
+    tasks = max(1, spark.sparkContext.defaultParallelism)
+    with setting(spark, "spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks):
+        return spark.read.schema(schema).parquet(*paths)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """``written`` to a shared folder of its own, which stays for as long as the caller's frames may be read."""
     return written(df, shared_dir(df.sparkSession, purpose))

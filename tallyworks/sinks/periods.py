@@ -14,6 +14,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.session import read_folders
+
 #: Folders of partial sums a period may have before they are merged into one.
 MOST_PARTS = 8
 
@@ -43,7 +45,7 @@ class Periods:
         if not paths:
             return self.spark.createDataFrame([], f"{self.schemas[kind]}, {self.period} string")
         period = F.regexp_extract(F.col("_metadata.file_path"), f"{self.period}=([0-9-]+)", 1)
-        return self.spark.read.schema(self.schemas[kind]).parquet(*paths).select("*", period.alias(self.period))
+        return read_folders(self.spark, self.schemas[kind], paths).select("*", period.alias(self.period))
 
     def results(self, kept: Kept) -> DataFrame:
         return self.read("summary", [(p, of["summary"]) for p, of in kept.items()])
@@ -51,6 +53,10 @@ class Periods:
     def _states(self, parts: dict[str, list[str]]) -> DataFrame:
         return self.merged(self.read("state", [(p, v) for p, vs in parts.items() for v in vs]))
 
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        """A folder per period, of few files; a period that holds much is split over tasks."""
+        rows.hint("rebalance", F.col(self.period)).write.partitionBy(self.period).parquet(f"{self.path}/{folder}")
+
     def folders(self, period: str, of: dict[str, Any]) -> list[str]:
         """All folders of a period."""
         return [self._folder("state", v, period) for v in of["state"]] + [self._folder("summary", of["summary"], period)]
@@ -61,8 +67,8 @@ class Periods:
         Returns the periods as they are then, the folders nothing points to any more, and the rows per period touched.
         """
         version = uuid.uuid4().hex
-        partial.write.partitionBy(self.period).parquet(f"{self.path}/state/{version}")
-        stored = self.spark.read.schema(f"{self.schemas['state']}, {self.period} string").parquet(f"{self.path}/state/{version}")
+        self._write(partial, f"state/{version}")
+        stored = read_folders(self.spark, f"{self.schemas['state']}, {self.period} string", [f"{self.path}/state/{version}"])
         touched = {r[self.period]: r["n"] for r in stored.groupBy(self.period).agg(F.sum("n").alias("n")).collect()}
         left = {p: of for p, of in kept.items() if p not in afresh}
         replaced = [f for p in kept if p in afresh for f in self.folders(p, kept[p])]
@@ -71,9 +77,9 @@ class Periods:
         parts = {p: [*left.get(p, {"state": []})["state"], version] for p in touched}
         if full := [p for p, versions in parts.items() if len(versions) > MOST_PARTS]:
             one = uuid.uuid4().hex
-            self._states({p: parts[p] for p in full}).write.partitionBy(self.period).parquet(f"{self.path}/state/{one}")
+            self._write(self._states({p: parts[p] for p in full}), f"state/{one}")
             replaced += [self._folder("state", v, p) for p in full for v in parts[p]]
             parts |= {p: [one] for p in full}
-        self.made(self._states(parts)).write.partitionBy(self.period).parquet(f"{self.path}/summary/{version}")
+        self._write(self.made(self._states(parts)), f"summary/{version}")
         replaced += [self._folder("summary", left[p]["summary"], p) for p in touched if p in left]
         return left | {p: {"state": parts[p], "summary": version} for p in touched}, replaced, touched

@@ -1,13 +1,15 @@
 """Removal of repeated runs of lines by winnowing over line hashes, with DataFrame functions only.
 
 A window is a shortest stretch of lines with at least ``min_words`` words. The smallest line hash of each window is a
-fingerprint, so two runs with that many words in common are sure to share one. Windows whose fingerprint occurs at
-one place only are put aside at once; for the others the position of their first equal is found, and all later ones
-are deleted. Windows start at every line, so a repeated run is deleted as far as it reaches both ways.
+fingerprint, so two runs with that many words in common are sure to share one. Windows start at every line, but only
+the fingerprints chosen are kept, each once, with the lines its windows reach. Places with the same fingerprint are
+matched, and the match is extended line by line both ways; windows inside of it are deleted from the later place.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,14 @@ from tallyworks.llm.common import documents, materialize
 SPACES = " \t\n\x0b\x0c\r"
 SPACE = "[ \\t-\\r]+"
 MIN_WORDS = 10
+#: Groups that may be joined by broadcast, and rows that make a group a large one if the whole input has few.
+LARGE = 1000
 
 
-def _windows(lines: Column, min_words: int) -> Column:
-    """``start``, ``stop`` (line numbers), ``content`` (hash) and ``mark`` (smallest line hash and its line)."""
+def _fingerprints(lines: Column, min_words: int) -> Column:
+    """The lines chosen by windows: ``mark`` (hash), ``at`` (line number), ``lines`` (hashes of the lines within reach of
+    these windows), ``centre`` (the chosen one among them) and ``windows`` (``first`` and ``last`` of them, ``start`` and
+    ``stop`` in the text)."""
     units = F.filter(
         F.transform(
             lines,
@@ -32,47 +38,138 @@ def _windows(lines: Column, min_words: int) -> Column:
     )
 
     def stretch(all_units: Column) -> Column:
-        return F.transform(
+        stretches = F.transform(
             all_units,
             lambda first, i: F.aggregate(
                 F.slice(all_units, i + 1, F.lit(min_words)),  # every line has a word
                 F.struct(
-                    F.lit(0).alias("words"), first["at"].alias("start"), first["at"].alias("stop"), F.lit(0).cast("long").alias("content"),
-                    F.struct(first["h"].alias("h"), first["at"].alias("at")).alias("mark"),
+                    F.lit(0).alias("words"), i.alias("first"), (i - 1).alias("last"), first["at"].alias("start"), first["at"].alias("stop"),
+                    F.struct(first["h"].alias("h"), i.alias("i"), first["at"].alias("at")).alias("mark"),
                 ),
                 lambda acc, u: F.when(acc["words"] >= min_words, acc).otherwise(
                     F.struct(
-                        (acc["words"] + u["words"]).alias("words"), acc["start"].alias("start"), u["at"].alias("stop"),
-                        F.xxhash64(acc["content"], u["h"]).alias("content"),
-                        F.least(acc["mark"], F.struct(u["h"].alias("h"), u["at"].alias("at"))).alias("mark"),
+                        (acc["words"] + u["words"]).alias("words"), acc["first"].alias("first"), (acc["last"] + 1).alias("last"),
+                        acc["start"].alias("start"), u["at"].alias("stop"),
+                        F.when(  # of equal ones the last
+                            u["h"] <= acc["mark"]["h"], F.struct(u["h"].alias("h"), (acc["last"] + 1).alias("i"), u["at"].alias("at"))
+                        ).otherwise(acc["mark"]).alias("mark"),
                     )
                 ),
             ),
         )
+        return F.filter(stretches, lambda w: w["words"] >= min_words)
 
-    # A lambda's argument is evaluated once, a repeated column expression would be each time.
-    found = F.get(F.transform(F.array(units), stretch), F.lit(0))
-    return F.filter(found, lambda w: w["words"] >= min_words)
+    def chosen(all_units: Column, all_windows: Column) -> Column:
+        # Windows that choose the same line follow each other, at most one for each word.
+        new = F.filter(
+            F.transform(all_windows, lambda w, i: F.struct(w["mark"].alias("mark"), i.alias("i"))),
+            lambda w: F.coalesce(F.get(all_windows, w["i"] - 1)["mark"]["i"] != w["mark"]["i"], F.lit(True)),
+        )
+        own = F.transform(
+            new,
+            lambda w: F.struct(
+                w["mark"].alias("mark"),
+                F.filter(F.slice(all_windows, w["i"] + 1, F.lit(min_words)), lambda x: x["mark"]["i"] == w["mark"]["i"]).alias("windows"),
+            ),
+        )
+        return F.transform(own, lambda w: reach(all_units, w["mark"], w["windows"], F.get(w["windows"], F.lit(0))["first"]))
+
+    def reach(all_units: Column, mark: Column, windows: Column, first: Column) -> Column:
+        last = F.element_at(windows, -1)["last"]
+        return F.struct(
+            mark["h"].alias("mark"), mark["at"].alias("at"),
+            F.transform(F.slice(all_units, first + 1, last - first + 1), lambda u: u["h"]).alias("lines"), (mark["i"] - first).alias("centre"),
+            F.transform(
+                windows,
+                lambda x: F.struct((x["first"] - first).alias("first"), (x["last"] - first).alias("last"), x["start"].alias("start"), x["stop"].alias("stop")),
+            ).alias("windows"),
+        )
 
+    def once(value: Column, use) -> Column:
+        """A lambda's argument is evaluated once, a repeated column expression would be each time."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``place``, ``version`` and ``lines``: per text the numbers of its lines inside later repeats."""
-    keyed = documents(docs).select(
+    return once(units, lambda u: once(stretch(u), lambda w: chosen(u, w)))
+
+
+def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per line that a window chooses: ``place`` and ``version`` of its text, and what ``_fingerprints`` gives."""
+    return documents(docs).select(
         F.coalesce("doc_id", F.lit(2**63 - 1)).alias("place"), F.xxhash64("text").alias("version"),
-        F.explode(_windows(F.split("text", "\n"), min_words)).alias("w"),
+        F.explode(_fingerprints(F.split("text", "\n"), min_words)).alias("w"),
+    ).select("place", "version", "w.*")
+
+
+def _extended(met: DataFrame) -> DataFrame:
+    """Extend each match with the head of its group: windows inside (``group`` NULL), and open ones with their new group.
+
+    Two places that share an open window agree with the head up to the same line, and both go on with the same one.
+    """
+    back = F.least("centre", "head.centre")
+    ahead = F.least(F.size("lines") - F.col("centre"), F.size("head.lines") - F.col("head.centre")) - 1
+
+    def steps(most: Column, way: int) -> Column:
+        def line(of: str, i: Column) -> Column:
+            return F.get(F.col(f"{of}lines"), F.col(f"{of}centre") + way * i)
+
+        return F.aggregate(
+            F.sequence(F.lit(0), most), F.lit(-1), lambda n, i: F.when((n == i - 1) & (line("", i) == line("head.", i)), i).otherwise(n)
+        )
+
+    met = met.withColumn("low", F.col("centre") - steps(back, -1)).withColumn("high", F.col("centre") + steps(ahead, 1))
+    nowhere = F.lit(None)
+
+    def part(group: Column, lines: Column, which) -> Column:
+        return F.struct(group.cast("long").alias("group"), lines.cast("array<long>").alias("lines"), F.filter("windows", which).alias("windows"))
+
+    def further(way: int, edge: str) -> Column:
+        return F.xxhash64("group", F.lit(way), F.col(edge) - F.col("centre"), F.get(F.col("lines"), F.col(edge) + way))
+
+    parts = F.array(
+        part(nowhere, nowhere, lambda w: (w["first"] >= F.col("low")) & (w["last"] <= F.col("high"))),
+        part(further(-1, "low"), F.col("lines"), lambda w: w["first"] < F.col("low")),
+        part(further(1, "high"), F.col("lines"), lambda w: (w["first"] >= F.col("low")) & (w["last"] > F.col("high"))),
     )
-    windows = materialize(
-        keyed.select("place", "version", "w.start", "w.stop", "w.content", F.col("w.mark.h").alias("mark"), F.col("w.mark.at").alias("at")).distinct(),
-        "line-windows",
+    return met.select("mark", "place", "version", "at", "centre", F.explode(F.filter(parts, lambda p: F.size(p["windows"]) > 0)).alias("p")).select(
+        "mark", "place", "version", "at", "centre", "p.*"
     )
-    marks = windows.select("mark", "place", "version", "at").distinct()
-    common = marks.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    again = windows.join(common, "mark", "left_semi")
-    # equal windows share their mark as well, so a chance collision takes both hashes
-    first = again.groupBy("content", "mark").agg(F.min(F.struct("place", "version", "start")).alias("first"))
-    later = again.join(first, ["content", "mark"]).where(F.struct("place", "version", "start") > F.col("first"))
-    return later.groupBy("place", "version").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("start", "stop")))).alias("lines")  # a text's own lines
+
+
+def _join(rows: DataFrame, groups: DataFrame, most: int, how: str = "inner") -> DataFrame:
+    """Join by ``mark`` and ``group``; rows of a group with more than ``most`` (``n``) stay where they are.
+
+    As many rows make at most ``LARGE`` such groups, which go to all tasks, so that no task gets a whole one.
+    """
+    keys = ["mark", "group"]
+    large = F.broadcast(groups.where(F.col("n") > most))
+    others = rows.join(large.select(keys), keys, "left_anti").join(groups.where(F.col("n") <= most), keys, how)
+    return rows.join(large, keys, how).unionByName(others)
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``place``, ``version`` and ``lines``: per text the numbers of its lines inside later repeats.
+
+    Places with a fingerprint in common are a group, the first of them is its head. The match of every other place with
+    the head is extended as far as the lines are equal. Places with windows beyond that meet again in smaller groups, of
+    those that go on with the same line. So each is compared with one other at a time, never all pairs. A group's
+    places agree in one line more each time, so there are at most ``2 * min_words`` rounds, whatever the input.
+    """
+    prints = materialize(fingerprints(docs, min_words).withColumn("group", F.lit(0).cast("long")), "line-fingerprints")
+    most = max(LARGE, prints.count() // LARGE)
+    common = materialize(prints.groupBy("mark", "group").agg(F.count("*").alias("n")).where("n > 1"), "line-marks")
+    open_ = materialize(_join(prints, common, most, "left_semi"), "line-matches")
+    where = F.struct("place", "version", "at")
+    rounds = [open_]
+    while not rounds[-1].isEmpty():
+        heads = open_.groupBy("mark", "group").agg(
+            F.count("*").alias("n"), F.min(where).alias("from"), F.max(where).alias("upto"), F.min_by(F.struct("lines", "centre"), where).alias("head")
+        ).where(F.col("from") < F.col("upto")).drop("upto")  # a repeated row is at the same place
+        met = _join(open_, materialize(heads, "line-heads"), most).where(where > F.col("from"))
+        rounds.append(materialize(_extended(met), "line-matches"))
+        open_ = rounds[-1].where("group is not null")
+    inside = functools.reduce(DataFrame.unionByName, rounds).where("group is null").select("place", "version", F.explode("windows").alias("w"))
+    return inside.groupBy("place", "version").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.sequence("w.start", "w.stop")))).alias("lines")  # a text's own lines
     )
 
 

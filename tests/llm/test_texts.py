@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import public_tokenizers
+import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -171,6 +172,59 @@ def test_repeated_lines_against_all_windows(documents, awkward):
     assert line_winnow.remove_repeats(documents).count() == len(awkward)
 
 
+def plain_windows(text, most=10):
+    """(line, content) of all lines with a word, and (first, last) of each window among them."""
+    units = [(k, x.strip(" \t\n\x0b\x0c\r"), len(x.split())) for k, x in enumerate(text.split("\n")) if x.split()]
+    found = []
+    for a in range(len(units)):
+        for b in range(a, len(units)):
+            if sum(u[2] for u in units[a : b + 1]) >= most:
+                found.append((a, b))
+                break
+    return units, found
+
+
+def random_lines(seed, kinds, words, texts=40, longest=40):
+    """Texts of few different lines, so that the same line stands in very many surroundings; some texts stand twice."""
+    rng = random.Random(seed)
+    lines = [" ".join([f"k{i}", *(f"w{rng.randrange(50)}" for _ in range(rng.randint(0, words)))]) for i in range(kinds)]
+    rows = [(i, "\n".join(rng.choice([*lines, ""]) for _ in range(rng.randint(0, longest)))) for i in range(texts)]
+    return rows + rows[:3]
+
+
+def test_only_lines_chosen_by_windows_are_kept_as_fingerprints(spark):
+    rows = random_lines(3, 30, 4)
+    prints = line_winnow.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    of = {}
+    for r in prints:
+        of.setdefault(r.place, set()).add((r.at, r.mark, tuple(r.lines), r.centre, tuple((w.first, w.last, w.start, w.stop) for w in r.windows)))
+    values = sorted({u[1] for _, text in rows for u in plain_windows(text)[0]})
+    hashes = {r.x: r.h for r in spark.createDataFrame([(v,) for v in values], "x string").selectExpr("x", "xxhash64(x) as h").collect()}
+    n_windows = 0
+    for i, text in dict(rows).items():
+        units, windows = plain_windows(text)
+        want = {}
+        for a, b in windows:  # the rightmost of the smallest hashes
+            want.setdefault(max(range(a, b + 1), key=lambda k: (-hashes[units[k][1]], k)), []).append((a, b))
+        n_windows += len(windows)
+        assert of.get(i, set()) == {
+            (
+                units[k][0], hashes[units[k][1]], tuple(hashes[u[1]] for u in units[own[0][0] : own[-1][1] + 1]), k - own[0][0],
+                tuple((a - own[0][0], b - own[0][0], units[a][0], units[b][0]) for a, b in own),
+            )
+            for k, own in want.items()
+        }
+    assert sum(map(len, of.values())) < 0.7 * n_windows
+
+
+@pytest.mark.parametrize(("kinds", "words", "large"), [(3, 1, 1000), (6, 3, 3), (25, 2, 3), (4, 11, 1000)])
+def test_matches_are_extended_from_fingerprints_as_far_as_lines_are_equal(spark, monkeypatch, kinds, words, large):
+    monkeypatch.setattr(line_winnow, "LARGE", large)  # 3: most groups are joined without moving their rows
+    rows = random_lines(kinds, kinds, words)
+    done = line_winnow.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert rows_of(done, "doc_id", "text", "n_removed", "n_runs") == plain_lines(rows)
+
+
 def test_documents_of_repeated_lines_go_and_others_stay_whole(documents, awkward):
     left = line_winnow.without_repeats(documents)
     assert left.columns == documents.columns

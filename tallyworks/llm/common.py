@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyworks.session import configure, materialize, shared_dir
 
-__all__ = ["Memo", "arrow_map", "components", "documents", "forget", "materialize", "remembered", "shared_dir", "table"]
+__all__ = [
+    "Memo", "arrow_map", "components", "documents", "forget", "map_in_arrow", "materialize", "release", "remembered", "shared_dir", "table",
+]
 
 _REMEMBERED: dict = {}
 
@@ -49,13 +53,35 @@ class Memo(dict):
 def remembered(key: tuple, make: Callable):
     """What a worker keeps from task to task: the latest such thing only, for workers pass from operator to operator."""
     if key not in _REMEMBERED:
-        _REMEMBERED.clear()
+        forget()
         _REMEMBERED[key] = make()
     return _REMEMBERED[key]
 
 
 def forget() -> None:
-    _REMEMBERED.clear()
+    if _REMEMBERED:
+        _REMEMBERED.clear()
+        gc.collect()  # a thing and its memos refer to each other, so it would stay until Python looks for such circles
+        release()
+
+
+def release() -> None:
+    """Give memory that is free back to the system: workers, idle ones too, stay for tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux has it
+    if trim is not None:
+        trim(0)
+
+
+def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` of an operator that remembers nothing: drops what an earlier one left, and leaves no free memory."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(whole, schema)
 
 
 def arrow_map(
@@ -78,7 +104,7 @@ def arrow_map(
                 out = rows(batch.slice(at, step).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
                 del out
-        pa.default_memory_pool().release_unused()  # workers are used again, by tasks of other operators
+                release()
 
     return df.mapInArrow(run, schema)
 

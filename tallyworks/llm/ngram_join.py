@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import Memo, arrow_map, components, documents, materialize
+from tallyworks.llm.common import Memo, arrow_map, components, documents, map_in_arrow, materialize
 
 #: Documents of a longer column are compared in blocks of this many rows or n-grams, inside tasks; shorter ones give pairs of rows.
 LONG, BLOCK, BLOCK_NGRAMS = 64, 2048, 500_000
@@ -254,7 +254,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
             yield pa.RecordBatch.from_pydict({"a": [a[i] for i in keep], "b": [b[i] for i in keep]}, schema=target)
 
     target = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    return both.mapInArrow(run, "a long, b long")
+    return map_in_arrow(both, run, "a long, b long")
 
 
 def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import Memo, arrow_map, documents, forget, materialize, remembered
+from tallyworks.llm.common import Memo, arrow_map, documents, map_in_arrow, materialize, remembered
 
 END_ID = 1
 #: Documents of one length that are ranked in one task.
@@ -137,7 +137,6 @@ def pack(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
     shared = spark.sparkContext.broadcast(table[np.argsort(table[:, 0])])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forget()  # the encoder has done its part
         start, first, per_bin, offset = shared.value.T
         for batch in batches:
             length, rank = batch["length"].to_numpy(), batch["_rank"].to_numpy()
@@ -149,7 +148,7 @@ def pack(pieces: DataFrame, size: int, order: list[str]) -> DataFrame:
 
     names = pieces.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    return map_in_arrow(ranked, place, f"{fields}, sequence_id long, offset long")
 
 
 #: White space of the vocabulary, and control characters that str.split takes for it, too.

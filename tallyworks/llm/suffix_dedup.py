@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import documents, materialize
+from tallyworks.llm.common import documents, map_in_arrow, materialize
 
 GRAM = 16
 #: Bytes of text hashed at a time; positions in it fit into the low bits of a gram's rank.
@@ -253,7 +253,7 @@ def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 names=["bucket", "doc_id", "version", "data"],
             )
 
-    return docs.mapInArrow(run, "bucket long, doc_id long, version long, data binary")
+    return map_in_arrow(docs, run, "bucket long, doc_id long, version long, data binary")
 
 
 def _packed(rows: np.ndarray) -> bytes:
@@ -307,7 +307,7 @@ def _squeezed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([data if n == "text" else batch[n] for n in batch.schema.names], names=batch.schema.names)
 
     fields = ", ".join(f"`{f.name}` {'binary' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, fields)
+    return map_in_arrow(docs, run, fields)
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
@@ -367,7 +367,7 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
             )
         yield from passing
 
-    return found.mapInArrow(run, "doc_id long, version long, asked boolean, data binary")
+    return map_in_arrow(found, run, "doc_id long, version long, asked boolean, data binary")
 
 
 def _surroundings(length: int) -> np.dtype:
@@ -410,7 +410,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> Data
                     names=["bucket", "data"],
                 )
 
-    return _squeezed(docs).join(rows, ["doc_id", "version"]).mapInArrow(run, "bucket long, data binary")
+    return map_in_arrow(_squeezed(docs).join(rows, ["doc_id", "version"]), run, "bucket long, data binary")
 
 
 def repeated(rows: np.ndarray, length: int) -> np.ndarray:
@@ -465,7 +465,7 @@ def _sort(fetched: DataFrame, length: int) -> DataFrame:
                 [pa.array(docs, pa.int64()), pa.array(versions, pa.int64()), pa.array(ranges, pa.binary())], names=["doc_id", "version", "data"]
             )
 
-    return fetched.mapInArrow(run, "doc_id long, version long, data binary")
+    return map_in_arrow(fetched, run, "doc_id long, version long, data binary")
 
 
 def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
@@ -491,7 +491,7 @@ def _cut(rows: DataFrame, carried: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("doc_id", *carried)), *made], names=["doc_id", *carried, *out])
 
     fields = "".join(f"`{name}` {rows.schema[name].dataType.simpleString()}, " for name in carried)
-    return rows.mapInArrow(run, f"doc_id long, {fields}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return map_in_arrow(rows, run, f"doc_id long, {fields}n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] | None = None) -> DataFrame:
@@ -535,7 +535,7 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
             yield batch.append_column("_text", pa.array(texts, pa.string()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
-    cut = cut.mapInArrow(readable, f"{fields}, _text string")
+    cut = map_in_arrow(cut, readable, f"{fields}, _text string")
     changed = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)

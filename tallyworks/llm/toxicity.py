@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import arrow_map, documents, materialize
+from tallyworks.llm.common import arrow_map, documents, map_in_arrow, materialize, release
 
 #: Labelled rows to learn from at most, per label (0, 1), those first in the order of a hash of their id.
 EXAMPLES = {0: 1000, 1: 1000}
@@ -212,13 +212,16 @@ def document_frequency(docs: DataFrame, vocabulary: np.ndarray, shared) -> tuple
             for k in range(0, batch.num_rows, TEXTS):
                 _, terms, _ = count_terms(batch["text"].slice(k, TEXTS).to_pylist(), shared.value)
                 seen += np.bincount(terms.astype(np.int64), minlength=size)  # once for each text, however often it names the term
+                del terms
+                release()
         at = np.append(np.flatnonzero(seen), size)
         n = np.append(seen[at[:-1]], rows)
         for k in range(0, len(at), 100_000):
             part = slice(k, k + 100_000)
             yield pa.RecordBatch.from_arrays([pa.array(at[part], pa.int32()), pa.array(n[part], pa.int64())], schema=schema)
 
-    sums = documents(docs).select("text").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # <= size + 1 rows
+    counted = map_in_arrow(documents(docs).select("text"), run, "t int, n long")
+    sums = counted.groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # <= size + 1 rows
     out = np.zeros(size + 1, np.int64)
     out[sums["t"].to_numpy()] = sums["n"].to_numpy()
     return out[:-1], int(out[-1])

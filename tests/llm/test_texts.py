@@ -1,10 +1,12 @@
 """Tokens, packing, quality rules and lines against plain versions."""
 
 import base64
+import gc
 import hashlib
 import random
 import re
 import time
+import weakref
 import zlib
 from collections import Counter
 
@@ -13,7 +15,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from tallyworks.llm import bpe_replay, line_winnow, packing, quality_rules, token_counts
+from tallyworks.llm import bpe_replay, common, line_winnow, packing, quality_rules, token_counts
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -253,3 +255,42 @@ def test_empty_tables(documents):
         line_winnow.without_repeats(none),
     ]
     assert [f.count() for f in frames] == [0] * len(frames)
+
+
+def test_what_a_worker_forgets_goes_at_once():
+    encoder = weakref.ref(packing.Encoder.load(WORDS, 1000))
+    encoder().encode("some words, to remember")
+    gc.disable()  # its memos refer to it
+    try:
+        common.forget()
+        assert encoder() is None
+    finally:
+        gc.enable()
+
+
+def test_other_operators_tasks_drop_what_was_remembered(spark):
+    def remember(batches):
+        common.remembered(("thing",), dict)
+        yield from batches
+
+    def look(batches):
+        yield from batches
+        assert not common._REMEMBERED
+
+    numbers = spark.range(4).coalesce(1)
+    for _ in range(2):
+        assert numbers.mapInArrow(remember, "id long").count() == 4
+        assert common.map_in_arrow(numbers, look, "id long").count() == 4
+
+
+def test_free_memory_goes_back_to_the_system():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4 / 1024
+
+    before = held()
+    things = [bytearray(20_000) for _ in range(10_000)]
+    last = bytearray(20_000)  # nothing below it can go by itself
+    del things
+    common.release()
+    assert held() < before + 100 and last is not None

@@ -18,7 +18,7 @@ from tallyworks.llm.common import documents, materialize
 SPACES = " \t\n\x0b\x0c\r"
 SPACE = "[ \\t-\\r]+"
 MIN_WORDS = 10
-#: Groups that may be joined by broadcast, and rows that make a group a large one if the whole input has few.
+#: Groups of fingerprints that may be joined by broadcast, and rows that make a group a large one if the whole input has few.
 LARGE = 1000
 
 
@@ -138,7 +138,8 @@ def _extended(met: DataFrame) -> DataFrame:
 def _join(rows: DataFrame, groups: DataFrame, most: int, how: str = "inner") -> DataFrame:
     """Join by ``mark`` and ``group``; rows of a group with more than ``most`` (``n``) stay where they are.
 
-    As many rows make at most ``LARGE`` such groups, which go to all tasks, so that no task gets a whole one.
+    Fingerprints make at most ``LARGE`` such groups, open windows ``min_words`` times as many. These few rows go to all
+    tasks, so that no task gets a whole group.
     """
     keys = ["mark", "group"]
     large = F.broadcast(groups.where(F.col("n") > most))

@@ -73,6 +73,20 @@ def release() -> None:
         trim(0)
 
 
+#: Bytes of rows, about, that go to a worker at a time. Spark's 64 MB hold all of a task's texts, which then stand in the
+#: JVM (twice while its buffers grow) and in the worker at once, for every task that runs.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends workers ``BATCH_BYTES`` at a time, unless somebody chose a limit. Frames are run later, so it stays set."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, None) is None:
+        conf.set(_BATCH_KEY, str(BATCH_BYTES))
+    return df
+
+
 def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` of an operator that remembers nothing: drops what an earlier one left, and leaves no free memory."""
 
@@ -81,7 +95,7 @@ def map_in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterat
         yield from run(batches)
         release()
 
-    return df.mapInArrow(whole, schema)
+    return in_small_batches(df).mapInArrow(whole, schema)
 
 
 def arrow_map(
@@ -106,7 +120,7 @@ def arrow_map(
                 del out
                 release()
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def components(edges: DataFrame, purpose: str = "links") -> DataFrame:

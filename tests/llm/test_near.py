@@ -7,10 +7,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tallyworks.llm import ngram_join, pivots, suffix_dedup, toxicity
+from tallyworks.llm import common, ngram_join, pivots, suffix_dedup, toxicity
 from tallyworks.llm.common import components
 from tests.conftest import SMALL
 
@@ -315,6 +316,21 @@ def test_awkward_labels(spark, documents, awkward):
     assert kept.columns == documents.columns
 
 
+def test_workers_get_a_few_texts_at_a_time(spark):
+    """A batch of all texts of a task stands in the JVM and in its worker, for each task of an executor."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(0, 9000, 1, 1).selectExpr("id", "repeat('some text ', 200) as text")
+    found = common.map_in_arrow(texts, sizes, "n long, size long").collect()
+    assert sum(r.n for r in found) == 9000 and max(r.size for r in found) < 2 * common.BATCH_BYTES
+    other = spark.newSession()
+    other.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1000")
+    common.in_small_batches(other.range(1))
+    assert other.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("1000", "1000b")
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     n, columns = docs.count(), docs.columns

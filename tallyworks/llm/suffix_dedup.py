@@ -218,7 +218,20 @@ def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = stop
 
 
-def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
+def version_bytes(ids: DataFrame) -> int:
+    """How many bytes of the hash ``version`` tell all texts of one ``doc_id`` apart: none if no id has several texts.
+
+    An id's smallest and largest hash are compared per value of these bytes, which Spark combines before it moves them.
+    """
+    for size in (0, 1, 2, 3, 4, 6):
+        kept = F.col("version").bitwiseAND(F.lit((1 << 8 * size) - 1).cast("long"))
+        texts = ids.groupBy("doc_id", kept.alias("kept")).agg(F.min("version").alias("first"), F.max("version").alias("last"))
+        if texts.where("first < last").isEmpty():
+            return size
+    return 8
+
+
+def _find(docs: DataFrame, length: int, buckets: int, mark: int) -> DataFrame:
     """Per portion and bucket the anchors as packed rows; ranges already known to repeat go with their document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,40 +262,42 @@ def _find(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             cuts = np.flatnonzero(_changes(bucket)).tolist() if len(rows) else []
             none = pa.array([None] * len(cuts), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts], pa.int64()), none, none, pa.array([_packed(rows[x:y]) for x, y in pairwise([*cuts, len(rows)])] if cuts else [], pa.binary())],
+                [pa.array(bucket[cuts], pa.int64()), none, none, pa.array([_packed(rows[x:y], mark) for x, y in pairwise([*cuts, len(rows)])] if cuts else [], pa.binary())],
                 names=["bucket", "doc_id", "version", "data"],
             )
 
     return map_in_arrow(docs, run, "bucket long, doc_id long, version long, data binary")
 
 
-def _packed(rows: np.ndarray) -> bytes:
-    """Columns one after the other in the order of the texts, where most differences are small.
+def _planes(column: np.ndarray, size: int) -> bytes:
+    """The lowest ``size`` bytes of whole numbers: first bytes of all, then second ones. Most of them compress well."""
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T[:size].tobytes()
+
+
+def _packed(rows: np.ndarray, mark: int) -> bytes:
+    """Columns one after the other in the order of the texts, the first text's number first; versions have ``mark`` bytes.
 
     48 bits of each hash are kept. Grams that agree in them by chance are told apart by their bytes later on.
     """
     rows = rows[np.lexsort((rows["at"], rows["version"], rows["doc"]))]
-    columns = [
-        rows["gram"].astype("<u4"), (rows["gram"] >> np.uint64(32)).astype("<u2"), rows["around"].astype("<u4"),
-        (rows["around"] >> np.uint64(32)).astype("<u2"), np.diff(rows["doc"], prepend=0), np.diff(rows["version"], prepend=0), np.diff(rows["at"], prepend=np.int32(0)),
-        rows["lo"], rows["hi"],
-    ]
-    return _squeeze(np.int64(len(rows)).tobytes() + b"".join(c.tobytes() for c in columns))
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    data = _loosen(data)
-    n = int(np.frombuffer(data[:8], "<i8")[0])
-    columns, at = [], 8
-    for kind in ("<u4", "<u2", "<u4", "<u2", "<i8", "<i8", "<i4", "<u2", "<u2"):
-        size = np.dtype(kind).itemsize * n
-        columns.append(np.frombuffer(data[at : at + size], kind))
-        at += size
-    rows = np.empty(n, _ROW)
-    rows["gram"] = columns[0].astype(np.uint64) | columns[1].astype(np.uint64) << np.uint64(32)
-    rows["around"] = columns[2].astype(np.uint64) | columns[3].astype(np.uint64) << np.uint64(32)
-    rows["doc"], rows["version"], rows["at"] = (np.cumsum(c, dtype=c.dtype) for c in columns[4:7])
-    rows["lo"], rows["hi"] = columns[7:]
+    columns = {name: np.ascontiguousarray(rows[name]) for name in _ROW.names} | {"doc": np.diff(rows["doc"], prepend=0)}
+    return _squeeze(np.int64(len(rows)).tobytes() + b"".join(_planes(columns[name], size) for name, size in _kept_bytes(mark)))
+
+
+def _kept_bytes(mark: int) -> list[tuple[str, int]]:
+    return [("gram", 6), ("around", 6), ("doc", 8), ("version", mark), ("at", 4), ("lo", 2), ("hi", 2)]
+
+
+def _unpacked(data: bytes, mark: int) -> np.ndarray:
+    data = np.frombuffer(_loosen(data), np.uint8)
+    n, at = int(data[:8].view("<i8")[0]), 8
+    rows = np.zeros(n, _ROW)
+    for name, size in _kept_bytes(mark):
+        whole = np.zeros((n, _ROW[name].itemsize), np.uint8)
+        whole[:, :size] = data[at : at + n * size].reshape(size, n).T
+        rows[name] = whole.view(_ROW[name]).ravel()
+        at += n * size
+    rows["doc"] = np.cumsum(rows["doc"])
     return rows
 
 
@@ -327,7 +342,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
 _ASK = np.dtype([("gram", "<u8"), ("at", "<i4"), ("lo", "<u2"), ("hi", "<u2")])
 
 
-def _compare(found: DataFrame, length: int) -> DataFrame:
+def _compare(found: DataFrame, length: int, mark: int) -> DataFrame:
     """Per bucket: ranges that repeat an equal surrounding (``asked`` false), and the anchors whose surroundings differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +359,7 @@ def _compare(found: DataFrame, length: int) -> DataFrame:
         for _, blobs in _by_bucket(anchors_only()):
             yield from passing
             passing.clear()
-            rows, ranges = _origins(np.concatenate([_unpacked(b) for b in blobs]), length)
+            rows, ranges = _origins(np.concatenate([_unpacked(b, mark) for b in blobs]), length)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(x, pa.int64()) for x in ranges[:2]), pa.array([False] * len(ranges[0]), pa.bool_()), pa.array(ranges[2], pa.binary())], names=names,
             )
@@ -406,7 +421,7 @@ def _fetch(docs: DataFrame, asked: DataFrame, length: int, buckets: int) -> Data
                 cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist() if len(out) else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket[cuts], pa.int64()),
-                     pa.array([out[a:b].tobytes() for a, b in pairwise([*cuts, len(out)])] if cuts else [], pa.binary())],
+                     pa.array([_squeeze(out[a:b].tobytes()) for a, b in pairwise([*cuts, len(out)])] if cuts else [], pa.binary())],
                     names=["bucket", "data"],
                 )
 
@@ -457,7 +472,7 @@ def _sort(fetched: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in _by_bucket(batches):
-            rows = np.frombuffer(b"".join(blobs), kind)
+            rows = np.frombuffer(b"".join(map(_loosen, blobs)), kind)
             hit, x = np.nonzero(repeated(rows, length))
             begin = rows["at"][hit] - x
             docs, versions, ranges = _merged(rows["doc"][hit], rows["version"][hit], begin, begin + length)
@@ -500,21 +515,23 @@ def remove_repeats(docs: DataFrame, length: int = 50, carry: dict[str, Column] |
     Every byte that a string of ``length`` bytes covers which also starts in a document of a smaller ``doc_id`` goes;
     strings are judged on the input. A NULL text is the empty one. A row without ``doc_id`` loses nothing and repeats
     nothing. Rows that repeat an id are not earlier than each other, and each is cut by its own text's ranges: texts of
-    one id are told apart by a 64-bit hash. Other columns are not read, but for those that ``carry`` takes along under new names; an
+    one id are told apart by a 64-bit hash, of which only as many bytes are moved as differ. Other columns are not read, but for those that ``carry`` takes along under new names; an
     empty table gives an empty result.
     """
     if length < GRAM:
         raise ValueError(f"strings shorter than {GRAM} bytes have no anchor")
     carry = carry or {}
+    ids = documents(docs).where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("version"), F.octet_length("text").alias("size"))
+    ids = materialize(ids, "text-versions")
+    mark, total = version_bytes(ids), ids.agg(F.sum("size")).first()[0] or 0
+    version = F.xxhash64("text") if mark == 8 else F.xxhash64("text").bitwiseAND(F.lit((1 << 8 * mark) - 1).cast("long"))
     whole = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *[c.alias(n) for n, c in carry.items()]
-    ).withColumn("version", F.xxhash64("text"))
-    docs = documents(docs).withColumn("version", F.xxhash64("text"))
-    known = docs.where("doc_id is not null")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ).withColumn("version", version)
+    known = documents(docs).withColumn("version", version).where("doc_id is not null")
     buckets = max(16, -(-total // BUCKET_BYTES))
-    found = _find(known, length, buckets).repartition("bucket").sortWithinPartitions("bucket")
-    compared = materialize(_compare(found, length), "compared")
+    found = _find(known, length, buckets, mark).repartition("bucket").sortWithinPartitions("bucket")
+    compared = materialize(_compare(found, length, mark), "compared")
     fetched = _fetch(known, compared.where("asked"), length, buckets).repartition("bucket").sortWithinPartitions("bucket")
     ranges = compared.where("not asked").select("doc_id", "version", "data").unionByName(_sort(fetched, length))
     ranges = ranges.groupBy("doc_id", "version").agg(F.collect_list("data").alias("parts"))  # ranges within one text
@@ -526,8 +543,8 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     Texts that repeat nothing stay as they are, NULL among them; all rows and columns are kept.
     """
-    names = {c: f"_{i}" for i, c in enumerate(docs.columns)}
-    cut = remove_repeats(docs, length, {n: F.col(c) for c, n in names.items()})
+    names = {c: f"_{i}" for i, c in enumerate(docs.columns) if c != "text"}  # the text moves once, compressed
+    cut = remove_repeats(docs, length, {n: F.col(c) for c, n in names.items()} | {"_null": F.col("text").isNull()})
 
     def readable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -536,10 +553,8 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
     cut = map_in_arrow(cut, readable, f"{fields}, _text string")
-    changed = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
-    return cut.select(*[
-        F.when(F.col("n_removed") > 0, changed[c]).otherwise(F.col(names[c])).alias(c) if c in changed else F.col(names[c]).alias(c)
-        for c in docs.columns
-    ])
+    out = {"text": F.when(~F.col("_null"), F.col("_text"))}
+    if "n_chars" in names:
+        count = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col("n_removed") > 0, count).otherwise(F.col(names["n_chars"]))
+    return cut.select(*[out[c].alias(c) if c in out else F.col(names[c]).alias(c) for c in docs.columns])

@@ -92,9 +92,11 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to ``path`` and read it back.
 
     Cuts the lineage in a way that survives lost executors, computes the frame once for several readers, and gives the
-    planner its true size, on which broadcast decisions then rest.
+    planner its true size, on which broadcast decisions then rest. What the job shuffled goes when it is written, not
+    when the driver happens to collect its garbage.
     """
-    df.write.parquet(path)
+    with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

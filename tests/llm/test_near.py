@@ -215,6 +215,32 @@ def test_texts_of_one_id_are_cut_by_their_own_ranges(spark):
     assert Counter(tuple(r[c] for c in columns) for r in found.collect()) == plain_strings(rows, 50)
 
 
+def test_anchors_of_single_texts_need_few_bytes():
+    """What is moved per anchor: two hashes of 48 bits and its place; ids that have one text each need no hash of the text."""
+    chance = np.random.default_rng(19)
+    rows = np.zeros(400, suffix_dedup._ROW)
+    for name, most in (("gram", 1 << 48), ("around", 1 << 48), ("doc", 2000), ("at", 4000), ("lo", 35), ("hi", 35)):
+        rows[name] = chance.integers(0, most, len(rows))
+    assert len(suffix_dedup._packed(rows, 0)) < 18 * len(rows)
+    rows["doc"][:50] -= 1 << 40
+    for mark in (0, 1, 3, 8):
+        rows["version"] = chance.integers(0, 1 << 8 * mark, len(rows)) if mark < 8 else chance.integers(-(1 << 63), 1 << 62, len(rows))
+        left = suffix_dedup._unpacked(suffix_dedup._packed(rows, mark), mark)
+        assert sorted(left.tolist()) == sorted(rows.tolist())
+
+
+def test_texts_of_one_id_are_told_apart_by_as_many_bytes_as_it_takes(spark):
+    chance = random.Random(20)
+    say = lambda n: "".join(chance.choice("abcdefgh ") for _ in range(n))
+    passage = say(60)
+    rows = [(1, passage), (2, None), (2, "")] + [(5, say(30) + passage[chance.randint(0, 10) :] + say(chance.randint(0, 30))) for _ in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ids = frame.selectExpr("doc_id", "xxhash64(coalesce(text, '')) version")
+    assert suffix_dedup.version_bytes(ids) in (2, 3) and suffix_dedup.version_bytes(ids.where("doc_id < 5")) == 0
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r[c] for c in columns) for r in suffix_dedup.remove_repeats(frame).collect()) == plain_strings(rows, 50)
+
+
 def test_strings_of_long_texts_cross_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 500)
     chance = random.Random(3)
@@ -232,6 +258,21 @@ def test_texts_without_repeated_strings(documents, awkward):
     assert suffix_dedup.remove_repeats(documents.where("false")).count() == 0
 
 
+def test_texts_move_once_and_written_frames_leave_no_shuffle(spark, documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(suffix_dedup, "_cut", lambda rows, carried, cut=suffix_dedup._cut: seen.append(rows) or cut(rows, carried))
+    left = suffix_dedup.without_repeats(documents)
+    assert [f.name for f in seen[0].schema if f.dataType.simpleString() in ("string", "binary")].count("text") == 1
+    whole = {r.doc_id: r.text for r in documents.where("doc_id in (1, 2, 40, 50)").collect()}
+    assert {r.doc_id: r.text for r in left.where("doc_id in (1, 2, 40, 50)").collect()} == whole
+    names = dict(zip(documents.columns, range(len(documents.columns)), strict=True))
+    assert f"_{names['text']}" not in seen[0].columns
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    common.materialize(spark.range(1000).selectExpr("id % 7 as g").groupBy("g").count(), "small")
+    assert tracker.shuffleStatuses().size() <= before
+
+
 def test_index_finds_the_nearest_exactly():
     chance = random.Random(12)
     vectors = []

@@ -3,13 +3,15 @@
 Documents by n-grams is a sparse 0/1 matrix, and its product with its transpose holds the overlaps. Columns are
 n-grams in one global order, the frequent ones last. Two documents similar enough share one of their first columns,
 as many as the size allows to miss, so only those columns are multiplied to find candidates, and a pair is discarded
-where its sizes and the positions of the shared column bound its overlap below what it needs. Surviving pairs go to
+where its sizes and the positions of the first shared column bound its overlap below what it needs. Surviving pairs go to
 blocks by one of their documents, where the full overlaps are accumulated over all columns. Nodes are classes of
 equal sets, named by the set's hash, so that rows of one id with different texts are kept apart.
 
 Components are asked for, not all pairs: first every column links its documents to the smallest one of about their
-size; then only columns that still hold several components are multiplied in full, and of the links found in a block of a long
-column those are given that connect as much as all of them.
+size; then only columns that still hold several components are multiplied in full. Their rows are compared inside tasks,
+first by sizes and positions, then what is left by bitmaps; a column gives its pairs only while they are few for its rows,
+else its rows. Rows left in the end are compared by full overlaps, and of the links found in a block those are given
+that connect as much as all of them. So every step gives at most a few rows for each of its input.
 """
 
 from __future__ import annotations
@@ -19,13 +21,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import Memo, arrow_map, components, documents, map_in_arrow, materialize
 
-#: Documents of a longer column are compared in blocks of this many rows or n-grams, inside tasks; shorter ones give pairs of rows.
-LONG, BLOCK, BLOCK_NGRAMS = 64, 2048, 500_000
+#: Columns are compared in blocks of BLOCK rows (BLOCK_NGRAMS n-grams where sets move). A block gives pairs while a row has no
+#: more of them than in a column of LONG rows, (LONG - 1) / 2 on the average, else the rows that have a pair.
+LONG, BLOCK, BLOCK_NGRAMS = 5, 2048, 500_000
+
+#: Pairs compared at a time, and words of their bitmaps.
+PAIRS, PAIR_WORDS = 1 << 18, 1 << 20
+
+#: Columns that go with a row, so that most pairs with several shared columns are seen in the first of them only.
+FIRST = 8
 
 #: N-grams whose frequency is used for the order, at most; it decides only how fast candidates are found.
 FREQUENT = 200_000
@@ -183,12 +192,155 @@ def _index(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _possible(a: str, b: str, percent: int) -> str:
-    """Whether sizes and positions of a shared column allow the overlap that two documents need."""
+    """Whether sizes and positions of a column allow the overlap that two documents need, if it is the first they share."""
     sizes = f"100 * least({a}.n, {b}.n) >= {percent} * greatest({a}.n, {b}.n)"
-    most = f"least({a}.pos, {b}.pos) + least({a}.n - {a}.pos, {b}.n - {b}.pos)"
+    most = f"least({a}.n - {a}.pos, {b}.n - {b}.pos)"
     return f"{sizes} and {100 + percent} * cast({most} as bigint) >= {percent} * (cast({a}.n as bigint) + {b}.n)"
 
 
+def pairs_of_groups(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows ``i < j`` of one group, about ``PAIRS`` at a time; ``ends`` has the end of each row's group."""
+    later = ends - np.arange(len(ends)) - 1
+    before = np.concatenate([[0], np.cumsum(later)])
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(before, before[at] + PAIRS, "right")) - 1)
+        i = np.repeat(np.arange(at, to), later[at:to])
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(before[at:to] - before[at], later[at:to])
+        at = to
+
+
+class Bitmaps:
+    """Bitmaps of rows, compared pair by pair in the shorter one's size."""
+
+    def __init__(self, marks: list[bytes]) -> None:
+        self.size = np.array([len(x) // 8 for x in marks], np.int64)
+        self.at, self.words = np.zeros((2, len(marks)), np.int64), {}
+        for size in np.unique(self.size):
+            for k, longer in enumerate((size, 2 * size)):  # in longer ones yet, near() rules out nothing
+                rows = np.flatnonzero(self.size == longer)
+                self.at[k, rows] = np.arange(len(rows)) + (len(self.words[size]) if k else 0)
+                words = np.array([_folded(marks[r], size) for r in rows], np.uint64).reshape(len(rows), size)
+                self.words[size] = np.vstack([self.words[size], words]) if k else words
+
+    def near(self, i: np.ndarray, j: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+        """Which pairs differ in at most ``allowed`` bits, never false where the n-grams differ in no more."""
+        out, shorter = np.ones(len(i), bool), np.minimum(self.size[i], self.size[j])
+        for size in np.unique(shorter):
+            words = self.words[size]
+            these = np.flatnonzero((shorter == size) & (np.maximum(self.size[i], self.size[j]) <= 2 * size))
+            step = max(1, PAIR_WORDS // int(size))
+            for part in (these[k : k + step] for k in range(0, len(these), step)):
+                left, right = (words[np.where(self.size[x] == size, self.at[0, x], self.at[1, x])] for x in (i[part], j[part]))
+                out[part] = np.bitwise_count(left ^ right).sum(1, dtype=np.int64) <= allowed[part]
+        return out
+
+
+class Earlier:
+    """The first columns of rows, up to the column whose position is ``pos``."""
+
+    def __init__(self, firsts: list[list[int]], pos: np.ndarray) -> None:
+        sizes = np.array([len(x) for x in firsts], np.int64)
+        self.held = np.arange(FIRST) < np.minimum(sizes, pos)[:, None]
+        self.columns = np.zeros((len(firsts), FIRST), np.int64)
+        self.columns[np.arange(FIRST) < sizes[:, None]] = [h for x in firsts for h in x]
+
+    def shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs certainly share one of them; others may share a later one."""
+        out, columns, held = np.zeros(len(i), bool), self.columns[j], self.held[j]
+        for k in range(FIRST):
+            out |= ((self.columns[i, k][:, None] == columns) & held).any(1) & self.held[i, k]
+        return out
+
+
+def narrowed(
+    rows: dict[str, np.ndarray], marks: list[bytes] | None, firsts: list[list[int]] | None, percent: int, long: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs ``i``, ``j`` and single rows that hold every pair of one column and block that may be similar enough.
+
+    ``rows`` are in the order of ``h``, ``lo``, ``hi``. A pair is looked for where its first shared column stands: there
+    the overlap is no more than what follows in either document. Where ``firsts`` show a pair to share an earlier
+    column it is left to that one. Rows of one component need no comparison.
+    """
+    starts, ends = _borders(rows)
+    group, ends = np.repeat(np.arange(len(starts)), ends - starts), np.repeat(ends, ends - starts)
+    n, left, node, own = rows["n"], rows["n"] - rows["pos"], rows["component"], rows["own"]
+    alone, bitmaps = rows["lo"] == rows["hi"], Bitmaps(marks) if marks is not None else None
+    earlier = Earlier(firsts, rows["pos"]) if firsts is not None else None
+    size, many = np.bincount(group, minlength=len(starts)), np.zeros(len(starts), np.int64)
+    found, held = np.zeros(len(n), bool), []
+    for i, j in pairs_of_groups(ends):
+        near = (node[i] != node[j]) & (alone[i] | (own[i] != own[j]))
+        i, j = i[near], j[near]
+        total = n[i] + n[j]
+        need = -(-percent * total // (100 + percent))
+        near = (np.minimum(left[i], left[j]) >= need) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        i, j, allowed = i[near], j[near], (total - 2 * need)[near]
+        if bitmaps is not None:
+            near = bitmaps.near(i, j, allowed)
+            i, j = i[near], j[near]
+        if earlier is not None:
+            first = ~earlier.shared(i, j)
+            i, j = i[first], j[first]
+        found[i] = found[j] = True
+        many += np.bincount(group[i], minlength=len(starts))
+        few = 2 * many[group[i]] <= (long - 1) * size[group[i]]
+        held.append((i[few], j[few]))
+    few = 2 * many <= (long - 1) * np.bincount(group[found], minlength=len(starts))
+    i, j = (np.concatenate([x[k] for x in held] or [np.empty(0, np.int64)]) for k in (0, 1))
+    return i[few[group[i]]], j[few[group[i]]], np.flatnonzero(found & ~few[group])
+
+
+def _borders(rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs equal in ``h``, ``lo``, ``hi``."""
+    other = np.zeros(len(rows["h"]), bool)
+    other[:1] = True
+    for name in ("h", "lo", "hi"):
+        other[1:] |= rows[name][1:] != rows[name][:-1]
+    starts = np.flatnonzero(other)
+    return starts, np.append(starts[1:], len(other))
+
+
+_ROWS = ["h", "lo", "hi", "own", "key", "n", "pos", "component"]
+
+
+def _narrow(rows: DataFrame, percent: int) -> DataFrame:
+    """``key`` and ``other`` of pairs, and rows as they came with a NULL ``other``, by sizes and positions or, where ``rows`` have them, by bitmaps."""
+    marked, most = "sketch" in rows.columns, LONG
+    target = pa.schema([(x, pa.int64()) for x in (*_ROWS, "other")])
+
+    def compared(table: pa.Table, rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        marks, firsts = (table[x].to_pylist() if marked else None for x in ("sketch", "first"))
+        i, j, single = narrowed(rows, marks, firsts, percent, most)
+        at = np.concatenate([i, single])
+        other = pa.array(np.concatenate([rows["key"][j], rows["key"][single]]), mask=np.arange(len(at)) >= len(i))
+        return pa.RecordBatch.from_arrays([*(pa.array(rows[x][at]) for x in _ROWS), other], schema=target)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun = None  # a block may go on in the next batch
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = pa.concat_tables([begun, now]) if begun is not None else now
+            arrays = {x: now[x].to_numpy() for x in _ROWS}
+            cut = int(_borders(arrays)[0][-1]) if len(now) else 0
+            begun = now.slice(cut)
+            if cut:
+                yield compared(now.slice(0, cut), {x: v[:cut] for x, v in arrays.items()})
+        if begun is not None and len(begun):
+            yield compared(begun, {x: begun[x].to_numpy() for x in _ROWS})
+
+    numbers = rows.select(*(F.col(x).cast("long").alias(x) for x in _ROWS), *(["sketch", "first"] if marked else []))
+    dealt = numbers.repartition("h", "lo", "hi").sortWithinPartitions("h", "lo", "hi")
+    return map_in_arrow(dealt, run, ", ".join(f"{x} long" for x in (*_ROWS, "other")))
+
+
+def _blocks(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Every row once for each pair of blocks ``lo``, ``hi`` of its column that its own one is in; a hash of the key deals to them."""
+    dealt = rows.withColumn("blocks", blocks.cast("int")).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
+
+
 def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs whose bitmaps allow the overlap they need; only bitmaps move for the others."""
     side = lambda x: sketches.select(F.col("key").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"))
@@ -201,19 +353,14 @@ def _close(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return arrow_map(pairs.join(side("a"), "a").join(side("b"), "b"), rows, "a long, b long")
 
 
-def _links_in_long(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Verified links between the components that share a long column, at most as many as its rows.
+def _links_of_rows(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links between the components of rows that share a column, at most as many as its rows.
 
     A column's rows are dealt to blocks by a hash, as many as rows and n-grams ask for, and every pair of blocks is a
     group of its own that multiplies its part of the matrix: a whole column never comes together, and pairs stay in tasks.
     """
-    sizes = rows.groupBy("h").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_NGRAMS)).cast("int").alias("blocks")
-    )
-    dealt = rows.select("h", "key", "component").join(sizes, "h")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("other", "blocks")
+    sizes = rows.groupBy("h").agg(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_NGRAMS).alias("size"))
+    dealt = _blocks(rows.select("h", "key", "component").join(sizes, "h"), F.ceil("size")).drop("size")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         own, key = group["own"].to_numpy(), group["key"].to_numpy()
@@ -263,8 +410,8 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(wanted, ["doc_id", "version"]).dropDuplicates(["key"]).select("key", "text")
 
 
-def _pair_texts(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    return materialize(_texts(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("key"))), "pair-texts")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("key"))
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -301,7 +448,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     shared = entries.join(often.select("h"), "h").select("h", "n", "pos", "key", scaled.alias("size"))
     shared = materialize(shared, "ngram-columns")
 
-    sketches = known.where("sketch is not null").groupBy("key", "n").agg(F.min("sketch").alias("sketch"))
+    sketches = known.where("sketch is not null").groupBy("key", "n").agg(
+        F.min("sketch").alias("sketch"), F.min(F.slice("columns", 1, FIRST)).alias("first")
+    )
     sketches = materialize(sketches.join(shared.select("key").distinct(), "key", "left_semi"), "ngram-sketches")
 
     least = shared.groupBy("h", "size").agg(F.min(F.struct("n", "key", "pos")).alias("hub")).select("h", "size", "hub.*")
@@ -309,7 +458,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     pairs = shared.alias("x").join(near.alias("y"), ["h", "size"]).where("x.key <> y.key").where(_possible("x", "y", percent))
     pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
     pairs = materialize(_close(pairs, sketches, percent), "ngram-pairs")
-    links = _verify(pairs, _pair_texts(docs, classes, pairs), words, percent)
+    links = _verify(pairs, materialize(_texts(docs, classes, _ends(pairs)), "texts"), words, percent)
     links = materialize(links.unionByName(same_id), "ngram-links")
 
     groups = components(links, "ngram-components")
@@ -318,14 +467,21 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     )
     mixed = placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows"))
     mixed = materialize(placed.join(mixed.where("lo < hi").select("h", "rows"), "h"), "ngram-mixed")
-    short, long = mixed.where(F.col("rows") <= LONG), mixed.where(F.col("rows") > LONG)
-    rest = short.alias("x").join(short.alias("y"), "h").where("x.component < y.component").where(_possible("x", "y", percent))
-    rest = rest.select(F.greatest("x.key", "y.key").alias("a"), F.least("x.key", "y.key").alias("b")).distinct()
+    sized = materialize(_narrow(_blocks(mixed, F.ceil(F.col("rows") / BLOCK)), percent), "ngram-sized")
+    marked = sized.where("other is null").drop("other").join(sketches.select("key", "sketch", "first"), "key")
+    marked = materialize(_narrow(marked, percent), "ngram-marked")
+    rest, found = (
+        x.where("other is not null").select(F.greatest("key", "other").alias("a"), F.least("key", "other").alias("b")).distinct()
+        for x in (sized, marked)
+    )
     done = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rest = materialize(_close(rest, sketches, percent).join(done, ["a", "b"], "left_anti"), "ngram-pairs")
-    more = _verify(rest, _pair_texts(docs, classes, rest), words, percent)
-    sets = materialize(_sets(_texts(docs, classes, long.select("key")), words), "ngram-sets")
-    more = more.unionByName(_links_in_long(long, sets, percent))
+    rest = _close(rest, sketches, percent).unionByName(found).distinct().join(done, ["a", "b"], "left_anti")
+    rest = materialize(rest, "ngram-pairs")
+    left = materialize(marked.where("other is null").select("h", "key", "n", "component").distinct(), "ngram-left")
+    texts = materialize(_texts(docs, classes, _ends(rest).unionByName(left.select("key"))), "texts")
+    more = _verify(rest, texts.join(_ends(rest).distinct(), "key", "left_semi"), words, percent)
+    sets = materialize(_sets(texts.join(left.select("key").distinct(), "key", "left_semi"), words), "ngram-sets")
+    more = more.unionByName(_links_of_rows(left, sets, percent))
 
     groups = components(links.unionByName(more), "ngram-components").withColumnRenamed("node", "key")
     placed = classes.join(groups, "key", "left").select("key", "rep.doc_id", F.coalesce("component", "key").alias("component"))

@@ -13,6 +13,7 @@ import pytest
 import corpus_pipeline
 from tallyworks.llm import common, ngram_join, pivots, suffix_dedup, toxicity
 from tallyworks.llm.common import components
+from tallyworks.session import setting
 from tests.conftest import SMALL
 
 
@@ -160,6 +161,45 @@ def test_hot_columns_in_blocks_against_all_pairs(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()} == groups(sets, links)
 
 
+def test_candidates_of_a_column_are_few_and_hold_all_links(monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRS", 50)
+    monkeypatch.setattr(ngram_join, "PAIR_WORDS", 64)
+    chance, shingler = random.Random(18), ngram_join.Shingler(4)
+    sets = [shingler(t) for _, t in skewed_rows(60, 18)] + [shingler(" ".join(f"v{chance.randint(0, 400)}" for _ in range(9 * k))) for k in range(1, 40)]
+    plain, marks = [set(x.tolist()) for x in sets], [ngram_join.sketch(x) for x in sets]
+    columns = [x[: len(x) - (85 * len(x) + 99) // 100 + 1].view(np.int64).tolist() for x in sets]
+    node = [k // 2 for k in range(len(sets))]
+    links = {(a, b) for a in range(len(sets)) for b in range(a) if node[a] != node[b] and 100 * len(plain[a] & plain[b]) >= 85 * len(plain[a] | plain[b])}
+    entries = [(h, lo, hi, k % 2, k, len(sets[k]), pos, node[k]) for k, own in enumerate(columns) for pos, h in enumerate(own) for lo, hi in ((0, 0), (0, 1), (1, 1)) if k % 2 in (lo, hi)]
+    entries.sort()
+    rows = {x: np.array(v) for x, v in zip(ngram_join._ROWS, zip(*entries, strict=True), strict=True)}
+    keys = rows["key"].tolist()
+    for given in ((None, None), ([marks[k] for k in keys], [columns[k][: ngram_join.FIRST] for k in keys])):
+        i, j, single = ngram_join.narrowed(rows, *given, 85, ngram_join.LONG)
+        held = {(max(keys[a], keys[b]), min(keys[a], keys[b])) for a, b in zip(i, j, strict=True)}
+        blocks = {}
+        for a in single:
+            blocks.setdefault(entries[a][:3], []).append(keys[a])
+        held |= {(a, b) for found in blocks.values() for a in found for b in found}
+        assert len(links) > 100 and links <= held and len(i) <= 2 * len(keys)
+    every = {(x, y) for at in set(e[:3] for e in entries) for x in range(len(entries)) if entries[x][:3] == at for y in range(x) if entries[y][:3] == at}
+    ends = np.array([sum(e[:3] <= x[:3] for e in entries) for x in entries])
+    assert sorted((int(b), int(a)) for i, j in ngram_join.pairs_of_groups(ends) for a, b in zip(i, j, strict=True)) == sorted(every)
+
+
+def test_unlike_documents_of_a_column_are_not_paired(spark, monkeypatch):
+    chance, asked, close = random.Random(19), [], ngram_join._close
+    monkeypatch.setattr(ngram_join, "_close", lambda pairs, *rest: asked.append(pairs.count()) or close(pairs, *rest))
+    passage = " ".join(f"p{k}" for k in range(50))
+    rows = [(i, passage + " " + " ".join(f"w{chance.randint(0, 10**6)}" for _ in range(50))) for i in range(60)]
+    rows += [(100 + i, t + " end") for i, t in rows[::10]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)  # too few a block for the passage to count as frequent
+    want = {i: i % 100 for i, _ in rows}
+    with setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", 7):  # groups go on from batch to batch
+        assert {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()} == want
+    assert len(asked) == 2 and asked[1] <= 2 * len(rows)
+
+
 def test_one_of_each_group_stays(documents):
     left = ngram_join.keep_one(documents)
     ids = [r.doc_id for r in left.collect()]

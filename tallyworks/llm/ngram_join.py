@@ -11,7 +11,8 @@ Components are asked for, not all pairs: first every column links its documents
 size; then only columns that still hold several components are multiplied in full. Their rows are compared inside tasks,
 first by sizes and positions, then what is left by bitmaps; a column gives its pairs only while they are few for its rows,
 else its rows. Rows left in the end are compared by full overlaps, and of the links found in a block those are given
-that connect as much as all of them. So every step gives at most a few rows for each of its input.
+that connect as much as all of them. So no step gives more than a few rows for each of a block; the rows of a column of
+several blocks stand in as many groups each.
 """
 
 from __future__ import annotations
